@@ -84,11 +84,13 @@ def band_collapse(t: Tables) -> DataFrame:
 )
 def sql_group_sum(t: Tables) -> DataFrame:
     return t.spark.sql(
-        """SELECT CAST(user_id AS STRING) AS OrgUnit, first('sheet') AS mech_name,
+        """SELECT OrgUnit, mech_name,
                   count_if(event_type = 'click') AS clicks, count_if(event_type = 'error') AS errors,
                   round(sum(if(event_type = 'purchase', value, 0.0D)), 2) AS purchases
-           FROM {events} GROUP BY user_id""",
-        events=t.read("events"),
+           FROM {sheet} GROUP BY mech_name, OrgUnit""",
+        sheet=t.read("events").selectExpr(
+            "CAST(user_id AS STRING) AS OrgUnit", "'sheet' AS mech_name", "event_type", "value"
+        ),
     )
 
 

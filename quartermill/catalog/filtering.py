@@ -101,7 +101,7 @@ def prefix_sum(t: Tables) -> DataFrame:
 )
 def key_list_semi(t: Tables) -> DataFrame:
     totals = sum_by(t.lines(["orgunituid", "indicator", "value"]), ["orgunituid", "indicator"], ["value"])
-    return matched(totals, t.roster(), ["orgunituid"])
+    return matched(totals, t.roster(), ["orgunituid"], null_safe=False)
 
 
 @query(

@@ -13,6 +13,7 @@ from quartermill.operators.joins import (
 from quartermill.operators.setops import keys_only_in, loose_append, rows_only_in
 from quartermill.operators.windows import first_per_key
 from quartermill.plans.conform import attach_mechanism
+from quartermill.session import materialize
 
 MAP_KEYS = ["indicator", "numeratordenom", "standardizeddisaggregate", "ageasentered"]
 
@@ -123,7 +124,8 @@ def full_reconcile(t: Tables) -> DataFrame:
     ),
 )
 def anti_unmatched(t: Tables) -> DataFrame:
-    return not_matched(t.lines(["orgunituid", "sitename"]).distinct(), t.roster(), ["sitename"])
+    reporting = t.with_site(t.lines(["orgunituid"]).distinct(), ["sitename"])
+    return not_matched(reporting, t.roster(), ["sitename"], null_safe=False)
 
 
 @query(
@@ -142,7 +144,7 @@ def anti_unmatched(t: Tables) -> DataFrame:
     ),
 )
 def semi_unmapped(t: Tables) -> DataFrame:
-    feed = sum_by(t.lines(["orgunituid", *MAP_KEYS, "value"]), ["orgunituid", *MAP_KEYS], ["value"])
+    feed = materialize(sum_by(t.lines(["orgunituid", *MAP_KEYS, "value"]), ["orgunituid", *MAP_KEYS], ["value"]))
     combos = feed.select(*MAP_KEYS).distinct()
     missing = map_join(combos, t.elements().select(*MAP_KEYS, "element"), MAP_KEYS).filter("element IS NULL")
     return matched(feed, missing, MAP_KEYS)

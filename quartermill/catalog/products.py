@@ -14,6 +14,7 @@ from quartermill.operators.setops import join_vintages
 from quartermill.plans import lists, products
 from quartermill.plans.conform import age_bands, area_names
 from quartermill.plans.context import agency_short_name, area_key, coarse_age, disaggregate_type, official_names
+from quartermill.session import materialize
 
 DIMS = ["snu1", "psnu", "mech_code", "indicator", "numeratordenom", "standardizeddisaggregate"]
 _MIRROR = ", ".join(f"CASE WHEN indicator = '{i}' THEN value END AS {i}" for i in "ANR")
@@ -42,16 +43,19 @@ _MIRROR_L = _MIRROR.replace("indicator", "l.indicator")
 )
 def product_treatment(t: Tables) -> DataFrame:
     closed, current = range(1995, 2000), range(2000, 2003)
-    fact = join_vintages(t.wide(DIMS, closed), t.wide(DIMS, current), closed, current)
+    fact = materialize(join_vintages(t.wide(DIMS, closed), t.wide(DIMS, current), closed, current))
     fact = fact.withColumn("prime_partner_name", F.concat("mech_code", F.lit(" partner")))
-    partner_areas = area_key(t.lines(["mech_code", "psnu"]).distinct())
+    partner_areas = area_key(fact.select("mech_code", "psnu").distinct())
     attributes = lookup(partner_areas, t.areas(), ["psnu"], ["snu1", "DSP"]).filter("snu1 <> 'EUROPE'").select("DSPID", "DSP")
-    elements = t.elements().select(
+    known = fact.select("indicator", "numeratordenom", "standardizeddisaggregate").distinct()
+    elements = known.filter("standardizeddisaggregate <> 'FURNITURE'").select(
         F.concat_ws("_", "indicator", "numeratordenom", "standardizeddisaggregate").alias("disagg_key"),
-        F.col("element_group").alias("disaggregate_label"),
+        F.expr("concat(indicator, ' (', numeratordenom, ', DSD, ', standardizeddisaggregate, '): text')").alias(
+            "disaggregate_label"
+        ),
     )
     return products.treatment_fact(
-        fact, ["A", "N", "R"], attributes, {"Brand#1": "WR"}, elements.distinct(), priority=None, high_burden=["NATION_3"]
+        fact, ["A", "N", "R"], attributes, {"Brand#1": "WR"}, elements, priority=None, high_burden=["NATION_3"]
     )
 
 

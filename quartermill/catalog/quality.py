@@ -11,8 +11,9 @@ from quartermill.catalog.series import _GRID_SQL, grid
 from quartermill.catalog.tables import Tables, wide_sql, with_sql
 from quartermill.plans import quality
 from quartermill.plans.conform import without_wrong_ids
+from quartermill.session import materialize
 
-SITE = ["snu1", "psnu", "orgunituid", "sitename", "mech_code", "fiscal_year"]
+SITE = ["orgunituid", "mech_code", "fiscal_year"]
 TODAY = dt.date(2023, 4, 24)
 _FY = "concat('FY', substring(fiscal_year, 3, 2){})"
 YEARLY = {_FY.format(""): "cumulative"}
@@ -21,9 +22,9 @@ QUARTERLY = {_FY.format(f", 'Q{i}'"): f"qtr{i}" for i in range(1, 5)}
 _FY_SQL = "'FY' || right(CAST(fiscal_year AS VARCHAR), 2)"
 
 
-def finding_columns(df: DataFrame) -> DataFrame:
-    """The reported columns, in one order."""
-    return df.select("psnu", "sitename", "mech_code", "level", "type_check", "period", "indicator", "check", "today_date")
+def report(t: Tables, found: DataFrame) -> DataFrame:
+    """Findings with their site's name and area, in the reported columns."""
+    return t.with_site(found, ["sitename", "psnu"]).select("psnu", "sitename", "mech_code", "level", "type_check", "period", "indicator", "check", "today_date")
 
 
 def _yearly_sql(terms: dict[str, str], where: str, check: str, level: str = "Level 2", type_check: str = "IntraIndicator") -> str:
@@ -36,15 +37,16 @@ def _yearly_sql(terms: dict[str, str], where: str, check: str, level: str = "Lev
     )
 
 
-def yearly_facts(t: Tables) -> DataFrame:
-    """The fact at line level with the columns the yearly rules look at."""
-    columns = [*SITE, "indicator", "numeratordenom", "standardizeddisaggregate", "ageasentered", "value"]
-    return t.lines(columns).withColumnRenamed("value", "cumulative")
+def yearly_facts(t: Tables, rules: list[quality.Rule]) -> DataFrame:
+    """The fact at line level with the columns the rules look at."""
+    conditions = " ".join(c for r in rules for c in r.terms.values())
+    dims = ["indicator", "numeratordenom", "standardizeddisaggregate", "ageasentered"]
+    return t.lines([*SITE, *[d for d in dims if d in conditions], "value"]).withColumnRenamed("value", "cumulative")
 
 
 def yearly_findings(t: Tables, rules: list[quality.Rule]) -> DataFrame:
     """Findings of the given rules at site, mechanism and year."""
-    return finding_columns(quality.findings(yearly_facts(t), SITE, rules, YEARLY, TODAY))
+    return report(t, quality.findings(yearly_facts(t, rules), SITE, rules, YEARLY, TODAY))
 
 
 N_OVER_D = quality.numerator_over_denominator("n_over_d", "A_N > A_D", "indicator = 'A'")
@@ -100,6 +102,7 @@ _RATIO_SQL = _yearly_sql(
     "CASE WHEN whole = 0 THEN part > 0 ELSE part / whole > 0.10::DOUBLE END", "R with BUILDING / R > 10%",
 )
 _LEVEL_1_DIMS = ["psnu", "orgunituid", "sitename", "mech_code", "indicator"]
+LEVEL_1_KEYS = ["orgunituid", "mech_code", "indicator", "fiscal_year"]
 _TARGET_SQL = f"""SELECT psnu, sitename, mech_code, 'Level 1' AS level, 'Result in previous quarter' AS type_check, {_FY_SQL} AS period,
        indicator, 'Targets reported but results blank' AS "check", DATE '2023-04-24' AS today_date
 FROM (SELECT psnu, orgunituid, sitename, mech_code, indicator, fiscal_year, sum(target) AS targets,
@@ -113,34 +116,34 @@ _PRIOR_SQL = " UNION ALL ".join(
 )
 
 
-def level_one_targets(t: Tables) -> DataFrame:
-    """Targets without results, where the result is the first quarter's denominator."""
-    rows = t.lines([*_LEVEL_1_DIMS, "fiscal_year", "numeratordenom", "quarter", "value", "target"])
-    fact = rows.withColumns(
-        {
-            "targets": F.col("target"),
-            "cumulative": F.when((F.col("numeratordenom") == "D") & (F.col("quarter") == 1), F.col("value")).otherwise(0.0),
-        }
+def level_one_fact(t: Tables) -> DataFrame:
+    """Targets, quarters and a cumulative result (here: the first quarter's denominator) per key."""
+    rows = t.lines([*LEVEL_1_KEYS, "numeratordenom", "quarter", "value", "target"])
+    reached = F.when((F.col("numeratordenom") == "D") & (F.col("quarter") == 1), F.col("value")).otherwise(0.0)
+    quarters = [F.sum(F.when(F.col("quarter") == i, F.col("value"))).alias(f"qtr{i}") for i in range(1, 5)]
+    return rows.groupBy(*LEVEL_1_KEYS).agg(
+        F.sum("target").alias("targets"), F.sum(reached).alias("cumulative"), *quarters
     )
-    return finding_columns(quality.target_findings(fact, [*_LEVEL_1_DIMS, "fiscal_year"], _FY.format(""), TODAY))
 
 
-def level_one_prior(t: Tables) -> DataFrame:
+def level_one_targets(t: Tables, fact: DataFrame) -> DataFrame:
+    """Targets without results."""
+    return report(t, quality.target_findings(fact, LEVEL_1_KEYS, _FY.format(""), TODAY))
+
+
+def level_one_prior(t: Tables, fact: DataFrame) -> DataFrame:
     """Values reported in one quarter and missing in the next."""
-    rows = t.lines([*_LEVEL_1_DIMS, "fiscal_year", "quarter", "value"])
-    fact = rows.withColumns({f"qtr{i}": F.when(F.col("quarter") == i, F.col("value")) for i in range(1, 5)})
-    rules = [quality.prior_missing()]
-    return finding_columns(quality.findings(fact, [*_LEVEL_1_DIMS, "fiscal_year"], rules, QUARTERLY, TODAY))
+    return report(t, quality.findings(fact, LEVEL_1_KEYS, [quality.prior_missing()], QUARTERLY, TODAY))
 
 
 @query("rule_target_no_result", with_sql(_TARGET_SQL, "lines"))
 def rule_target_no_result(t: Tables) -> DataFrame:
-    return level_one_targets(t)
+    return level_one_targets(t, level_one_fact(t))
 
 
 @query("rule_prior_missing", with_sql(_PRIOR_SQL, "lines", wide=wide_sql(_LEVEL_1_DIMS)))
 def rule_prior_missing(t: Tables) -> DataFrame:
-    return level_one_prior(t)
+    return level_one_prior(t, level_one_fact(t))
 
 
 @query("rule_ratio", with_sql(_RATIO_SQL, "lines"))
@@ -170,8 +173,8 @@ def rule_nd(t: Tables) -> DataFrame:
     ),
 )
 def rule_missing_as_zero(t: Tables) -> DataFrame:
-    found = quality.findings(yearly_facts(t), SITE, [A_LESS_R], YEARLY, TODAY, missing_as_zero=True)
-    return finding_columns(found)
+    rules = [A_LESS_R]
+    return report(t, quality.findings(yearly_facts(t, rules), SITE, rules, YEARLY, TODAY, missing_as_zero=True))
 
 
 @query(
@@ -200,8 +203,10 @@ def rule_lagged(t: Tables) -> DataFrame:
     ),
 )
 def findings_by_level(t: Tables) -> DataFrame:
+    # One pass for level 1, one for level 2: every rule is a conditional sum.
     level_2 = yearly_findings(t, [N_OVER_D, A_LESS_R, A_NOT_N, LARGE_OVER_TOTAL, PARTS, CROSS, RATIO])
-    every = level_one_targets(t).unionByName(level_one_prior(t)).unionByName(level_2)
+    fact = materialize(level_one_fact(t))
+    every = level_one_targets(t, fact).unionByName(level_one_prior(t, fact)).unionByName(level_2)
     return every.groupBy("level", "mech_code", "check").agg(F.count(F.lit(1)).alias("findings"))
 
 

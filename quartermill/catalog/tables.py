@@ -16,6 +16,8 @@ from quartermill.functions.periods import fiscal_quarter, fiscal_year, in_fiscal
 from quartermill.operators.joins import match
 
 QUARTERS = ("qtr1", "qtr2", "qtr3", "qtr4")
+#: Columns that follow from the site.
+SITE_ATTRIBUTES = ("snu1", "psnu", "sitename")
 
 # Column -> (expression, dimension tables it needs).
 _LINE_COLUMNS = {
@@ -105,13 +107,25 @@ class Tables:
         return F.expr(_LINE_COLUMNS[name][0]).alias(name)
 
     def wide(self, dims: Sequence[str], years: Iterable[int] | None = None) -> DataFrame:
-        """Wide fact: one row per dims and fiscal year with quarters, cumulative and targets."""
+        """Wide fact: one row per dims and fiscal year with quarters, cumulative and targets.
+
+        Attributes that follow from the site are joined after the grouping when
+        the site itself is a dim: same groups, and no join on the line rows.
+        """
+        late = [d for d in dims if d in SITE_ATTRIBUTES] if "orgunituid" in dims else []
+        if late:
+            summed = self.wide([d for d in dims if d not in late], years)
+            return self.with_site(summed, late).select(*dims, "fiscal_year", *QUARTERS, "cumulative", "targets")
         rows = self.lines([*dims, "fiscal_year", "quarter", "value", "target"], years)
         quarters = [F.sum(F.when(F.col("quarter") == i, F.col("value"))).alias(q) for i, q in enumerate(QUARTERS, 1)]
         return rows.groupBy(*dims, "fiscal_year").agg(
             *quarters, F.sum("value").alias("cumulative"), F.sum("target").alias("targets")
         )
 
+    def with_site(self, df: DataFrame, columns: Sequence[str] = ("sitename", "psnu", "snu1")) -> DataFrame:
+        """Site attributes of an aggregate that carries ``orgunituid``."""
+        return match(df, self.sites().select("orgunituid", *columns), ["orgunituid"], "inner")
+
     def elements(self) -> DataFrame:
         """Disaggregate map with NULL keys and without one disaggregate."""
         keys = self.lines(["indicator", "numeratordenom", "standardizeddisaggregate", "ageasentered"]).distinct()

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from quartermill.functions.periods import year_label
 from quartermill.functions.semantics import na_sum
-from quartermill.operators.joins import match
 
 QUARTERS = ("qtr1", "qtr2", "qtr3", "qtr4")
 MEASURES = ("targets", *QUARTERS, "cumulative")
@@ -111,21 +110,20 @@ def complete_grid(
 ) -> DataFrame:
     """One row for every observed tuple in every period; implicit gaps get ``fill``.
 
-    Each distinct tuple is expanded by the period list (given, or read by a
-    scalar subquery: one short array), then the observed rows are joined in.
-    Only combinations that were missing are filled; NULLs that were reported
-    stay NULL.
+    The observed rows pass through untouched. Per tuple, the set of its periods
+    is a partial aggregate no longer than the period list (given, or read by a
+    scalar subquery); the periods it lacks are appended as new rows. Only those
+    rows are filled; NULLs that were reported stay NULL.
     """
     if periods is None:
         listed = df.agg(F.sort_array(F.collect_set(period))).scalar()
     else:
         listed = F.array(*[F.lit(p) for p in periods])
-    grid = df.select(*tuples).distinct().withColumn(period, F.explode(listed))
-    seen = df.withColumn("__seen", F.lit(True))
-    out = match(grid, seen, [*tuples, period], "left", null_safe=True)
-    return out.withColumns(
-        {c: F.when(F.col("__seen"), F.col(c)).otherwise(F.lit(v)) for c, v in fill.items()}
-    ).drop("__seen")
+    seen = df.groupBy(*tuples).agg(F.collect_set(period).alias("__seen"))
+    gaps = seen.select(*tuples, F.explode(F.array_except(listed, "__seen")).alias(period))
+    types = dict(df.dtypes)
+    gaps = gaps.withColumns({c: F.lit(v).cast(types[c]) for c, v in fill.items()})
+    return df.unionByName(gaps, allowMissingColumns=True)
 
 
 def stack_bands(df: DataFrame, bands: Mapping[str, str], name: str, value: str) -> DataFrame:

@@ -40,7 +40,9 @@ def fill_within(
     """
     if direction not in ("down", "up", "downup"):
         raise ValueError(f"unknown direction {direction!r}")
-    positions = df.groupBy(*group, *order).agg(*[F.min(c).alias(f"__fill_{c}") for c in columns])
+    # Distinct first: it hashes, and leaves little for the sorting minimum of strings.
+    known = df.select(*group, *order, *columns).distinct()
+    positions = known.groupBy(*group, *order).agg(*[F.min(c).alias(f"__fill_{c}") for c in columns])
     ordering = [F.col(c).asc_nulls_last() for c in order]
     before = Window.partitionBy(*group).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = Window.partitionBy(*group).orderBy(*ordering).rowsBetween(Window.currentRow, Window.unboundedFollowing)

@@ -21,6 +21,7 @@ from quartermill.operators.reshape import MEASURES, complete_grid, mirror_column
 from quartermill.operators.setops import loose_append
 from quartermill.operators.windows import fill_within, lag_periods, period_differences, share_of_total
 from quartermill.plans.context import area_flags, area_key, labels_by_code, programme_class, with_denominator_suffix
+from quartermill.session import materialize
 
 
 def long_totals(fact: DataFrame, indicators: Sequence[str], year: str = "fiscal_year") -> DataFrame:
@@ -72,9 +73,11 @@ def site_series(
     """Complete period series of one indicator with its lags appended as derived indicators.
 
     ``series`` identifies a series, ``attributes`` are columns carried into the
-    periods that were missing (within ``group``, ordered by period).
+    periods that were missing (within ``group``, ordered by period). The summed
+    series is materialized once, since the grid, the period list and the fill
+    all read it.
     """
-    observed = (
+    observed = materialize(
         long_fact.filter((F.col("indicator") == indicator) & (F.col("period_type") == "results"))
         .groupBy(*series, *attributes, "period")
         .agg(na_sum("value").alias("value"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every plan in this package assumes or profits from.
 DEFAULTS = {
@@ -13,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Checkpoint files go away with the frames that wrote them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -24,3 +28,23 @@ def get_session(app: str = "quartermill", master: str | None = None, **conf: str
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a frame once that several branches of a plan read.
+
+    Uses a reliable checkpoint in the shared folder the cluster names in
+    ``spark.checkpoint.dir``. A local session without that setting gets a
+    temporary folder; a cluster without it gets the frame back unchanged, which
+    is recomputed per branch but gives the same rows.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="quartermill-checkpoint-")
+        if folder is None:
+            return df
+        context.setCheckpointDir(folder)
+    return df.checkpoint(eager=True)
