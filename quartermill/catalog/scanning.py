@@ -21,8 +21,9 @@ from quartermill.sources.readers import flatten_grid, read_many, tagged_union
     ),
 )
 def scan_filter(t: Tables) -> DataFrame:
-    rows = t.lines(["l_orderkey", "l_linenumber", "indicator", "numeratordenom", "fiscal_year", "value"], [1998, 1999, 2001])
-    return keep_listed(rows, "indicator", ["A", "R"]).filter("numeratordenom = 'N'").drop("numeratordenom")
+    columns = ["l_orderkey", "l_linenumber", "indicator", "fiscal_year", "value"]
+    rows = t.lines(columns, [1998, 1999, 2001], F.col("l_linestatus") != "F")
+    return keep_listed(rows, "indicator", ["A", "R"])
 
 
 @query(

@@ -79,9 +79,14 @@ class Tables:
         """Facility list: the sites in good standing, so some reporting sites are missing."""
         return self.sites().filter(F.col("balance") >= 0).drop("balance")
 
-    def lines(self, columns: Sequence[str], years: Iterable[int] | None = None) -> DataFrame:
-        """Fact rows before any grouping, with only the requested columns and their joins."""
+    def lines(self, columns: Sequence[str], years: Iterable[int] | None = None, where: Column | None = None) -> DataFrame:
+        """Fact rows before any grouping, with only the requested columns and their joins.
+
+        ``years`` and ``where`` (on line-item columns) are applied at the scan.
+        """
         df = self.read("lineitem")
+        if where is not None:
+            df = df.filter(where)
         if years is not None:
             df = df.filter(in_fiscal_years("l_shipdate", years))
         need = {t for c in columns if c in _LINE_COLUMNS for t in _LINE_COLUMNS[c][1]}

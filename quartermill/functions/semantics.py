@@ -21,17 +21,26 @@ def as_column(c: Column | str) -> Column:
 
 
 def in_set(c: Column | str, values: Iterable) -> Column:
-    """Membership that is never NULL; a ``None`` among ``values`` matches NULL."""
+    """Membership that is never NULL; a ``None`` among ``values`` matches NULL.
+
+    Written with null tests instead of a coalesce, so a scan can use it.
+    """
     values = list(values)
     c = as_column(c)
     known = [v for v in values if v is not None]
-    hit = F.coalesce(c.isin(known), F.lit(False)) if known else F.lit(False)
-    return (hit | c.isNull()) if len(known) < len(values) else hit
+    if len(known) < len(values):
+        return (c.isNull() | c.isin(known)) if known else c.isNull()
+    return (c.isNotNull() & c.isin(known)) if known else F.lit(False)
 
 
 def not_in(c: Column | str, values: Iterable) -> Column:
     """NOT IN that keeps NULL rows (unless ``None`` is listed)."""
-    return ~in_set(c, values)
+    values = list(values)
+    c = as_column(c)
+    known = [v for v in values if v is not None]
+    if len(known) < len(values):
+        return (c.isNotNull() & ~c.isin(known)) if known else c.isNotNull()
+    return (c.isNull() | ~c.isin(known)) if known else F.lit(True)
 
 
 def code_in(c: Column | str, codes: Iterable) -> Column:
