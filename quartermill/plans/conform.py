@@ -183,7 +183,7 @@ def area_names(
 
 def wrong_ids(names: DataFrame, name: str, uid: str, rows_per_name: int, submitted: DataFrame, submitted_uid: str) -> DataFrame:
     """Facilities under several uids whose uid is absent from the last submission."""
-    several = keys_with_more_than(names, [name], rows_per_name)
+    several = keys_with_more_than(names, [name], rows_per_name, "__rows")
     listed = matched(names, several, [name]).select(name, uid).distinct()
     return not_matched(listed, submitted, {uid: submitted_uid})
 

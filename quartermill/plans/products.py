@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quartermill.functions.semantics import as_column, in_set, na_sum, ratio, round_even, unite
 from quartermill.functions.selectors import strings
 from quartermill.operators.aggregates import roster, sum_by, sum_by_strings
-from quartermill.operators.joins import lookup
+from quartermill.operators.joins import lookup, match
 from quartermill.operators.reshape import MEASURES, complete_grid, mirror_columns, reshape_long, reshape_semi_wide
 from quartermill.operators.setops import loose_append
 from quartermill.operators.windows import fill_within, lag_periods, period_differences, share_of_total
@@ -203,3 +203,11 @@ def partner_transition(
 def target_share(fact: DataFrame, keys: Sequence[str], within: Sequence[str], value: str = "targets") -> DataFrame:
     """Target per partner and its share of the indicator's total."""
     return share_of_total(sum_by(fact, [*keys, *within], [value]), value, within)
+
+
+def sort_by_total(df: DataFrame, category: str, value: str, descending: bool = False) -> DataFrame:
+    """Rows sorted by the total of their category (then by the category itself)."""
+    totals = df.groupBy(category).agg(na_sum(value).alias("__total"))
+    ranked = match(df, totals, [category], "left", null_safe=True)
+    by_total = F.col("__total").desc() if descending else F.col("__total").asc()
+    return ranked.orderBy(by_total, F.col(category).asc_nulls_last()).drop("__total")
