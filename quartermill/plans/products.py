@@ -13,14 +13,17 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quartermill.functions.periods import drop_century
 from quartermill.functions.semantics import as_column, in_set, na_sum, ratio, round_even, unite
 from quartermill.functions.selectors import strings
 from quartermill.operators.aggregates import roster, sum_by, sum_by_strings
-from quartermill.operators.joins import lookup, match
+from quartermill.operators.joins import lookup, match, reconcile
 from quartermill.operators.reshape import MEASURES, complete_grid, mirror_columns, reshape_long, reshape_semi_wide
 from quartermill.operators.setops import loose_append
 from quartermill.operators.windows import fill_within, lag_periods, period_differences, share_of_total
-from quartermill.plans.context import area_flags, area_key, labels_by_code, programme_class, with_denominator_suffix
+from quartermill.plans.context import (
+    area_flags, area_key, labels_by_code, pair_flag, programme_class, with_denominator_suffix,
+)
 from quartermill.session import materialize
 
 
@@ -211,3 +214,49 @@ def sort_by_total(df: DataFrame, category: str, value: str, descending: bool = F
     ranked = match(df, totals, [category], "left", null_safe=True)
     by_total = F.col("__total").desc() if descending else F.col("__total").asc()
     return ranked.orderBy(by_total, F.col(category).asc_nulls_last()).drop("__total")
+
+
+def staffing_fact(
+    sheet: DataFrame,
+    periods: Sequence[str],
+    indicators: Sequence[str],
+    pairs: Mapping[str, Iterable[str] | None] | None = None,
+    attributes: DataFrame | None = None,
+    cadre: str = "occ_classification",
+    model: str = "service_delivery_model",
+) -> DataFrame:
+    """Staffing dashboard: period columns to rows, worker-class flag, area context, mirror columns.
+
+    ``periods`` are the sheet's period columns (``FY2022Q4`` becomes ``FY22Q4``).
+    The sheet is summed by its string columns while still wide.
+    """
+    wide = sum_by_strings(sheet, periods)
+    ids = [c for c in wide.columns if c not in set(periods)]
+    long = wide.unpivot(ids, list(periods), "period", "value").withColumn("period", drop_century("period"))
+    flagged = pair_flag(long, cadre, model) if pairs is None else pair_flag(long, cadre, model, pairs)
+    out = mirror_columns(area_flags(area_key(flagged), priority=None), "indicator", indicators)
+    return out if attributes is None else lookup(out, attributes, ["DSPID"])
+
+
+def site_attributes(
+    listed: DataFrame, hierarchy: DataFrame, names: tuple[str, str], extras: Mapping[str, DataFrame] | None = None, uid: str = "orgunituid"
+) -> DataFrame:
+    """Two site lists reconciled by name (both names kept), with per-site reference tables attached."""
+    out = reconcile(listed, hierarchy, names)
+    for column, table in (extras or {}).items():
+        out = lookup(out, table, [uid], [column])
+    return out
+
+
+def prevention_coverage(
+    fact: DataFrame, agency: DataFrame, areas: Mapping[str, str], agencies: Sequence[str], keys: Sequence[str] = ("psnu", "psnuuid")
+) -> DataFrame:
+    """Areas where an orphan-care partner works, with the agency that leads treatment there.
+
+    ``agency`` gives ``agency_lookback`` by ``DSPID``.
+    """
+    keyed = lookup(area_key(fact), agency, ["DSPID"], ["agency_lookback"])
+    led = keyed.filter(in_set("agency_lookback", agencies)).withColumn("technical_area", labels_by_code("mech_code", areas))
+    covered = F.max(F.when(F.col("technical_area") == "OVC", F.lit(1)).otherwise(0))
+    by_area = led.groupBy(*keys, "agency_lookback").agg(covered.alias("__covered"), na_sum("targets").alias("targets"))
+    return by_area.withColumn("ovc_coverage", F.when(F.col("__covered") == 1, "Y").otherwise("N")).drop("__covered")

@@ -30,7 +30,8 @@ class Rule:
 
     ``terms`` maps a term name to an SQL condition on the fact's columns;
     ``fails_when`` is an SQL condition on the term names. A term's value in the
-    quarter before is available as ``<name>__prior``.
+    quarter before is available as ``<name>__prior``; ``<name>__any`` tells
+    whether any period has a value other than 0.
     """
 
     name: str
@@ -87,11 +88,12 @@ def share_above(name: str, message: str, part: str, whole: str, limit: float, **
 def prior_missing(name: str = "prior_missing", rows: str = "true", strict_parity: bool = False, **kw) -> Rule:
     """Value in the previous quarter, none or zero in this one.
 
-    ``strict_parity`` also flags a missing current value that had no prior value.
+    ``strict_parity`` also flags a current zero or gap whose previous quarter was
+    empty too, as long as some other quarter has a value.
     """
     test = "t__prior > 0 AND coalesce(t, 0) = 0"
     if strict_parity:
-        test = "(t__prior > 0 AND t = 0) OR t IS NULL"
+        test = "coalesce(t, 0) = 0 AND t__any"
     return Rule(
         name, "Value reported in previous quarter but missing in this quarter", {"t": rows}, test,
         level=LEVEL_1, type_check="Result in previous quarter", **kw,
@@ -104,38 +106,36 @@ FINDING = (
 
 
 def term_totals(
-    fact: DataFrame, keys: Sequence[str], rules: Sequence[Rule], measures: Mapping[str, str], missing_as_zero: bool = False
+    fact: DataFrame, keys: Sequence[str], conditions: Sequence[str], measures: Sequence[str], missing_as_zero: bool = False
 ) -> DataFrame:
-    """Sum every rule's terms at the site grain: one row per group and period.
+    """Sum each measure over the rows of each condition: one row per group.
 
-    ``measures`` maps a period label (an SQL expression over the keys) to the
-    measure column of that period, in time order. Columns are ``<rule>__<term>``
-    and ``<rule>__<term>__prior``.
+    Columns are ``term<condition>_<measure>`` by position. Rows that satisfy no
+    condition are left out before the grouping, so a group takes part when at
+    least one of its terms has rows.
     """
-    names = {f"{r.name}__{t}": cond for r in rules for t, cond in r.terms.items()}
-    periods = list(measures.items())
+    relevant = " OR ".join(f"({c})" for c in conditions)
     sums = []
-    for name, cond in names.items():
-        for i, (_, column) in enumerate(periods):
-            total = F.sum(F.when(F.expr(cond), F.coalesce(F.col(column), F.lit(0.0))))
-            sums.append((F.coalesce(total, F.lit(0.0)) if missing_as_zero else total).alias(f"{name}__{i}"))
-    summed = fact.groupBy(*keys).agg(*sums)
+    for i, condition in enumerate(conditions):
+        for j, measure in enumerate(measures):
+            total = F.sum(F.when(F.expr(condition), F.coalesce(F.col(measure), F.lit(0.0))))
+            sums.append((F.coalesce(total, F.lit(0.0)) if missing_as_zero else total).alias(f"term{i}_{j}"))
+    return fact.filter(F.expr(relevant)).groupBy(*keys).agg(*sums)
 
-    def row(i: int) -> Column:
-        cells = [F.expr(periods[i][0]).cast("string").alias("period")]
-        for name in names:
-            cells.append(F.col(f"{name}__{i}").alias(name))
-            prior = F.col(f"{name}__{i - 1}") if i else F.lit(None).cast("double")
-            cells.append(prior.alias(f"{name}__prior"))
-        return F.struct(*cells)
 
-    return summed.select(*keys, F.inline(F.array(*[row(i) for i in range(len(periods))])))
+def _bound(rule: Rule, column: Mapping[str, int], period: int, periods: int) -> str:
+    """The rule's condition for one period, its term names replaced by summed columns."""
+    names = "|".join(re.escape(t) for t in sorted(rule.terms, key=len, reverse=True))
 
+    def cell(m: re.Match) -> str:
+        i = column[rule.terms[m.group(1)]]
+        if m.group(2) == "__prior":
+            return f"term{i}_{period - 1}" if period else "CAST(NULL AS DOUBLE)"
+        if m.group(2) == "__any":
+            return "(" + " OR ".join(f"coalesce(term{i}_{j}, 0) <> 0" for j in range(periods)) + ")"
+        return f"term{i}_{period}"
 
-def _bound(rule: Rule) -> str:
-    """The rule's condition with its short term names bound to the summed columns."""
-    names = "|".join(re.escape(t) for t in sorted(rule.terms, key=len, reverse=True))
-    return re.sub(rf"(?<![\w.])({names})(__prior)?(?!\w)", rf"`{rule.name}__\1\2`", rule.fails_when)
+    return re.sub(rf"(?<![\w.])({names})(__prior|__any)?(?!\w)", cell, rule.fails_when)
 
 
 def findings(
@@ -147,16 +147,23 @@ def findings(
     missing_as_zero: bool = False,
     only_periods: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per failed rule, group and period."""
-    totals = term_totals(fact, keys, rules, measures, missing_as_zero)
-    if only_periods is not None:
-        totals = totals.filter(F.col("period").isin(list(only_periods)))
+    """One row per failed rule, group and period.
+
+    ``measures`` maps a period label (an SQL expression over the keys) to the
+    measure column of that period, in time order. Conditions that several rules
+    share are summed once; the rules are evaluated on the summed row, so only
+    failures are expanded.
+    """
+    column = {c: i for i, c in enumerate(dict.fromkeys(c for r in rules for c in r.terms.values()))}
+    labels = list(measures)
+    summed = term_totals(fact, keys, list(column), list(measures.values()), missing_as_zero)
     indicator = F.col("indicator") if "indicator" in keys else F.lit(None).cast("string")
 
-    def finding(rule: Rule) -> Column:
+    def finding(rule: Rule, period: int) -> Column:
         return F.when(
-            F.expr(_bound(rule)),
+            F.expr(_bound(rule, column, period, len(labels))),
             F.struct(
+                F.expr(labels[period]).cast("string").alias("period"),
                 F.lit(rule.level).alias("level"),
                 F.lit(rule.type_check).alias("type_check"),
                 (F.lit(rule.indicator).cast("string") if rule.indicator else indicator).alias("__indicator"),
@@ -164,8 +171,10 @@ def findings(
             ),
         )
 
-    hits = F.array_compact(F.array(*[finding(r) for r in rules]))
-    out = totals.select(*keys, "period", F.inline(hits)).drop("indicator").withColumnRenamed("__indicator", "indicator")
+    hits = F.array_compact(F.array(*[finding(r, i) for i in range(len(labels)) for r in rules]))
+    out = summed.select(*keys, F.inline(hits)).drop("indicator").withColumnRenamed("__indicator", "indicator")
+    if only_periods is not None:
+        out = out.filter(F.col("period").isin(list(only_periods)))
     return out.withColumn("today_date", F.lit(today) if today else F.current_date())
 
 
@@ -185,6 +194,24 @@ def target_findings(fact: DataFrame, keys: Sequence[str], period: str, today: dt
     )
 
 
+def level_one(fact: DataFrame, keys: Sequence[str], measures: Mapping[str, str], year: str, today: dt.date | None = None) -> DataFrame:
+    """Level 1 report: targets without results, and values missing after a reported quarter.
+
+    ``keys`` include the indicator; ``year`` labels the yearly check (an SQL
+    expression over the keys).
+    """
+    prior = findings(fact, keys, [prior_missing()], measures, today)
+    targets = target_findings(fact, keys, year, today)
+    return prior.unionByName(targets, allowMissingColumns=True)
+
+
+def report(level_1: DataFrame, level_2: DataFrame) -> DataFrame:
+    """Both levels in the finding layout; columns a level lacks are NULL."""
+    both = level_1.unionByName(level_2, allowMissingColumns=True)
+    missing = {c: F.lit(None).cast("string") for c in FINDING if c not in both.columns}
+    return both.withColumns(missing).select(*FINDING)
+
+
 def lagged_comparison(
     series: DataFrame, keys: Sequence[str], period: str, lagged: str, against: str, steps: int, message: str
 ) -> DataFrame:

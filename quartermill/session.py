@@ -13,6 +13,9 @@ DEFAULTS = {
     # Splits a hot join key's shuffle partition, so lookups on a key that holds
     # a large share of the fact do not end up in one task.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also when the split costs the next step an extra shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Checkpoint files go away with the frames that wrote them.

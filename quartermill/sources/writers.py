@@ -22,10 +22,10 @@ def write_delimited(df: DataFrame, path: str, sep: str = "\t", mode: str = "erro
 def write_by_key(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet", mode: str = "error", max_rows: int = 5_000_000) -> None:
     """One folder per key (partner, mechanism or level) in a single write.
 
-    Rows are not gathered per key first: each task writes its own part files,
-    so a partner with most of the rows is written by many tasks.
+    Rows are rebalanced by key: a small partner ends in one file, and a partner
+    with most of the rows is split over several tasks by adaptive execution.
     """
-    writer = df.write.mode(mode).option("maxRecordsPerFile", max_rows).partitionBy(*keys)
+    writer = df.hint("rebalance", *keys).write.mode(mode).option("maxRecordsPerFile", max_rows).partitionBy(*keys)
     if fmt == "csv":
         writer = writer.option("header", True).option("nullValue", "").option("emptyValue", "")
     writer.format(fmt).save(path)

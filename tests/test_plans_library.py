@@ -81,12 +81,13 @@ def test_prior_quarter_rule_and_parity(frame):
     assert (row.level, row.type_check, row.indicator, row.today_date) == ("Level 1", "Result in previous quarter", "A", TODAY)
 
 
-def test_strict_parity_flags_absent_current(frame):
-    fact = frame(FACT, [("1", "p", "s", "A", "N", 4.0, 3.0), ("1", "p", "t", "B", "N", 4.0, 3.0)])
-    rule = quality.prior_missing(rows="indicator = 'A'", strict_parity=True)
-    found = quality.findings(fact, KEYS, [rule], PERIODS, TODAY, only_periods=["FY23Q2"])
-    assert [s for s, _, _ in failed(found)] == ["t"]
-    assert quality.findings(fact, KEYS, [quality.prior_missing(rows="indicator = 'A'")], PERIODS, TODAY).isEmpty()
+def test_strict_parity_flags_later_gaps_too(frame):
+    fact = frame(FACT + ", qtr3 double", [("1", "p", "s", "A", "N", 4.0, 0.0, None), ("1", "p", "empty", "A", "N", 0.0, None, 0.0)])
+    periods = {**PERIODS, "'FY23Q3'": "qtr3"}
+    plain = quality.findings(fact, KEYS, [quality.prior_missing()], periods, TODAY)
+    assert [(s, p) for s, p, _ in failed(plain)] == [("s", "FY23Q2")]
+    strict = quality.findings(fact, KEYS, [quality.prior_missing(strict_parity=True)], periods, TODAY)
+    assert [(s, p) for s, p, _ in failed(strict)] == [("s", "FY23Q2"), ("s", "FY23Q3")]
 
 
 def test_targets_without_results(frame):
@@ -262,3 +263,20 @@ def test_partner_geography(frame, rows):
 def test_sorting_by_category_total(frame):
     df = frame("c string, v double", [("a", 1.0), ("b", 5.0), ("a", 1.0), (None, 3.0)])
     assert [r.c for r in products.sort_by_total(df, "c", "v").collect()] == ["a", "a", None, "b"]
+
+
+def test_quality_report_layout(frame):
+    fact = frame(
+        "mech_code string, psnu string, sitename string, indicator string, numeratordenom string, qtr1 double, qtr2 double, targets double, cumulative double",
+        [("1", "p", "s", "A", "N", 3.0, 0.0, 5.0, 0.0), ("1", "p", "s", "A", "D", 1.0, 0.0, 0.0, 0.0)],
+    )
+    level_1 = quality.level_one(fact, [*KEYS, "indicator"], PERIODS, "'FY23'", TODAY)
+    level_2 = quality.findings(fact, KEYS, [quality.numerator_over_denominator("nd", "N > D", "indicator = 'A'")], PERIODS, TODAY)
+    out = quality.report(level_1, level_2)
+    assert out.columns == list(quality.FINDING)
+    got = sorted((r.level, r.period, r.indicator, r.check) for r in out.select("level", "period", F.coalesce("indicator", F.lit("")).alias("indicator"), "check").collect())
+    assert got == [
+        ("Level 1", "FY23", "A", "Targets reported but results blank"),
+        ("Level 1", "FY23Q2", "A", "Value reported in previous quarter but missing in this quarter"),
+        ("Level 2", "FY23Q1", "", "N > D"),
+    ]
