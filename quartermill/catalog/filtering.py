@@ -86,7 +86,7 @@ def latest_period_query(t: Tables) -> DataFrame:
     ),
 )
 def prefix_sum(t: Tables) -> DataFrame:
-    wide = t.wide(["snu1", "sitename", "indicator", "numeratordenom"])
+    wide = t.wide(["snu1", "orgunituid", "indicator", "numeratordenom"])
     return sum_by(wide, ["snu1", "indicator", "numeratordenom"], starting(wide, "qtr"))
 
 

@@ -9,6 +9,7 @@ from quartermill.catalog.joining import full_reconcile
 from quartermill.catalog.registry import query
 from quartermill.catalog.series import _GRID_SQL, grid
 from quartermill.catalog.tables import Tables, wide_sql, with_sql
+from quartermill.operators.setops import strict_append
 from quartermill.plans import quality
 from quartermill.plans.conform import without_wrong_ids
 from quartermill.session import materialize
@@ -46,7 +47,7 @@ def yearly_facts(t: Tables, rules: list[quality.Rule]) -> DataFrame:
 
 def yearly_findings(t: Tables, rules: list[quality.Rule]) -> DataFrame:
     """Findings of the given rules at site, mechanism and year."""
-    return report(t, quality.findings(yearly_facts(t, rules), SITE, rules, YEARLY, TODAY))
+    return quality.findings(yearly_facts(t, rules), SITE, rules, YEARLY, TODAY)
 
 
 N_OVER_D = quality.numerator_over_denominator("n_over_d", "A_N > A_D", "indicator = 'A'")
@@ -126,44 +127,44 @@ def level_one_fact(t: Tables) -> DataFrame:
     )
 
 
-def level_one_targets(t: Tables, fact: DataFrame) -> DataFrame:
+def level_one_targets(fact: DataFrame) -> DataFrame:
     """Targets without results."""
-    return report(t, quality.target_findings(fact, LEVEL_1_KEYS, _FY.format(""), TODAY))
+    return quality.target_findings(fact, LEVEL_1_KEYS, _FY.format(""), TODAY)
 
 
-def level_one_prior(t: Tables, fact: DataFrame) -> DataFrame:
+def level_one_prior(fact: DataFrame) -> DataFrame:
     """Values reported in one quarter and missing in the next."""
-    return report(t, quality.findings(fact, LEVEL_1_KEYS, [quality.prior_missing()], QUARTERLY, TODAY))
+    return quality.findings(fact, LEVEL_1_KEYS, [quality.prior_missing()], QUARTERLY, TODAY)
 
 
 @query("rule_target_no_result", with_sql(_TARGET_SQL, "lines"))
 def rule_target_no_result(t: Tables) -> DataFrame:
-    return level_one_targets(t, level_one_fact(t))
+    return report(t, level_one_targets(level_one_fact(t)))
 
 
 @query("rule_prior_missing", with_sql(_PRIOR_SQL, "lines", wide=wide_sql(_LEVEL_1_DIMS)))
 def rule_prior_missing(t: Tables) -> DataFrame:
-    return level_one_prior(t, level_one_fact(t))
+    return report(t, level_one_prior(level_one_fact(t)))
 
 
 @query("rule_ratio", with_sql(_RATIO_SQL, "lines"))
 def rule_ratio(t: Tables) -> DataFrame:
-    return yearly_findings(t, [RATIO])
+    return report(t, yearly_findings(t, [RATIO]))
 
 
 @query("rule_compare", with_sql(_COMPARE_SQL, "lines"))
 def rule_compare(t: Tables) -> DataFrame:
-    return yearly_findings(t, [A_LESS_R, A_NOT_N, LARGE_OVER_TOTAL])
+    return report(t, yearly_findings(t, [A_LESS_R, A_NOT_N, LARGE_OVER_TOTAL]))
 
 
 @query("rule_sum_compare", with_sql(_SUM_COMPARE_SQL, "lines"))
 def rule_sum_compare(t: Tables) -> DataFrame:
-    return yearly_findings(t, [PARTS, CROSS])
+    return report(t, yearly_findings(t, [PARTS, CROSS]))
 
 
 @query("rule_nd", with_sql(_N_OVER_D_SQL, "lines"))
 def rule_nd(t: Tables) -> DataFrame:
-    return yearly_findings(t, [N_OVER_D])
+    return report(t, yearly_findings(t, [N_OVER_D]))
 
 
 @query(
@@ -206,7 +207,8 @@ def findings_by_level(t: Tables) -> DataFrame:
     # One pass for level 1, one for level 2: every rule is a conditional sum.
     level_2 = yearly_findings(t, [N_OVER_D, A_LESS_R, A_NOT_N, LARGE_OVER_TOTAL, PARTS, CROSS, RATIO])
     fact = materialize(level_one_fact(t))
-    every = level_one_targets(t, fact).unionByName(level_one_prior(t, fact)).unionByName(level_2)
+    levels = [level_one_targets(fact), level_one_prior(fact), level_2]
+    every = strict_append(*[f.select("level", "mech_code", "check") for f in levels])
     return every.groupBy("level", "mech_code", "check").agg(F.count(F.lit(1)).alias("findings"))
 
 

@@ -92,15 +92,18 @@ class Tables:
         need = {t for c in columns if c in _LINE_COLUMNS for t in _LINE_COLUMNS[c][1]}
         if "part" in need:
             df = match(df, self.read("part"), {"l_partkey": "p_partkey"}, "inner")
+        # Dimensions are joined to each other first: the fact then moves once per key, not once per table.
         if "orders" in need:
-            df = match(df, self.read("orders"), {"l_orderkey": "o_orderkey"}, "inner")
-        if "customer" in need:
-            df = match(df, self.read("customer"), {"o_custkey": "c_custkey"}, "inner")
+            orders = self.read("orders")
+            if "customer" in need:
+                orders = match(orders, self.read("customer"), {"o_custkey": "c_custkey"}, "inner")
+            df = match(df, orders, {"l_orderkey": "o_orderkey"}, "inner")
         if "supplier" in need:
-            df = match(df, self.read("supplier"), {"l_suppkey": "s_suppkey"}, "inner")
-        if "area" in need:
-            areas = self.areas().select("n_nationkey", F.col("psnu").alias("n_name"), F.col("snu1").alias("r_name"))
-            df = match(df, areas, {"s_nationkey": "n_nationkey"}, "inner")
+            sites = self.read("supplier")
+            if "area" in need:
+                areas = self.areas().select("n_nationkey", F.col("psnu").alias("n_name"), F.col("snu1").alias("r_name"))
+                sites = match(sites, areas, {"s_nationkey": "n_nationkey"}, "inner")
+            df = match(df, sites, {"l_suppkey": "s_suppkey"}, "inner")
         return df.select(*[self._column(c) for c in columns])
 
     @staticmethod
