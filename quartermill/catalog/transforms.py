@@ -62,21 +62,19 @@ def conform_map(t: Tables) -> DataFrame:
         F.col("ageasentered").alias("CoarseAgeGroup"),
         F.expr("concat('FY', substring(fiscal_year, 3, 2), 'Q', quarter)").alias("period"), "value",
     )
-    settled = conform.conform(
-        feed, "value", sources=_SOURCES, plain=_PLAIN, bands={"SMALL": "MEDIUM"}, keep_fine=["A_D", "A_N"]
-    )
     keys = {**{k: k for k in MAP_KEYS[:3]}, "CoarseAgeGroup": "ageasentered"}
-    mapped = map_join(settled, t.elements().drop("element_group"), keys)
+    combo = F.concat(F.lit("combo-"), F.coalesce("ageasentered", F.lit("none"))).alias("combo")
+    mapping = t.elements().select(*MAP_KEYS, "element", combo)
     sites = t.roster().select("orgunituid", F.col("psnu").alias("mech_code"))
     mechanisms = t.areas().select(F.col("psnu").alias("mech_code"), F.expr("concat(snu1, '-', n_nationkey)").alias("mech_uid"))
-    full = conform.attach_mechanism(mapped, sites, mechanisms, {"orgunituid": "orgunituid"}).withColumn(
-        "combo", F.concat(F.lit("combo-"), F.coalesce("CoarseAgeGroup", F.lit("none")))
-    )
     names = {
         "mech_uid": "mech_uid", "orgUnit_uid": "orgunituid", "dataElement_uid": "element",
         "categoryOptionCombo_uid": "combo", "value": "value",
     }
-    return conform.to_submission(full, names, fiscal_to_calendar_quarter("period"))
+    return conform.submission_import(
+        feed, "value", mapping, keys, sites, mechanisms, {"orgunituid": "orgunituid"}, names,
+        fiscal_to_calendar_quarter("period"), sources=_SOURCES, plain=_PLAIN, bands={"SMALL": "MEDIUM"}, keep_fine=["A_D", "A_N"],
+    )
 
 
 @query(

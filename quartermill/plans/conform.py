@@ -73,6 +73,28 @@ def to_submission(df: DataFrame, columns: Mapping[str, str], period: Column | No
     return out.select(*[F.col(names[c]).alias(c) for c in SUBMISSION]).filter(F.col("dataElement_uid").isNotNull())
 
 
+def submission_import(
+    feed: DataFrame,
+    value: str,
+    mapping: DataFrame,
+    on: Mapping[str, str],
+    sites: DataFrame,
+    mechanisms: DataFrame,
+    site: Mapping[str, str],
+    columns: Mapping[str, str],
+    period: Column | None = None,
+    **conform_options,
+) -> DataFrame:
+    """Source feed to submission records: conform and sum, map, attach the mechanism, project.
+
+    The feed is summed to the map's grain before any join, so the joins see one
+    row per site and element combination. ``columns`` names the mapped columns
+    of the record.
+    """
+    settled = conform(feed, value, **conform_options)
+    return to_submission(attach_mechanism(map_join(settled, mapping, on), sites, mechanisms, site), columns, period)
+
+
 def map_dispensing(feed: DataFrame, mapping: DataFrame, keep: Sequence[str], on: Mapping[str, str], packs: str = "Packs") -> DataFrame:
     """Regimen and age band to data element, packs summed.
 

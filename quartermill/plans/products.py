@@ -98,6 +98,30 @@ def site_series(
     return lagged.select(*series, *attributes, "period", F.inline(rows))
 
 
+def site_fact(
+    fact: DataFrame,
+    indicators: Sequence[str],
+    lagged: str,
+    series: Sequence[str],
+    carried: Sequence[str],
+    group: Sequence[str],
+    rows: Column | None = None,
+    steps: Sequence[int] = (1, 2),
+) -> DataFrame:
+    """Site dashboard: long totals with mirror columns, plus the lagged series of one indicator.
+
+    ``rows`` limits the series (for example to one disaggregate). Lag rows carry
+    ``period_type`` results and ``source_name`` Derived; area context is added
+    to both.
+    """
+    totals = long_totals(fact, indicators)
+    source = fact if rows is None else fact.filter(rows)
+    lags = site_series(reshape_long(source), lagged, series, carried, group, steps).filter(F.col("source_name") == "Derived")
+    names = [f"{lagged}_LAG{k}" for k in steps]
+    lags = mirror_columns(lags.withColumn("period_type", F.lit("results")), "indicator", names)
+    return area_flags(area_key(loose_append(totals, lags)), priority=None)
+
+
 def prevention_fact(
     fact: DataFrame, indicators: Sequence[str], remap: Mapping[str, str], remap_year: int, programme: Column, original: Iterable[str]
 ) -> DataFrame:

@@ -280,3 +280,44 @@ def test_quality_report_layout(frame):
         ("Level 1", "FY23Q2", "A", "Value reported in previous quarter but missing in this quarter"),
         ("Level 2", "FY23Q1", "", "N > D"),
     ]
+
+
+def test_site_fact_appends_lags(frame, rows):
+    fact = frame(
+        "psnu string, site string, mech_code string, indicator string, fiscal_year int, qtr1 double, qtr2 double, cumulative double",
+        [("p", "s", "1", "TX", 2022, 5.0, 7.0, 7.0), ("p", "s", "1", "HTS", 2022, 1.0, 1.0, 2.0), ("p", "t", "1", "TX", 2022, None, 3.0, 3.0)],
+    )
+    out = products.site_fact(fact, ["TX", "HTS"], "TX", ["site", "mech_code"], ["psnu"], ["site", "mech_code"], steps=(1,))
+    assert {"TX", "HTS", "TX_LAG1", "DSPID", "HIGHBURDEN"} <= set(out.columns)
+    got = rows(out.filter("indicator = 'TX_LAG1'"), "site", "period", "value", "TX_LAG1", "psnu", "DSPID", "source_name")
+    assert got == [
+        ("s", "FY22Q1", None, None, "p", "1p", "Derived"), ("s", "FY22Q2", 5.0, 5.0, "p", "1p", "Derived"),
+        ("t", "FY22Q1", None, None, "p", "1p", "Derived"), ("t", "FY22Q2", 0.0, 0.0, "p", "1p", "Derived"),
+    ]
+    assert out.filter("indicator = 'HTS'").count() == 3
+
+
+def test_semi_wide_product_with_attributes(frame, rows):
+    fact = frame(
+        "DSPID string, indicator string, fiscal_year int, qtr1 double, qtr2 double, cumulative double, targets double",
+        [("a", "TX", 2022, 1.0, None, 1.0, 4.0), ("a", "TX", 2022, 2.0, None, 2.0, 4.0)],
+    )
+    out = products.semi_wide_fact(fact, ["DSPID", "indicator"], frame("DSPID string, DSP string", [("a", "Yes")]))
+    assert rows(out, "period", "results", "cumulative", "targets", "DSP") == [
+        ("FY22", None, 3.0, 8.0, "Yes"), ("FY22Q1", 3.0, None, None, "Yes"), ("FY22Q2", 0.0, None, None, "Yes"),
+    ]
+
+
+def test_submission_import(frame, rows):
+    feed = frame("datim string, indicator string, CoarseAgeGroup string, period string, Total double", [
+        ("u", "TX_PVLS_Numer", "50-54", "FY22Q3", 1.0), ("u", "TX_PVLS_Numer", "65+", "FY22Q3", 2.0), ("u", "TX_NEW", None, "FY22Q3", 9.0),
+    ])
+    mapping = frame("indicator string, numeratordenom string, age string, de string, coc string", [("TX_PVLS", "N", "50+", "DE", "COC")])
+    sites, mechs = frame("uid string, mech_code string", [("u", "70310")]), frame("mech_code string, mech_uid string", [("70310", "M")])
+    out = conform.submission_import(
+        feed, "Total", mapping, {"indicator": "indicator", "numeratordenom": "numeratordenom", "CoarseAgeGroup": "age"}, sites, mechs,
+        {"datim": "uid"},
+        {"mech_uid": "mech_uid", "orgUnit_uid": "datim", "dataElement_uid": "de", "categoryOptionCombo_uid": "coc", "value": "Total"},
+    )
+    assert out.columns == list(conform.SUBMISSION)
+    assert rows(out) == [("M", "u", "DE", "COC", 3.0, "FY22Q3")]
