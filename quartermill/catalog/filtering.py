@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermill.catalog.registry import query
-from quartermill.catalog.tables import Tables, wide_sql, with_sql
+from quartermill.catalog.tables import Tables, iso, wide_sql, with_sql
 from quartermill.functions.selectors import starting
 from quartermill.functions.semantics import in_set, na_sum, not_in
 from quartermill.operators.aggregates import sum_by
@@ -70,10 +70,10 @@ def drop_any_null(t: Tables) -> DataFrame:
 
 @query(
     "latest_period",
-    with_sql("SELECT facility, event_type, day, value FROM series WHERE day = (SELECT max(day) FROM series)", "series"),
+    with_sql("SELECT facility, event_type, CAST(day AS VARCHAR) AS day, value FROM series WHERE day = (SELECT max(day) FROM series)", "series"),
 )
 def latest_period_query(t: Tables) -> DataFrame:
-    return latest_period(t.series().drop("n"), "day")
+    return iso(latest_period(t.series().drop("n"), "day"), "day")
 
 
 @query(

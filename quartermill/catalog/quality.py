@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quartermill.catalog.joining import full_reconcile
 from quartermill.catalog.registry import query
 from quartermill.catalog.series import _GRID_SQL, grid
-from quartermill.catalog.tables import Tables, wide_sql, with_sql
+from quartermill.catalog.tables import Tables, iso, wide_sql, with_sql
 from quartermill.operators.setops import strict_append
 from quartermill.plans import quality
 from quartermill.plans.conform import without_wrong_ids
@@ -25,7 +25,7 @@ _FY_SQL = "'FY' || right(CAST(fiscal_year AS VARCHAR), 2)"
 
 def report(t: Tables, found: DataFrame) -> DataFrame:
     """Findings with their site's name and area, in the reported columns."""
-    return t.with_site(found, ["sitename", "psnu"]).select("psnu", "sitename", "mech_code", "level", "type_check", "period", "indicator", "check", "today_date")
+    return iso(t.with_site(found, ["sitename", "psnu"]), "today_date").select("psnu", "sitename", "mech_code", "level", "type_check", "period", "indicator", "check", "today_date")
 
 
 def _yearly_sql(terms: dict[str, str], where: str, check: str, level: str = "Level 2", type_check: str = "IntraIndicator") -> str:
@@ -33,7 +33,7 @@ def _yearly_sql(terms: dict[str, str], where: str, check: str, level: str = "Lev
     sums = ", ".join(f"sum(CASE WHEN {cond} THEN value END) AS {name}" for name, cond in terms.items())
     return (
         f"SELECT psnu, sitename, mech_code, '{level}' AS level, '{type_check}' AS type_check, {_FY_SQL} AS period, "
-        f"CAST(NULL AS VARCHAR) AS indicator, '{check}' AS \"check\", DATE '2023-04-24' AS today_date FROM "
+        f"CAST(NULL AS VARCHAR) AS indicator, '{check}' AS \"check\", '2023-04-24' AS today_date FROM "
         f"(SELECT snu1, psnu, orgunituid, sitename, mech_code, fiscal_year, {sums} FROM lines GROUP BY ALL) WHERE {where}"
     )
 
@@ -105,13 +105,13 @@ _RATIO_SQL = _yearly_sql(
 _LEVEL_1_DIMS = ["psnu", "orgunituid", "sitename", "mech_code", "indicator"]
 LEVEL_1_KEYS = ["orgunituid", "mech_code", "indicator", "fiscal_year"]
 _TARGET_SQL = f"""SELECT psnu, sitename, mech_code, 'Level 1' AS level, 'Result in previous quarter' AS type_check, {_FY_SQL} AS period,
-       indicator, 'Targets reported but results blank' AS "check", DATE '2023-04-24' AS today_date
+       indicator, 'Targets reported but results blank' AS "check", '2023-04-24' AS today_date
 FROM (SELECT psnu, orgunituid, sitename, mech_code, indicator, fiscal_year, sum(target) AS targets,
              sum(CASE WHEN numeratordenom = 'D' AND quarter = 1 THEN value ELSE 0 END) AS cumulative
       FROM lines GROUP BY ALL) WHERE targets > 0 AND cumulative = 0"""
 _PRIOR_SQL = " UNION ALL ".join(
     f"""SELECT psnu, sitename, mech_code, 'Level 1' AS level, 'Result in previous quarter' AS type_check, {_FY_SQL} || 'Q{i}' AS period,
-        indicator, 'Value reported in previous quarter but missing in this quarter' AS "check", DATE '2023-04-24' AS today_date
+        indicator, 'Value reported in previous quarter but missing in this quarter' AS "check", '2023-04-24' AS today_date
         FROM wide WHERE coalesce(qtr{i - 1}, 0) > 0 AND coalesce(qtr{i}, 0) = 0"""
     for i in range(2, 5)
 )
@@ -181,7 +181,7 @@ def rule_missing_as_zero(t: Tables) -> DataFrame:
 @query(
     "rule_lagged",
     with_sql(
-        """SELECT facility, event_type, day, value_lag2, value, 'two periods ago > now' AS "check" FROM
+        """SELECT facility, event_type, CAST(day AS VARCHAR) AS day, value_lag2, value, 'two periods ago > now' AS "check" FROM
              (SELECT *, lag(value, 2) OVER (PARTITION BY facility, event_type ORDER BY day) AS value_lag2 FROM grid)
            WHERE value_lag2 > value""",
         "series",
@@ -190,7 +190,8 @@ def rule_missing_as_zero(t: Tables) -> DataFrame:
 )
 def rule_lagged(t: Tables) -> DataFrame:
     keys = ["facility", "event_type"]
-    return quality.lagged_comparison(grid(t).drop("n"), keys, "day", "value", "value", 2, "two periods ago > now")
+    found = quality.lagged_comparison(grid(t).drop("n"), keys, "day", "value", "value", 2, "two periods ago > now")
+    return iso(found, "day")
 
 
 @query(

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermill.catalog.registry import query
-from quartermill.catalog.tables import Tables, with_sql
+from quartermill.catalog.tables import Tables, iso, with_sql
 from quartermill.functions.semantics import na_sum
 from quartermill.operators.aggregates import sum_by
 from quartermill.operators.filters import current_rows, keep_listed, latest_rows
@@ -60,12 +60,12 @@ def tagged_sources(t: Tables) -> DataFrame:
 
 @query(
     "latest_snapshot",
-    """SELECT event_type, CAST(ts AS DATE) AS day, event_id, value FROM events
+    """SELECT event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_id, value FROM events
        QUALIFY CAST(ts AS DATE) = max(CAST(ts AS DATE)) OVER (PARTITION BY event_type)""",
 )
 def latest_snapshot(t: Tables) -> DataFrame:
     events = t.read("events").select("event_type", F.col("ts").cast("date").alias("day"), "event_id", "value")
-    return latest_rows(events, ["event_type"], "day")
+    return iso(latest_rows(events, ["event_type"], "day"), "day")
 
 
 @query(

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermill.catalog.registry import query
-from quartermill.catalog.tables import Tables, wide_sql, with_sql
+from quartermill.catalog.tables import Tables, iso, wide_sql, with_sql
 from quartermill.functions.semantics import na_sum, round_even
 from quartermill.operators.reshape import complete_grid
 from quartermill.operators.windows import (
@@ -23,28 +23,28 @@ def grid(t: Tables) -> DataFrame:
     return complete_grid(t.series(), "day", ["facility", "event_type"], {"value": 0.0})
 
 
-@query("complete_grid", with_sql(f"SELECT * FROM ({_GRID_SQL})", "series"))
+@query("complete_grid", with_sql(f"SELECT * REPLACE (CAST(day AS VARCHAR) AS day) FROM ({_GRID_SQL})", "series"))
 def complete_grid_query(t: Tables) -> DataFrame:
-    return grid(t)
+    return iso(grid(t), "day")
 
 
 @query(
     "lag_periods",
     with_sql(
-        """SELECT facility, event_type, day, value, lag(value, 1) OVER w AS value_lag1, lag(value, 2) OVER w AS value_lag2
+        """SELECT facility, event_type, CAST(day AS VARCHAR) AS day, value, lag(value, 1) OVER w AS value_lag1, lag(value, 2) OVER w AS value_lag2
            FROM grid WINDOW w AS (PARTITION BY facility, event_type ORDER BY day)""",
         "series",
         grid=_GRID_SQL,
     ),
 )
 def lag_periods_query(t: Tables) -> DataFrame:
-    return lag_periods(grid(t).drop("n"), "value", ["facility", "event_type"], "day")
+    return iso(lag_periods(grid(t).drop("n"), "value", ["facility", "event_type"], "day"), "day")
 
 
 @query(
     "fill_downup",
     with_sql(
-        """SELECT facility, event_type, day, value, coalesce(n, m) AS n FROM grid JOIN
+        """SELECT facility, event_type, CAST(day AS VARCHAR) AS day, value, coalesce(n, m) AS n FROM grid JOIN
              (SELECT facility, day, coalesce(
                  last_value(m IGNORE NULLS) OVER (PARTITION BY facility ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
                  first_value(m IGNORE NULLS) OVER (PARTITION BY facility ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS m
@@ -54,7 +54,7 @@ def lag_periods_query(t: Tables) -> DataFrame:
     ),
 )
 def fill_downup(t: Tables) -> DataFrame:
-    return fill_within(grid(t), ["n"], ["facility"], ["day"])
+    return iso(fill_within(grid(t), ["n"], ["facility"], ["day"]), "day")
 
 
 @query(

@@ -165,6 +165,11 @@ class Tables:
         )
 
 
+def iso(df: DataFrame, *columns: str) -> DataFrame:
+    """Date columns as ISO text, the form in which results are reported."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 # --- the same views as SQL -------------------------------------------------
 
 _SQL = {

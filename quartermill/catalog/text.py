@@ -143,8 +143,8 @@ def recode(t: Tables) -> DataFrame:
 @query(
     "fiscal_period",
     """SELECT event_id, 'FY' || right(CAST(year(d) AS VARCHAR), 2) || 'Q' || quarter(d) AS period,
-              DATE '1899-12-30' + CAST(event_id % 60000 AS INTEGER) AS serial_day,
-              CAST(date_trunc('month', ts) AS DATE) AS month
+              CAST(DATE '1899-12-30' + CAST(event_id % 60000 AS INTEGER) AS VARCHAR) AS serial_day,
+              CAST(CAST(date_trunc('month', ts) AS DATE) AS VARCHAR) AS month
        FROM (SELECT event_id, ts, ts + to_months(CAST(event_id % 30 AS INTEGER)) + INTERVAL 3 MONTH AS d FROM events)""",
 )
 def fiscal_period(t: Tables) -> DataFrame:
@@ -153,8 +153,8 @@ def fiscal_period(t: Tables) -> DataFrame:
     return events.select(
         "event_id",
         periods.quarter_label(day).alias("period"),
-        periods.serial_date((F.col("event_id") % 60000).cast("string")).alias("serial_day"),
-        periods.month_year(F.date_format("ts", "MM-yyyy")).alias("month"),
+        periods.serial_date((F.col("event_id") % 60000).cast("string")).cast("string").alias("serial_day"),
+        periods.month_year(F.date_format("ts", "MM-yyyy")).cast("string").alias("month"),
     )
 
 
