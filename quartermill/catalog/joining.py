@@ -100,18 +100,18 @@ def partial_key_map_query(t: Tables) -> DataFrame:
 @query(
     "full_reconcile",
     with_sql(
-        """SELECT a.orgunituid, a.sitename, b.datim_uid, b.orgunit_name FROM
+        """SELECT a.orgunituid, a.sitename, b.listed_uid, b.orgunit_name FROM
              (SELECT DISTINCT orgunituid, sitename FROM lines WHERE fiscal_year = 1996 AND value = 50) a
-             FULL JOIN (SELECT orgunituid AS datim_uid, sitename AS orgunit_name FROM roster) b
-               ON a.orgunituid = b.datim_uid""",
+             FULL JOIN (SELECT orgunituid AS listed_uid, sitename AS orgunit_name FROM roster) b
+               ON a.orgunituid = b.listed_uid""",
         "lines",
         "roster",
     ),
 )
 def full_reconcile(t: Tables) -> DataFrame:
     reported = t.lines(["orgunituid", "sitename", "value"], [1996]).filter("value = 50").select("orgunituid", "sitename")
-    listed = t.roster().select(F.col("orgunituid").alias("datim_uid"), F.col("sitename").alias("orgunit_name"))
-    return reconcile(reported.distinct(), listed, ("orgunituid", "datim_uid"))
+    listed = t.roster().select(F.col("orgunituid").alias("listed_uid"), F.col("sitename").alias("orgunit_name"))
+    return reconcile(reported.distinct(), listed, ("orgunituid", "listed_uid"))
 
 
 @query(

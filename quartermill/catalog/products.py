@@ -96,7 +96,8 @@ _PREV_DIMS = ["psnu", "snu1", "mech_code", "indicator"]
 @query(
     "product_prevention",
     with_sql(
-        f"""SELECT psnu, snu1, psnu AS short_name, mech_code, DSPID, 'NO' AS HIGHBURDEN, indicator, programme_class, period, period_type, value, {_MIRROR}
+        f"""SELECT psnu, snu1, psnu AS short_name, mech_code, DSPID, 'NO' AS HIGHBURDEN, indicator, programme_class,
+                   period, period_type, value, {_MIRROR}
             FROM long""",
         "lines",
         moved="""SELECT psnu, snu1, indicator, mech_code || psnu AS DSPID, fiscal_year, quarter, value, target,
@@ -199,7 +200,8 @@ def product_multi_source(t: Tables) -> DataFrame:
 @query(
     "product_outlay",
     with_sql(
-        f"""SELECT *, CASE WHEN indicator = 'budget' THEN value END AS budget, CASE WHEN indicator = 'outlays' THEN value END AS outlays, {_MIRROR} FROM (
+        f"""SELECT *, CASE WHEN indicator = 'budget' THEN value END AS budget,
+                   CASE WHEN indicator = 'outlays' THEN value END AS outlays, {_MIRROR} FROM (
              SELECT p_brand AS mech_code, 'budget' AS indicator, CAST(NULL AS VARCHAR) AS period_type, 'FY21Q3' AS period,
                     round(sum(p_retailprice), 2) AS value FROM part GROUP BY 1
              UNION ALL SELECT p_brand, 'outlays', NULL, 'FY21Q3', CAST(sum(p_size) AS DOUBLE) FROM part GROUP BY 1

@@ -25,7 +25,9 @@ _FY_SQL = "'FY' || right(CAST(fiscal_year AS VARCHAR), 2)"
 
 def report(t: Tables, found: DataFrame) -> DataFrame:
     """Findings with their site's name and area, in the reported columns."""
-    return iso(t.with_site(found, ["sitename", "psnu"]), "today_date").select("psnu", "sitename", "mech_code", "level", "type_check", "period", "indicator", "check", "today_date")
+    return iso(t.with_site(found, ["sitename", "psnu"]), "today_date").select(
+        "psnu", "sitename", "mech_code", "level", "type_check", "period", "indicator", "check", "today_date"
+    )
 
 
 def _yearly_sql(terms: dict[str, str], where: str, check: str, level: str = "Level 2", type_check: str = "IntraIndicator") -> str:

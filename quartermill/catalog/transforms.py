@@ -252,10 +252,12 @@ def staffing_rollup(t: Tables) -> DataFrame:
 
 @query(
     "facility_periods",
-    """WITH mfl AS (SELECT s_name, s_suppkey, CASE WHEN s_acctbal > 4000 THEN 'DSD+Roving TA' WHEN s_acctbal < 0 THEN NULL ELSE 'TA' END AS q1,
+    """WITH mfl AS (SELECT s_name, s_suppkey,
+                           CASE WHEN s_acctbal > 4000 THEN 'DSD+Roving TA' WHEN s_acctbal < 0 THEN NULL ELSE 'TA' END AS q1,
                            CASE WHEN s_nationkey < 12 THEN 'DSD' ELSE 'TA' END AS q2 FROM supplier)
-       SELECT s_name AS usaid_facility, s_suppkey AS code, 'FY22Q1' AS period, CASE WHEN q1 = 'DSD+Roving TA' THEN 'DSD' ELSE q1 END AS "DSD_TA" FROM mfl
-       UNION ALL SELECT s_name, s_suppkey, 'FY22Q2', q2 FROM mfl""".replace("usaid_facility", "facility"),
+       SELECT s_name AS facility, s_suppkey AS code, 'FY22Q1' AS period,
+              CASE WHEN q1 = 'DSD+Roving TA' THEN 'DSD' ELSE q1 END AS "DSD_TA" FROM mfl
+       UNION ALL SELECT s_name, s_suppkey, 'FY22Q2', q2 FROM mfl""",
 )
 def facility_periods(t: Tables) -> DataFrame:
     mfl = t.read("supplier").selectExpr(

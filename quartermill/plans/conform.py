@@ -108,7 +108,12 @@ def map_dispensing(feed: DataFrame, mapping: DataFrame, keep: Sequence[str], on:
 
 
 def denominator_variants(
-    feed: DataFrame, mapping: DataFrame, variants: Iterable[tuple[Column, Mapping[str, str], Column | None]], keep: Sequence[str], value: str, element: Sequence[str]
+    feed: DataFrame,
+    mapping: DataFrame,
+    variants: Iterable[tuple[Column, Mapping[str, str], Column | None]],
+    keep: Sequence[str],
+    value: str,
+    element: Sequence[str],
 ) -> DataFrame:
     """Several disaggregate variants of one feed, each mapped on its own keys, appended."""
     return loose_append(

@@ -61,9 +61,24 @@ def tagged_union(sources: Mapping[str, tuple[DataFrame, Sequence[str]]], measure
     return loose_append(*[tagged_source(df, name, cols, measure, code) for name, (df, cols) in sources.items()])
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict, where: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-    """Database table with filter and projection pushed to the source."""
-    df = spark.read.jdbc(url, table, properties=properties)
+def read_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: dict,
+    where: str | None = None,
+    columns: Sequence[str] | None = None,
+    split: tuple[str, int, int, int] | None = None,
+) -> DataFrame:
+    """Database table with filter and projection pushed to the source.
+
+    ``split`` is (numeric column, lower bound, upper bound, partitions); without
+    it Spark reads the table over one connection.
+    """
+    ranges = {}
+    if split:
+        ranges = dict(zip(("column", "lowerBound", "upperBound", "numPartitions"), split, strict=True))
+    df = spark.read.jdbc(url, table, properties=properties, **ranges)
     if where:
         df = df.filter(where)
     return df.select(*columns) if columns else df

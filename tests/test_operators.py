@@ -32,8 +32,8 @@ def test_partial_keys_do_not_fan_out(frame, rows):
 
 
 def test_reconcile_keeps_both_keys(frame, rows):
-    a, b = frame("uid string, n int", [("1", 1), ("2", 2)]), frame("datim string, m int", [("2", 2), ("3", 3)])
-    assert rows(joins.reconcile(a, b, ("uid", "datim"))) == [("1", 1, None, None), ("2", 2, "2", 2), (None, None, "3", 3)]
+    a, b = frame("uid string, n int", [("1", 1), ("2", 2)]), frame("listed string, m int", [("2", 2), ("3", 3)])
+    assert rows(joins.reconcile(a, b, ("uid", "listed"))) == [("1", 1, None, None), ("2", 2, "2", 2), (None, None, "3", 3)]
 
 
 def test_overwrite_only_where_present(frame, rows):

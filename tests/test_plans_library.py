@@ -309,15 +309,15 @@ def test_semi_wide_product_with_attributes(frame, rows):
 
 
 def test_submission_import(frame, rows):
-    feed = frame("datim string, indicator string, CoarseAgeGroup string, period string, Total double", [
+    feed = frame("site_uid string, indicator string, CoarseAgeGroup string, period string, Total double", [
         ("u", "TX_PVLS_Numer", "50-54", "FY22Q3", 1.0), ("u", "TX_PVLS_Numer", "65+", "FY22Q3", 2.0), ("u", "TX_NEW", None, "FY22Q3", 9.0),
     ])
     mapping = frame("indicator string, numeratordenom string, age string, de string, coc string", [("TX_PVLS", "N", "50+", "DE", "COC")])
     sites, mechs = frame("uid string, mech_code string", [("u", "70310")]), frame("mech_code string, mech_uid string", [("70310", "M")])
     out = conform.submission_import(
         feed, "Total", mapping, {"indicator": "indicator", "numeratordenom": "numeratordenom", "CoarseAgeGroup": "age"}, sites, mechs,
-        {"datim": "uid"},
-        {"mech_uid": "mech_uid", "orgUnit_uid": "datim", "dataElement_uid": "de", "categoryOptionCombo_uid": "coc", "value": "Total"},
+        {"site_uid": "uid"},
+        {"mech_uid": "mech_uid", "orgUnit_uid": "site_uid", "dataElement_uid": "de", "categoryOptionCombo_uid": "coc", "value": "Total"},
     )
     assert out.columns == list(conform.SUBMISSION)
     assert rows(out) == [("M", "u", "DE", "COC", 3.0, "FY22Q3")]
