@@ -149,6 +149,31 @@ def rule_prior_missing(t: Tables) -> DataFrame:
     return report(t, level_one_prior(level_one_fact(t)))
 
 
+@query(
+    "rule_missing_in_submission",
+    with_sql(
+        """SELECT orgunituid, mech_code, indicator, 'FY96Q2' AS period, 'Level 1' AS level, 'Result in previous quarter' AS type_check,
+                  'Value reported in previous quarter but missing in this quarter' AS "check"
+           FROM (SELECT orgunituid, mech_code, indicator FROM lines WHERE fiscal_year = 1996 AND quarter = 1 GROUP BY ALL) q1
+           WHERE NOT EXISTS (SELECT 1 FROM lines s WHERE s.fiscal_year = 1996 AND s.quarter = 2 AND s.orgunituid = q1.orgunituid
+                             AND s.mech_code = q1.mech_code AND s.indicator = q1.indicator)""",
+        "lines",
+    ),
+)
+def rule_missing_in_submission(t: Tables) -> DataFrame:
+    keys = ["orgunituid", "mech_code", "indicator"]
+    rows = t.lines([*keys, "quarter", "value"], [1996]).filter("quarter IN (1, 2)")
+    # One pass gives both quarters per key.
+    both = rows.groupBy(*keys).agg(
+        F.sum(F.when(F.col("quarter") == 1, F.col("value"))).alias("previous"),
+        F.sum(F.when(F.col("quarter") == 2, F.col("value"))).alias("submitted"),
+    )
+    submitted = both.select(F.col("orgunituid").alias("site"), F.col("mech_code").alias("mech"), "indicator", "submitted")
+    on = {"orgunituid": "site", "mech_code": "mech", "indicator": "indicator"}
+    reported = both.filter("previous IS NOT NULL")
+    return quality.missing_from_submission(reported, submitted, on, "submitted", keys, "FY96Q2", TODAY).drop("today_date")
+
+
 @query("rule_ratio", with_sql(_RATIO_SQL, "lines"))
 def rule_ratio(t: Tables) -> DataFrame:
     return report(t, yearly_findings(t, [RATIO]))

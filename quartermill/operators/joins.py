@@ -52,7 +52,7 @@ def match(left: DataFrame, right: DataFrame, on: Keys, how: str = "left", null_s
         renamed = renamed.withColumnRenamed(r, f"__key{i}")
     test = None
     for i, (l, _) in enumerate(pairs):
-        a, b = left[l], renamed[f"__key{i}"]
+        a, b = left[f"`{l}`"], renamed[f"__key{i}"]
         one = a.eqNullSafe(b) if null_safe else a == b
         test = one if test is None else test & one
     return left.join(renamed, test, how).drop(*[f"__key{i}" for i in range(len(pairs))])

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quartermill.operators.joins import match
+from quartermill.operators.joins import match, not_matched
 from quartermill.operators.windows import lag_periods
 
 LEVEL_1, LEVEL_2 = "Level 1", "Level 2"
@@ -224,6 +224,32 @@ def lagged_comparison(
     return shifted.filter(F.col(late) > F.col(against)).select(*keys, period, late, against, F.lit(message).alias("check"))
 
 
+def missing_from_submission(
+    reported: DataFrame,
+    submitted: DataFrame,
+    on: Mapping[str, str],
+    value: str,
+    columns: Sequence[str],
+    period: str,
+    today: dt.date | None = None,
+) -> DataFrame:
+    """Level 1, import form: a value in the previous quarter and nothing in the new submission.
+
+    ``on`` maps the fact's key columns to the submission's; ``value`` is the
+    submission's measure. Both sides may have many rows per key.
+    """
+    present = submitted.filter(F.col(value).isNotNull())
+    missing = not_matched(reported, present, on)
+    return missing.select(
+        *columns,
+        F.lit(period).alias("period"),
+        F.lit(LEVEL_1).alias("level"),
+        F.lit("Result in previous quarter").alias("type_check"),
+        F.lit("Value reported in previous quarter but missing in this quarter").alias("check"),
+        (F.lit(today) if today else F.current_date()).alias("today_date"),
+    )
+
+
 def value_mismatch(submitted: DataFrame, source: DataFrame, keys: Sequence[str], names: tuple[str, str]) -> DataFrame:
     """Submission totals that differ from the source totals (both already summed by ``keys``)."""
     return match(submitted, source, keys, "left", null_safe=True).filter(F.col(names[0]) != F.col(names[1]))

@@ -9,7 +9,7 @@ import pytest
 from quartermill.catalog import load
 from quartermill.catalog.tables import Tables
 from quartermill.functions.semantics import not_in
-from quartermill.operators import reshape, windows
+from quartermill.operators import reshape, setops, windows
 
 FOLDER = "/root/testdata/sf0.001"
 EAGER = {"candidate_keys"}
@@ -77,3 +77,24 @@ def test_grid_needs_no_join(spark):
     series = Tables(spark, FOLDER).series()
     text = plan(reshape.complete_grid(series, "day", ["facility", "event_type"], {"value": 0.0}))
     assert "Join" not in text
+
+
+def test_vintages_read_only_their_partitions(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    spark.range(6).selectExpr("id", "cast(2019 + id AS int) AS fiscal_year").write.partitionBy("fiscal_year").parquet(path)
+    frozen, current = spark.read.parquet(path), spark.read.parquet(path)
+    both = setops.join_vintages(frozen, current, [2019, 2020], [2023])
+    text = plan(both)
+    assert re.findall(r"PartitionFilters: \[.*fiscal_year#\d+ (?:IN \(2019,2020\)|= 2023)", text)
+    assert sorted(r.fiscal_year for r in both.collect()) == [2019, 2020, 2023]
+
+
+def test_site_joins_do_not_touch_fact_rows(unhinted):
+    t = Tables(unhinted, FOLDER)
+    text = plan(t.wide(["psnu", "orgunituid", "indicator"]))
+    body = text[text.index("== Physical Plan =="):]
+    # In the tree the top join is above the aggregate of the line items.
+    lines = body.splitlines()
+    first_join = next(i for i, x in enumerate(lines) if "SortMergeJoin" in x)
+    first_aggregate = next(i for i, x in enumerate(lines) if "HashAggregate" in x)
+    assert first_join < first_aggregate

@@ -321,3 +321,12 @@ def test_submission_import(frame, rows):
     )
     assert out.columns == list(conform.SUBMISSION)
     assert rows(out) == [("M", "u", "DE", "COC", 3.0, "FY22Q3")]
+
+
+def test_missing_from_submission(frame, rows):
+    fact = frame("uid string, indicator string, qtr2 double", [("a", "TX", 5.0), ("b", "TX", 1.0), ("c", "TX", 2.0)])
+    submitted = frame("site string, indicator string, value double", [("a", "TX", 4.0), ("a", "TX", 1.0), ("b", "TX", None)])
+    got = quality.missing_from_submission(
+        fact, submitted, {"uid": "site", "indicator": "indicator"}, "value", ["uid", "indicator"], "FY22Q3", TODAY
+    )
+    assert rows(got, "uid", "period", "level") == [("b", "FY22Q3", "Level 1"), ("c", "FY22Q3", "Level 1")]
