@@ -26,13 +26,19 @@ def read_delimited(
 def read_many(
     spark: SparkSession, path: str, pattern: str, fmt: str = "parquet", schema: T.StructType | str | None = None, source: str | None = None
 ) -> DataFrame:
-    """Every file of a folder that matches ``pattern``, as one scan (no union loop).
+    """Every file or file set of a folder that matches ``pattern``, as one scan (no union loop).
 
-    ``source`` names a column that carries each row's file name.
+    ``source`` names a column with the matching entry of the folder: the file
+    itself, or the directory its part files are in.
     """
-    reader = spark.read.format(fmt).option("pathGlobFilter", pattern)
-    df = (reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)).load(path)
-    return df.withColumn(source, F.col("_metadata.file_name")) if source else df
+    path = path.rstrip("/")
+    reader = spark.read.format(fmt)
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
+    df = reader.load(f"{path}/{pattern}")
+    if not source:
+        return df
+    below = F.substring_index(F.col("_metadata.file_path"), "/" + path.rsplit("/", 1)[-1] + "/", -1)
+    return df.withColumn(source, F.split(below, "/")[0])
 
 
 def latest_file(spark: SparkSession, path: str, pattern: str) -> str:

@@ -173,3 +173,12 @@ def test_membership_flag(frame, rows):
     df = frame("k string", [("a",), ("b",), (None,)])
     members = frame("k string", [("a",), ("a",), (None,)])
     assert rows(context.flagged_members(df, members, ["k"])) == [("a", True), ("b", False), (None, True)]
+
+
+def test_listed_mechanism_names_and_combos(frame):
+    assert one(frame, "70310 - 72067419CA00023 - Some Name", text.listed_mechanism_name("x")) == "Some Name"
+    assert one(frame, "00000 De-duplication", text.listed_mechanism_name("x")) == "De-duplication"
+    assert one(frame, "81902 - Plain Name", text.listed_mechanism_name("x")) == "Plain Name"
+    assert one(frame, "15-19, Female", text.combo_age("x")) == "15-19"
+    assert one(frame, "15-19, Female", text.combo_sex("x")) == "Female"
+    assert one(frame, "cadre...12", text.extract("x", r"^(.*?)\.+(\d+)$", 1)) == "cadre"

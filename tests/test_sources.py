@@ -27,14 +27,14 @@ def test_delimited_files_by_pattern(spark, rows, tmp_path):
 
 
 def test_many_files_one_scan_with_source(spark, rows, tmp_path):
-    spark.range(2).write.parquet(str(tmp_path / "a"))
-    part = next((tmp_path / "a").glob("*.parquet"))
-    part.rename(tmp_path / "x_1.parquet")
-    spark.range(3).withColumn("extra", F.lit("e")).coalesce(1).write.parquet(str(tmp_path / "b"))
-    next((tmp_path / "b").glob("*.parquet")).rename(tmp_path / "x_2.parquet")
+    spark.range(2).coalesce(1).write.parquet(str(tmp_path / "a"))
+    next((tmp_path / "a").glob("*.parquet")).rename(tmp_path / "x_1.parquet")
+    spark.range(3).withColumn("extra", F.lit("e")).repartition(2).write.parquet(str(tmp_path / "x_2.parquet"))
+    spark.range(9).write.parquet(str(tmp_path / "y.parquet"))
     df = readers.read_many(spark, str(tmp_path), "x_*.parquet", source="source")
     assert set(df.columns) == {"id", "extra", "source"}
-    assert rows(df.groupBy("source").count(), "source")[-1] == ("x_2.parquet",)
+    assert rows(df.groupBy("source").count()) == [("x_1.parquet", 2), ("x_2.parquet", 3)]
+    assert readers.read_many(spark, str(tmp_path), "x_*.parquet", schema="id long").columns == ["id"]
 
 
 def test_latest_file_by_time(spark, tmp_path):
