@@ -94,8 +94,22 @@ def partial_key_map(
 
 
 def reconcile(left: DataFrame, right: DataFrame, on: tuple[str, str]) -> DataFrame:
-    """Full outer join of two rosters that keeps both key columns (names must differ)."""
-    return left.join(right, left[on[0]] == right[on[1]], "full")
+    """Full outer join that keeps both key columns; all column names must differ.
+
+    Built as a left join plus the right rows without a match: a full outer
+    sort-merge join holds all rows of one key in memory and cannot be split,
+    these two can. NULL keys match each other.
+    """
+    shared = set(left.columns) & set(right.columns)
+    if shared:
+        raise ValueError(f"columns on both sides: {sorted(shared)}")
+    matched_rows = left.join(right, left[f"`{on[0]}`"].eqNullSafe(right[f"`{on[1]}`"]), "left")
+    return matched_rows.unionByName(not_matched(right, left, {on[1]: on[0]}), allowMissingColumns=True)
+
+
+def full_lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Full outer join on shared keys with one key column each, built like :func:`reconcile`."""
+    return lookup(left, right, on, null_safe=True).unionByName(not_matched(right, left, on), allowMissingColumns=True)
 
 
 def not_matched(left: DataFrame, right: DataFrame, on: Keys, null_safe: bool = True) -> DataFrame:

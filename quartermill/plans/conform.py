@@ -11,7 +11,7 @@ from quartermill.functions.selectors import starting
 from quartermill.functions.semantics import as_column, if_else, na_sum, not_in
 from quartermill.functions.text import first_matching, recode, remove_all, remove_first
 from quartermill.operators.aggregates import keys_with_more_than, row_total, sum_by
-from quartermill.operators.joins import lookup, map_join, match, matched, not_matched, overwrite, partial_key_map
+from quartermill.operators.joins import full_lookup, lookup, map_join, match, matched, not_matched, overwrite, partial_key_map
 from quartermill.operators.setops import loose_append
 from quartermill.operators.windows import find_repeats
 from quartermill.plans import lists
@@ -222,7 +222,7 @@ def without_wrong_ids(df: DataFrame, wrong: DataFrame, uid: str) -> DataFrame:
 
 def expected_but_zero(fact: DataFrame, expected: DataFrame, site: str, expected_flag: str, value: str) -> DataFrame:
     """Site roster against fact: ``FLAG`` where a site is expected to report and reports 0."""
-    joined = fact.join(expected, site, "full")
+    joined = full_lookup(fact, expected, [site])
     return joined.withColumn(
         "flag",
         F.when((F.upper(expected_flag) == "YES") & (F.col(value) == 0), F.lit("FLAG")).otherwise(F.lit("OK")),

@@ -52,11 +52,11 @@ def programme_class(
 
 
 def labels_by_code(c: Column | str, labels: Mapping, default: Column | str | None = None) -> Column:
-    """Label by code; codes compare as text. ``default`` is a column or literal ``''``."""
+    """Label by code; codes compare as text. Without ``default`` other codes get ``''``."""
     c = as_column(c).cast("string")
-    result = None
+    result = F.when(F.lit(False), F.lit(""))
     for code, label in labels.items():
-        result = F.when(c == str(code), F.lit(label)) if result is None else result.when(c == str(code), F.lit(label))
+        result = result.when(c == str(code), F.lit(label))
     return result.otherwise(F.lit("") if default is None else as_column(default))
 
 
@@ -68,12 +68,10 @@ def prevention_partner(
     default: str = "NOT DREAMS PARTNER",
 ) -> Column:
     """Partner label by mechanism and indicator group."""
-    ind = as_column(indicator)
-    result = None
+    result = F.when(F.lit(False), F.lit(""))
     for (code, group), label in labels.items():
         members = [i for i, g in groups.items() if g == group]
-        test = code_in(mechanism, [code]) & in_set(ind, members)
-        result = F.when(test, F.lit(label)) if result is None else result.when(test, F.lit(label))
+        result = result.when(code_in(mechanism, [code]) & in_set(indicator, members), F.lit(label))
     return result.otherwise(F.lit(default))
 
 

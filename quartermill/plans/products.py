@@ -201,12 +201,11 @@ def achievement_table(
         {"achievement": reached, "diff": F.lit(1.0) - reached, "order_index": custom_order("indicator", order)}
     )
     if bands:
-        status = None
+        status = F.when(hidden, F.lit("NA"))
         for bound, label in bands[:-1]:
-            test = F.col("achievement") < bound
-            status = F.when(test, F.lit(label)) if status is None else status.when(test, F.lit(label))
+            status = status.when(F.col("achievement") < bound, F.lit(label))
         status = status.when(F.col("achievement").isNotNull(), F.lit(bands[-1][1]))
-        out = out.withColumn("status", F.when(hidden, F.lit("NA")).otherwise(status))
+        out = out.withColumn("status", status)
     return out.withColumns({c: F.when(~hidden, F.col(c)) for c in ("achievement", "cumulative")})
 
 

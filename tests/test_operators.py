@@ -32,8 +32,17 @@ def test_partial_keys_do_not_fan_out(frame, rows):
 
 
 def test_reconcile_keeps_both_keys(frame, rows):
-    a, b = frame("uid string, n int", [("1", 1), ("2", 2)]), frame("listed string, m int", [("2", 2), ("3", 3)])
-    assert rows(joins.reconcile(a, b, ("uid", "listed"))) == [("1", 1, None, None), ("2", 2, "2", 2), (None, None, "3", 3)]
+    a = frame("uid string, n int", [("1", 1), ("2", 2), ("2", 3), (None, 4)])
+    b = frame("listed string, m int", [("2", 2), ("3", 3), (None, 5)])
+    got = rows(joins.reconcile(a, b, ("uid", "listed")))
+    assert got == [("1", 1, None, None), ("2", 2, "2", 2), ("2", 3, "2", 2), (None, 4, None, 5), (None, None, "3", 3)]
+    with pytest.raises(ValueError, match="both sides"):
+        joins.reconcile(a, a, ("uid", "uid"))
+
+
+def test_full_lookup_has_one_key_column(frame, rows):
+    a, b = frame("k string, n int", [("1", 1), ("2", 2)]), frame("k string, m int", [("2", 2), ("3", 3)])
+    assert rows(joins.full_lookup(a, b, ["k"])) == [("1", 1, None), ("2", 2, 2), ("3", None, 3)]
 
 
 def test_overwrite_only_where_present(frame, rows):
