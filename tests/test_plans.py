@@ -98,3 +98,29 @@ def test_site_joins_do_not_touch_fact_rows(unhinted):
     first_join = next(i for i, x in enumerate(lines) if "SortMergeJoin" in x)
     first_aggregate = next(i for i, x in enumerate(lines) if "HashAggregate" in x)
     assert first_join < first_aggregate
+
+
+def test_adaptive_execution_splits_a_hot_key(unhinted):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: unhinted.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        unhinted.conf.set(k, v)
+    try:
+        rows = unhinted.range(0, 300_000, 1, 8).selectExpr(
+            "id", "if(id % 3 = 0, 'hot', concat('g', id % 5000)) AS g", "cast(id % 7 AS double) AS v"
+        )
+        shared = windows.share_of_total(rows, "v", ["g"])
+        assert len(shared.collect()) == 300_000
+        assert "skewed" in plan(shared) and "SortMergeJoin(skew=true)" in plan(shared)
+    finally:
+        for k, v in before.items():
+            if v is None:
+                unhinted.conf.unset(k)
+            else:
+                unhinted.conf.set(k, v)
