@@ -18,7 +18,8 @@ COLLECTS = {"readers.py": 2}
 
 
 def sources():
-    return sorted(PACKAGE.rglob("*.py"))
+    """The reporting library; the training-data operators have rules of their own."""
+    return [p for p in sorted(PACKAGE.rglob("*.py")) if "llm" not in p.relative_to(PACKAGE).parts]
 
 
 def test_no_forbidden_calls():
