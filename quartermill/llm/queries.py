@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quartermill.llm.decontam import decontaminate
 from quartermill.llm.linededup import drop_repeated_lines
+from quartermill.llm.neardup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,6 +68,12 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op5_near_dedup")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_duplicates(table(spark, folder, "documents")).select(F.col("doc").alias("doc_id"), "class_id", "keeper")
+
+
 @query(
     "op6_line_dedup",
     r"""
