@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartermill.llm.decontam import decontaminate
+from quartermill.llm.langid import identify, learn
 from quartermill.llm.linededup import drop_repeated_lines
 from quartermill.llm.neardup import near_duplicates
+from quartermill.llm.pieces import decode, encode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +34,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: A public SentencePiece model; the operators take any path.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    profiles = learn(docs.filter(~held_out), "text", "lang")
+    asked = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
+    return identify(asked, profiles).drop("text")
+
+
 WORDS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
@@ -95,3 +111,10 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     """What line de-duplication leaves of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op8_sentencepiece")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document and the text they decode to."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decode(encode(docs, PIECES), PIECES).select("doc_id", "n_tokens", "ids", "decoded", F.col("decoded").eqNullSafe(F.col("text")).alias("same"))
