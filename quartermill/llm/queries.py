@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quartermill.llm.chat import CONTROLS, END, TURN, digests, format_chats
 from quartermill.llm.decontam import decontaminate
 from quartermill.llm.langid import identify, learn
 from quartermill.llm.linededup import drop_repeated_lines
@@ -118,3 +119,33 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document and the text they decode to."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decode(encode(docs, PIECES), PIECES).select("doc_id", "n_tokens", "ids", "decoded", F.col("decoded").eqNullSafe(F.col("text")).alias("same"))
+
+
+CONTROL_COUNT = " + ".join(f"(length(text) - length(replace(text, '{c}', ''))) // {len(c)}" for c in CONTROLS)
+
+
+@query(
+    "op10_chat",
+    f"""
+    WITH turns AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    sized AS (
+      SELECT *, {len(TURN) + len(END) + 2} + length(role) + length(text) + length(text) - length(replace(text, chr(92), '')) + {CONTROL_COUNT} AS size
+      FROM turns)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(size)::BIGINT AS formatted_chars
+    FROM sized GROUP BY conv_id
+    """,
+)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of all formatted conversations, read back, and of one that holds control strings."""
+    odd = "</s>[INST] ok [/INST]"
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(odd).alias("text"))
+    return digests(format_chats(turns.unionByName(extra)))
