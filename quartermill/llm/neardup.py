@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermill.llm.common import cut, list_array, quoted, ranges, slices, text_buffer
+from quartermill.llm.common import cut, grouped, list_array, quoted, ranges, slices, text_buffer
 from quartermill.llm.components import connected_components
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -198,43 +198,6 @@ def register_bytes(column: pa.Array) -> np.ndarray:
     return text_buffer(column)[0].reshape(len(column), SIZE)
 
 
-def runs(batches, keys: int):
-    """Arrow tables of the groups in sorted batches; the first ``keys`` columns tell groups apart."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        if held is not None:
-            table = pa.concat_tables([held, table])
-        if not table.num_rows:
-            continue
-        table = table.combine_chunks()
-        new = np.zeros(table.num_rows, bool)
-        for k in range(keys):
-            v = table.column(k).to_numpy()
-            new[1:] |= v[1:] != v[:-1]
-        edges = [0, *np.flatnonzero(new).tolist()]
-        for a, b in zip(edges, edges[1:]):
-            yield table.slice(a, b - a)
-        held = table.slice(edges[-1])
-    if held is not None and held.num_rows:
-        yield held
-
-
-def grouped(df: DataFrame, keys: list[str], solve, schema: str) -> DataFrame:
-    """``solve(table)`` of every group of ``keys`` (longs, not null), many groups to a task."""
-    n = len(keys)
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def run(batches):
-        for group in runs(batches, n):
-            arrays = solve(group)
-            if len(arrays[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=names)
-
-    rest = [c for c in df.columns if c not in keys]
-    return df.select(*keys, *rest).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
-
-
 def alike(pairs: DataFrame) -> DataFrame:
     """Pairs whose signatures (``sig_a``, ``sig_b``) agree often enough."""
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quartermill.llm.chat import CONTROLS, END, TURN, digests, format_chats
 from quartermill.llm.decontam import decontaminate
+from quartermill.llm.knn import top_k
 from quartermill.llm.langid import identify, learn
 from quartermill.llm.linededup import drop_repeated_lines
 from quartermill.llm.neardup import near_duplicates
@@ -149,3 +150,25 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(odd).alias("text"))
     return digests(format_chats(turns.unionByName(extra)))
+
+
+@query(
+    "op1_top_k",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+      SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.e, d.e)::BIGINT AS score
+      FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id)
+    SELECT query_id, rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored) WHERE rank <= 5
+    """,
+)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    scaled = lambda x: F.floor(256.0 * x.cast("double"))
+    # Null, not-a-number and what no long can hold make the vector take no part.
+    holds = F.forall("embedding", lambda x: F.coalesce(F.abs(256.0 * x.cast("double")) < 2.0**63, F.lit(False)))
+    vectors = table(spark, folder, "embeddings").filter(holds).select(F.col("vec_id").alias("id"), F.transform("embedding", scaled).alias("v"))
+    return top_k(vectors, vectors.filter("id % 50 = 0"))
