@@ -13,7 +13,8 @@ from quartermill.llm.knn import top_k
 from quartermill.llm.langid import identify, learn
 from quartermill.llm.linededup import drop_repeated_lines
 from quartermill.llm.neardup import near_duplicates
-from quartermill.llm.pieces import decode, encode
+from quartermill.llm.ordinal import WORDS, WORDS_AND_BEGINNINGS, fit, grade
+from quartermill.llm.pieces import encode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -119,7 +120,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document and the text they decode to."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return decode(encode(docs, PIECES), PIECES).select("doc_id", "n_tokens", "ids", "decoded", F.col("decoded").eqNullSafe(F.col("text")).alias("same"))
+    return encode(docs, PIECES, out="decoded").select("doc_id", "n_tokens", "ids", "decoded", F.col("decoded").eqNullSafe(F.col("text")).alias("same"))
 
 
 CONTROL_COUNT = " + ".join(f"(length(text) - length(replace(text, '{c}', ''))) // {len(c)}" for c in CONTROLS)
@@ -172,3 +173,20 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     holds = F.forall("embedding", lambda x: F.coalesce(F.abs(256.0 * x.cast("double")) < 2.0**63, F.lit(False)))
     vectors = table(spark, folder, "embeddings").filter(holds).select(F.col("vec_id").alias("id"), F.transform("embedding", scaled).alias("v"))
     return top_k(vectors, vectors.filter("id % 50 = 0"))
+
+
+@query("op7_quality")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected quality grade of every document, and whether it is selected."""
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    # Selection keeps what may well be good: grades weigh the same in the model, but bad texts are rare.
+    graded = grade(docs, fit(docs, labels, "quality", beginnings=WORDS), at_least=1)
+    return graded.select("doc_id", F.col("expected").alias("expected_grade"), F.col("tail").alias("tail_probability"), (F.col("tail") >= 0.25).alias("selected"))
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected severity of every document, and whether it is toxic."""
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    graded = grade(docs, fit(docs, labels, "toxic", beginnings=WORDS_AND_BEGINNINGS), at_least=1)
+    return graded.select("doc_id", F.col("expected").alias("severity"), F.col("tail").alias("tail_probability"), (F.col("tail") >= 0.4).alias("toxic"))
