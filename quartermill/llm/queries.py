@@ -11,6 +11,7 @@ from quartermill.llm.chat import CONTROLS, END, TURN, digests, format_chats
 from quartermill.llm.decontam import decontaminate
 from quartermill.llm.knn import top_k
 from quartermill.llm.langid import identify, learn
+from quartermill.llm.licenses import scan_licenses
 from quartermill.llm.linededup import drop_repeated_lines
 from quartermill.llm.neardup import near_duplicates
 from quartermill.llm.ordinal import WORDS, WORDS_AND_BEGINNINGS, fit, grade
@@ -190,3 +191,11 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
     graded = grade(docs, fit(docs, labels, "toxic", beginnings=WORDS_AND_BEGINNINGS), at_least=1)
     return graded.select("doc_id", F.col("expected").alias("severity"), F.col("tail").alias("tail_probability"), (F.col("tail") >= 0.4).alias("toxic"))
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """License statements and notices in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    best = F.array_max(F.transform("licenses", lambda x: F.struct(x["coverage"], x["stop"] - x["start"], x["name"])))
+    return scan_licenses(docs).select("doc_id", F.size("licenses").cast("long").alias("n_licenses"), best["name"].alias("license"), best["coverage"].alias("coverage"), "licenses")
