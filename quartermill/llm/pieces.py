@@ -32,7 +32,8 @@ UNIGRAM, BPE = 1, 2
 #: The library's penalty for a character without a piece, below the least score.
 UNKNOWN_PENALTY = 10.0
 LONGEST = 64
-SLICE = 4 << 20
+SLICE = 1 << 20
+TOKENS = 1 << 18
 CACHE = 1 << 19
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -349,13 +350,26 @@ def read_model(spark, path: str) -> bytes:
         return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
 
 
-def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
+def texts_of(pieces: Pieces, tables, ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The texts behind flat ids, a bounded number of them at a time."""
+    out = []
+    for a, b in slices(np.concatenate([[0], np.cumsum(lengths)]), TOKENS):
+        first = int(lengths[:a].sum())
+        own = ids[first : first + int(lengths[a:b].sum())].astype(np.int64)
+        data, offsets = decoded(own, lengths[a:b], tables, pieces.prefix)
+        raw, at = data.tobytes(), offsets.tolist()
+        out.append(pa.array([raw[x:y].decode(errors="replace") for x, y in zip(at, at[1:])], pa.string()))
+    return pa.concat_arrays(out) if out else pa.array([], pa.string())
+
+
+def encode(docs: DataFrame, model: str, text: str = "text", out: str | None = None) -> DataFrame:
     """Add ``ids`` (array of int) and ``n_tokens``; ``model`` is a path.
 
     The ids are those the model's own library gives, without begin and end marks. A
     null text has null ids and no tokens; an empty one has an empty list. Texts and
     words of any length are encoded whole, repeated rows alike, empty tables give no
-    rows; other columns pass through, save those named like an output.
+    rows; other columns pass through, save those named like an output. With ``out``,
+    the ids are decoded again in the same pass, into a column of that name.
     """
     spark = docs.sparkSession
     loaded = Loaded(spark.sparkContext.broadcast(Pieces.read(read_model(spark, model))))
@@ -363,20 +377,25 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     def run(batch):
         pieces = loaded.get()
         data, offsets, null = text_buffer(batch.column(batch.schema.names.index(text)))
-        flat, counts = [], []
+        flat, counts, again = [], [], []
         for a, b in slices(offsets, SLICE):
             raw, at = data[offsets[a] : offsets[b]].tobytes(), (offsets[a : b + 1] - offsets[a]).tolist()
-            ids = pieces.encode([raw[x:y].decode() for x, y in zip(at, at[1:])])
-            flat.append(ids[0])
-            counts.append(ids[1])
+            ids, count = pieces.encode([raw[x:y].decode() for x, y in zip(at, at[1:])])
+            flat.append(ids)
+            counts.append(count)
+            if out:
+                again.append(texts_of(pieces, loaded.tables, ids, count))
         counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
         begins = np.zeros(len(counts) + 1, np.int32)
         np.cumsum(counts, out=begins[1:])
         values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32), pa.int32())
-        lists = pa.ListArray.from_arrays(pa.array(begins, mask=np.append(null, False)), values)
-        return [lists, pa.array(counts, pa.int64())]
+        arrays = [pa.ListArray.from_arrays(pa.array(begins, mask=np.append(null, False)), values), pa.array(counts, pa.int64())]
+        if out:
+            texts = pa.concat_arrays(again) if again else pa.array([], pa.string())
+            arrays.append(pa.compute.if_else(pa.array(null), pa.scalar(None, pa.string()), texts))
+        return arrays
 
-    return extend(docs, "ids array<int>, n_tokens long", run)
+    return extend(docs, "ids array<int>, n_tokens long" + (f", `{out}` string" if out else ""), run)
 
 
 def decode(docs: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -395,9 +414,7 @@ def decode(docs: DataFrame, model: str, ids: str = "ids", out: str = "decoded")
         parents = pa.compute.list_parent_indices(column).to_numpy()
         flat = pa.compute.list_flatten(column).cast(pa.int64()).fill_null(-1).to_numpy()
         good = (flat >= 0) & (flat < len(pieces.texts))
-        lengths = np.bincount(parents[good], minlength=len(column))
-        data, offsets = decoded(flat[good], lengths, loaded.tables, pieces.prefix)
-        raw, at = data.tobytes(), offsets.tolist()
-        return [pa.array([None if n else raw[x:y].decode(errors="replace") for n, x, y in zip(null.tolist(), at, at[1:])], pa.string())]
+        texts = texts_of(pieces, loaded.tables, flat[good], np.bincount(parents[good], minlength=len(column)))
+        return [pa.compute.if_else(pa.array(null), pa.scalar(None, pa.string()), texts)]
 
     return extend(docs, f"`{out}` string", run)
