@@ -8,6 +8,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -43,17 +44,17 @@ def extend(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], list]) ->
     added = T.StructType.fromDDL(schema)
     names = {f.name.lower() for f in added.fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in names]
-    n = len(kept)
+    # Inputs that an output replaces still reach ``fn``, behind the kept ones.
+    given = [f.name for f in [*kept, *(f for f in df.schema.fields if f.name.lower() in names)]]
+    n, out_names = len(kept), [f.name for f in [*kept, *added.fields]]
 
     def run(batches):
         for batch in batches:
-            columns = [*batch.columns[:n], *fn(batch)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:n], *out_names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *fn(batch.rename_columns(given))], names=out_names)
 
-    out_names = [f.name for f in added.fields]
-    # Inputs that an output replaces still reach ``fn``, behind the kept ones.
-    replaced = [f for f in df.schema.fields if f.name.lower() in names]
-    return df.select(*[quoted(f.name) for f in [*kept, *replaced]]).mapInArrow(run, T.StructType([*kept, *added.fields]))
+    # Plain names on the way in, since the call can't take names with dots.
+    plain = df.select(*[F.col(quoted(name)).alias(f"c{k}") for k, name in enumerate(given)])
+    return plain.mapInArrow(run, T.StructType([*kept, *added.fields]))
 
 
 def quoted(name: str) -> str:

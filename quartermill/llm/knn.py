@@ -150,7 +150,7 @@ def rings(space: Space, near: list, ranges: list, k: int) -> np.ndarray:
         # One more than k: the query's own row may be among them.
         bound = reach[k] + slack if len(reach) > k else np.inf
         for r in rows:
-            if q != r.cell and r.edge > 2 * between[q, r.cell] * (bound + slack):
+            if q != r.cell and bound < np.inf and r.edge > 2 * between[q, r.cell] * (bound + slack):
                 continue  # the whole cell lies behind the plane between the two pivots
             out[q, r.cell] = r.low - bound - slack, r.high + bound + slack
     return out

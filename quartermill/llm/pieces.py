@@ -296,8 +296,8 @@ class Pieces:
         bounds = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
         return self.pool[ranges(self.begins[number], sizes)], np.diff(bounds)
 
-    def decode_tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """All pieces' bytes, one after another, and where each begins."""
+    def decode_tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pieces' bytes, one after another, where each begins, and whether it begins with the blank mark."""
         raw = []
         for text, kind in zip(self.texts, self.types):
             if kind == BYTE:
@@ -308,7 +308,8 @@ class Pieces:
                 raw.append(b"" if kind == CONTROL else text.replace(MARK, " ").encode())
         begins = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(r) for r in raw], out=begins[1:])
-        return np.frombuffer(b"".join(raw), np.uint8), begins
+        marked = np.array([t.startswith(MARK) and k == NORMAL for t, k in zip(self.texts, self.types)])
+        return np.frombuffer(b"".join(raw), np.uint8), begins, marked
 
 
 class Loaded:
@@ -326,7 +327,7 @@ class Loaded:
 
 def decoded(ids: np.ndarray, lengths: np.ndarray, tables, prefix: bool) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the texts behind flat ids, and their offsets: one gather for all of them."""
-    raw, begins = tables
+    raw, begins, marked = tables
     sizes = begins[ids + 1] - begins[ids]
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     edges = np.concatenate([[0], np.cumsum(lengths)])
@@ -335,7 +336,7 @@ def decoded(ids: np.ndarray, lengths: np.ndarray, tables, prefix: bool) -> tuple
     if prefix:  # the blank put in front goes
         begin = offsets[:-1][(np.diff(offsets) > 0)]
         drop = np.zeros(len(data), bool)
-        drop[begin] = data[begin] == 32
+        drop[begin] = marked[ids[np.searchsorted(bounds, begin, side="right") - 1]]
         data = data[~drop]
         offsets = offsets - np.concatenate([[0], np.cumsum(drop)])[offsets]
     return data, offsets
