@@ -26,7 +26,10 @@ BITS = 18
 SAMPLE = 6000
 ROUNDS = 150
 RATE = 0.1
-PENALTY = 1e-4
+#: Of squared weights, divided by the number of texts.
+PENALTY = 3.0
+LEAST_TEXTS = 3
+LEAN = 1.0
 SLICE = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -144,10 +147,17 @@ def fit_arrays(row, column, value, grade: np.ndarray, levels: int, rounds: int =
     Every grade weighs the same in all, however many rows it has. Thresholds are the first one and positive steps, so they stay in order.
     """
     n, width = len(grade), (1 << BITS) + SHARES
+    # Features of one or two texts would only let the model learn these by heart.
+    often = np.flatnonzero(np.bincount(column, minlength=width)[column] >= LEAST_TEXTS)
+    row, column, value = row[often], column[often], value[often].astype(np.float32)
     used, column = np.unique(column, return_inverse=True)
-    value = value.astype(np.float32)
-    weights, cuts = np.zeros(len(used)), np.zeros(levels - 1)
     each = 1.0 / (levels * np.bincount(grade, minlength=levels)[grade])
+    # Features that lean to one end of the grades come in larger units, so few texts teach them.
+    high = np.bincount(column, weights=(each * grade)[row], minlength=len(used))
+    low = np.bincount(column, weights=(each * (levels - 1 - grade))[row], minlength=len(used))
+    unit = np.abs(np.log((high + LEAN / n) / (low + LEAN / n)))
+    value = (value * unit[column]).astype(np.float32)
+    weights, cuts = np.zeros(len(used)), np.zeros(levels - 1)
     share = 1.0 - np.arange(1, levels) / levels
     theta = -np.log(share / (1 - share))
     cuts[0] = theta[0]
@@ -167,13 +177,13 @@ def fit_arrays(row, column, value, grade: np.ndarray, levels: int, rounds: int =
         np.add.at(by_theta, np.minimum(grade, levels - 2), np.where(grade < levels - 1, -du / chance * each, 0.0))
         np.add.at(by_theta, np.maximum(grade - 1, 0), np.where(grade > 0, dl / chance * each, 0.0))
         by_cut = np.array([by_theta.sum(), *(np.exp(cuts[k]) * by_theta[k:].sum() for k in range(1, levels - 1))])
-        by_weight = np.bincount(column, weights=slope[row] * value, minlength=len(used)) + PENALTY * weights
+        by_weight = np.bincount(column, weights=slope[row] * value, minlength=len(used)) + PENALTY / n * weights
         for x, g, a, b in zip((weights, cuts), (by_weight, by_cut), m, v):
             a += 0.1 * (g - a)
             b += 0.01 * (g * g - b)
             x -= RATE * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.99**t)) + 1e-8)
     out = np.zeros(width, np.float32)
-    out[used] = weights
+    out[used] = weights * unit
     return out, np.cumsum(np.concatenate([cuts[:1], np.exp(cuts[1:])]))
 
 
