@@ -30,6 +30,7 @@ RATE = 0.1
 PENALTY = 3.0
 LEAST_TEXTS = 3
 LEAN = 1.0
+SHARE_UNIT = 10.0
 SLICE = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -155,7 +156,7 @@ def fit_arrays(row, column, value, grade: np.ndarray, levels: int, rounds: int =
     # Features that lean to one end of the grades come in larger units, so few texts teach them.
     high = np.bincount(column, weights=(each * grade)[row], minlength=len(used))
     low = np.bincount(column, weights=(each * (levels - 1 - grade))[row], minlength=len(used))
-    unit = np.abs(np.log((high + LEAN / n) / (low + LEAN / n)))
+    unit = np.where(used < 1 << BITS, np.abs(np.log((high + LEAN / n) / (low + LEAN / n))), SHARE_UNIT)
     value = (value * unit[column]).astype(np.float32)
     weights, cuts = np.zeros(len(used)), np.zeros(levels - 1)
     share = 1.0 - np.arange(1, levels) / levels
