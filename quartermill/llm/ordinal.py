@@ -34,14 +34,14 @@ SHARE_UNIT = 10.0
 SLICE = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-#: Whole words and their first bytes; a kind of features each.
+#: Kinds of features: whole words (0), their first bytes, and shares of odd words (-1).
 WORDS_AND_BEGINNINGS = (0, 4, 5, 6)
-WORDS = (0,)
+WORDS = (0, -1)
 SHARES = 3
 
 
 class Model(NamedTuple):
-    """Weights, thresholds between neighbouring grades, the grades, and which beginnings of words count (0: whole words)."""
+    """Weights, thresholds between neighbouring grades, the grades, and the kinds of features."""
 
     weights: np.ndarray
     thresholds: np.ndarray
@@ -76,8 +76,9 @@ def features(data: np.ndarray, offsets: np.ndarray, beginnings: tuple) -> tuple[
 
     A feature counts once per text, however often it occurs, and all are scaled by the
     fourth root of their number: halfway between a plain set, in which long texts weigh
-    most, and unit length, in which a rare feature drowns. The three shares come behind
-    the hashed columns.
+    most, and unit length, in which a rare feature drowns. Three shares, if asked for,
+    come behind the hashed columns: of words in capitals, of words that repeat the one
+    before, and of runs of marks.
     """
     n = len(offsets) - 1
     upper = (data >= 65) & (data <= 90)
@@ -95,7 +96,7 @@ def features(data: np.ndarray, offsets: np.ndarray, beginnings: tuple) -> tuple[
 
     whole = (sums[stops] - sums[starts]) * back[starts]
     rows, columns = [], []
-    for size in beginnings:
+    for size in (k for k in beginnings if k >= 0):
         rows.append(owner)
         columns.append(hashed(starts, np.minimum(stops, starts + size) if size else stops, size))
     a, b = spans(mark, offsets)
@@ -109,7 +110,8 @@ def features(data: np.ndarray, offsets: np.ndarray, beginnings: tuple) -> tuple[
     first = np.flatnonzero(new)
     row, column = keys[first] >> BITS, keys[first] & ((1 << BITS) - 1)
     value = np.bincount(row, minlength=n)[row] ** -0.25
-    # Shares of the words.
+    if -1 not in beginnings:
+        return row, column, value
     words = np.bincount(owner, minlength=n)
     capitals = np.concatenate([[0], np.cumsum(upper)])
     loud = (capitals[stops] - capitals[starts] == stops - starts) & (stops - starts > 1)

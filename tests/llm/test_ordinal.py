@@ -37,6 +37,7 @@ def test_features_do_not_depend_on_neighbours():
     raw = [t.encode() for t in texts]
     data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
     row, column, value = features(data, offsets, WORDS_AND_BEGINNINGS)
+    assert not (column >= 1 << 18).any() and (features(data, offsets, WORDS)[1] >= 1 << 18).sum() == 3 * 3
     for k, t in enumerate(raw):
         r, c, v = features(np.frombuffer(t, np.uint8), np.array([0, len(t)]), WORDS_AND_BEGINNINGS)
         assert sorted(zip(c, v)) == sorted(zip(column[row == k], value[row == k]))
