@@ -14,7 +14,6 @@ from quartermill.operators.setops import join_vintages
 from quartermill.plans import lists, products
 from quartermill.plans.conform import age_bands, area_names
 from quartermill.plans.context import agency_short_name, area_key, coarse_age, disaggregate_type, official_names
-from quartermill.session import materialize
 
 DIMS = ["snu1", "psnu", "mech_code", "indicator", "numeratordenom", "standardizeddisaggregate"]
 _MIRROR = ", ".join(f"CASE WHEN indicator = '{i}' THEN value END AS {i}" for i in "ANR")
@@ -43,11 +42,13 @@ _MIRROR_L = _MIRROR.replace("indicator", "l.indicator")
 )
 def product_treatment(t: Tables) -> DataFrame:
     closed, current = range(1995, 2000), range(2000, 2003)
-    fact = materialize(join_vintages(t.wide(DIMS, closed), t.wide(DIMS, current), closed, current))
+    fact = join_vintages(t.wide(DIMS, closed), t.wide(DIMS, current), closed, current)
     fact = fact.withColumn("prime_partner_name", F.concat("mech_code", F.lit(" partner")))
-    partner_areas = area_key(fact.select("mech_code", "psnu").distinct())
+    # The two small lookups come from pruned scans of their own, without the joins the fact needs.
+    partner_areas = t.with_site(t.lines(["mech_code", "orgunituid"]).distinct(), ["psnu"]).select("mech_code", "psnu").distinct()
+    partner_areas = area_key(partner_areas)
     attributes = lookup(partner_areas, t.areas(), ["psnu"], ["snu1", "DSP"]).filter("snu1 <> 'EUROPE'").select("DSPID", "DSP")
-    known = fact.select("indicator", "numeratordenom", "standardizeddisaggregate").distinct()
+    known = t.lines(["indicator", "numeratordenom", "standardizeddisaggregate"]).distinct()
     elements = known.filter("standardizeddisaggregate <> 'FURNITURE'").select(
         F.concat_ws("_", "indicator", "numeratordenom", "standardizeddisaggregate").alias("disagg_key"),
         F.expr("concat(indicator, ' (', numeratordenom, ', DSD, ', standardizeddisaggregate, '): text')").alias(
@@ -59,9 +60,6 @@ def product_treatment(t: Tables) -> DataFrame:
     )
 
 
-_SERIES_DIMS = ["psnu", "orgunituid", "sitename", "mech_code"]
-
-
 @query(
     "product_site_lag",
     with_sql(
@@ -81,8 +79,10 @@ _SERIES_DIMS = ["psnu", "orgunituid", "sitename", "mech_code"]
     ),
 )
 def product_site_lag(t: Tables) -> DataFrame:
-    rows = t.lines([*_SERIES_DIMS, "indicator", "fiscal_year", "quarter", "value"])
-    long = rows.withColumns(
+    # Summed by site and mechanism before the site's attributes are joined.
+    rows = t.lines(["orgunituid", "mech_code", "indicator", "fiscal_year", "quarter", "value"])
+    summed = rows.groupBy("orgunituid", "mech_code", "indicator", "fiscal_year", "quarter").agg(na_sum("value").alias("value"))
+    long = t.with_site(summed, ["sitename", "psnu"]).withColumns(
         {"period": F.concat("fiscal_year", F.lit("Q"), "quarter"), "period_type": F.lit("results")}
     ).drop("fiscal_year", "quarter")
     return products.site_series(

@@ -12,7 +12,6 @@ from quartermill.catalog.tables import Tables, iso, wide_sql, with_sql
 from quartermill.operators.setops import strict_append
 from quartermill.plans import quality
 from quartermill.plans.conform import without_wrong_ids
-from quartermill.session import materialize
 
 SITE = ["orgunituid", "mech_code", "fiscal_year"]
 TODAY = dt.date(2023, 4, 24)
@@ -104,19 +103,21 @@ _RATIO_SQL = _yearly_sql(
     {"part": "indicator = 'R' AND standardizeddisaggregate = 'BUILDING'", "whole": "indicator = 'R'"},
     "CASE WHEN whole = 0 THEN part > 0 ELSE part / whole > 0.10::DOUBLE END", "R with BUILDING / R > 10%",
 )
-_LEVEL_1_DIMS = ["psnu", "orgunituid", "sitename", "mech_code", "indicator"]
 LEVEL_1_KEYS = ["orgunituid", "mech_code", "indicator", "fiscal_year"]
-_TARGET_SQL = f"""SELECT psnu, sitename, mech_code, 'Level 1' AS level, 'Result in previous quarter' AS type_check, {_FY_SQL} AS period,
+_TARGET_SQL = f"""SELECT psnu, sitename, mech_code, 'Level 1' AS level, 'Target without result' AS type_check, {_FY_SQL} AS period,
        indicator, 'Targets reported but results blank' AS "check", '2023-04-24' AS today_date
 FROM (SELECT psnu, orgunituid, sitename, mech_code, indicator, fiscal_year, sum(target) AS targets,
              sum(CASE WHEN numeratordenom = 'D' AND quarter = 1 THEN value ELSE 0 END) AS cumulative
       FROM lines GROUP BY ALL) WHERE targets > 0 AND cumulative = 0"""
-_PRIOR_SQL = " UNION ALL ".join(
-    f"""SELECT psnu, sitename, mech_code, 'Level 1' AS level, 'Result in previous quarter' AS type_check, {_FY_SQL} || 'Q{i}' AS period,
-        indicator, 'Value reported in previous quarter but missing in this quarter' AS "check", '2023-04-24' AS today_date
-        FROM wide WHERE coalesce(qtr{i - 1}, 0) > 0 AND coalesce(qtr{i}, 0) = 0"""
-    for i in range(2, 5)
-)
+#: The last period that is due: no gap is reported after it.
+THROUGH = (2002, 4)
+_PRIOR_SQL = """SELECT psnu, sitename, mech_code, 'Level 1' AS level, 'Result in previous quarter' AS type_check,
+       'FY' || right(CAST((p + 1) // 4 AS VARCHAR), 2) || 'Q' || CAST((p + 1) % 4 + 1 AS VARCHAR) AS period,
+       indicator, 'Value reported in previous quarter but missing in this quarter' AS "check", '2023-04-24' AS today_date
+FROM reported a WHERE p + 1 <= 2002 * 4 + 3 AND NOT EXISTS (
+  SELECT 1 FROM reported b WHERE b.p = a.p + 1 AND b.orgunituid = a.orgunituid AND b.mech_code = a.mech_code AND b.indicator = a.indicator)"""
+_REPORTED_SQL = """SELECT psnu, orgunituid, sitename, mech_code, indicator, fiscal_year * 4 + quarter - 1 AS p
+FROM lines GROUP BY ALL HAVING sum(value) > 0"""
 
 
 def level_one_fact(t: Tables) -> DataFrame:
@@ -129,24 +130,20 @@ def level_one_fact(t: Tables) -> DataFrame:
     )
 
 
-def level_one_targets(fact: DataFrame) -> DataFrame:
-    """Targets without results."""
-    return quality.target_findings(fact, LEVEL_1_KEYS, _FY.format(""), TODAY)
-
-
-def level_one_prior(fact: DataFrame) -> DataFrame:
-    """Values reported in one quarter and missing in the next."""
-    return quality.findings(fact, LEVEL_1_KEYS, [quality.prior_missing()], QUARTERLY, TODAY)
+def level_one(t: Tables, *checks: tuple[str, str]) -> DataFrame:
+    """Level 1 findings of the given checks."""
+    keys = [k for k in LEVEL_1_KEYS if k != "fiscal_year"]
+    return quality.level_one(level_one_fact(t), keys, "fiscal_year", [f"qtr{i}" for i in range(1, 5)], THROUGH, TODAY, checks)
 
 
 @query("rule_target_no_result", with_sql(_TARGET_SQL, "lines"))
 def rule_target_no_result(t: Tables) -> DataFrame:
-    return report(t, level_one_targets(level_one_fact(t)))
+    return report(t, level_one(t, quality.TARGET_CHECK))
 
 
-@query("rule_prior_missing", with_sql(_PRIOR_SQL, "lines", wide=wide_sql(_LEVEL_1_DIMS)))
+@query("rule_prior_missing", with_sql(_PRIOR_SQL, "lines", reported=_REPORTED_SQL))
 def rule_prior_missing(t: Tables) -> DataFrame:
-    return report(t, level_one_prior(level_one_fact(t)))
+    return report(t, level_one(t, quality.PRIOR_CHECK))
 
 
 @query(
@@ -228,14 +225,13 @@ def rule_lagged(t: Tables) -> DataFrame:
               ({_TARGET_SQL} UNION ALL {_PRIOR_SQL} UNION ALL {_N_OVER_D_SQL} UNION ALL {_COMPARE_SQL}
                UNION ALL {_SUM_COMPARE_SQL} UNION ALL {_RATIO_SQL}) GROUP BY ALL""",
         "lines",
-        wide=wide_sql(_LEVEL_1_DIMS),
+        reported=_REPORTED_SQL,
     ),
 )
 def findings_by_level(t: Tables) -> DataFrame:
     # One pass for level 1, one for level 2: every rule is a conditional sum.
     level_2 = yearly_findings(t, [N_OVER_D, A_LESS_R, A_NOT_N, LARGE_OVER_TOTAL, PARTS, CROSS, RATIO])
-    fact = materialize(level_one_fact(t))
-    levels = [level_one_targets(fact), level_one_prior(fact), level_2]
+    levels = [level_one(t, quality.TARGET_CHECK, quality.PRIOR_CHECK), level_2]
     every = strict_append(*[f.select("level", "mech_code", "check") for f in levels])
     return every.groupBy("level", "mech_code", "check").agg(F.count(F.lit(1)).alias("findings"))
 

@@ -124,6 +124,12 @@ class Tables:
         if late:
             summed = self.wide([d for d in dims if d not in late], years)
             return self.with_site(summed, late).select(*dims, "fiscal_year", *QUARTERS, "cumulative", "targets")
+        if any(d in SITE_ATTRIBUTES for d in dims):
+            # By site first, then its attributes, then without the site: no area join on line rows.
+            own = [d for d in dims if d not in SITE_ATTRIBUTES]
+            summed = self.with_site(self.wide([*own, "orgunituid"], years), [d for d in dims if d in SITE_ATTRIBUTES])
+            measures = (*QUARTERS, "cumulative", "targets")
+            return summed.groupBy(*dims, "fiscal_year").agg(*[F.sum(m).alias(m) for m in measures])
         rows = self.lines([*dims, "fiscal_year", "quarter", "value", "target"], years)
         quarters = [F.sum(F.when(F.col("quarter") == i, F.col("value"))).alias(q) for i, q in enumerate(QUARTERS, 1)]
         return rows.groupBy(*dims, "fiscal_year").agg(

@@ -47,6 +47,8 @@ def match(left: DataFrame, right: DataFrame, on: Keys, how: str = "left", null_s
     equi-join. For semi and anti joins only left columns come back.
     """
     pairs = _pairs(on)
+    if not pairs:
+        raise ValueError("a join needs keys")
     renamed = right
     for i, (_, r) in enumerate(pairs):
         renamed = renamed.withColumnRenamed(r, f"__key{i}")

@@ -40,7 +40,8 @@ def join_vintages(
 
 def rows_only_in(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct rows of ``a`` that ``b`` does not have, columns aligned by name."""
-    return a.subtract(b.select(*a.columns))
+    # Distinct first: partial sums shrink hot rows before anything meets on them.
+    return a.distinct().subtract(b.select(*a.columns).distinct())
 
 
 def keys_only_in(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quartermill.functions.selectors import starting
-from quartermill.functions.semantics import as_column, if_else, na_sum, not_in
+from quartermill.functions.semantics import as_column, if_else, in_set, na_sum, not_in
 from quartermill.functions.text import first_matching, recode, remove_all, remove_first
 from quartermill.operators.aggregates import keys_with_more_than, row_total, sum_by
 from quartermill.operators.joins import full_lookup, lookup, map_join, match, matched, not_matched, overwrite, partial_key_map
@@ -199,6 +199,14 @@ def age_bands(c: Column | str, spellings: Mapping[str, str] = lists.AGE_BAND_SPE
     return recode(F.trim(remove_all(c, "years")), spellings)
 
 
+def cash_age_bands(c: Column | str, spellings: Mapping[str, str] = lists.CASH_AGE_SPELLINGS) -> Column:
+    """Age bands of the cash source: ``5 to 9`` and ``15 - 24`` as two-digit ranges, the listed others recoded."""
+    c = F.trim(as_column(c))
+    bound = lambda k: F.lpad(F.regexp_extract(c, r"^(\d+) (?:to|-) (\d+)$", k), 2, "0")
+    ranged = c.rlike(r"^\d+ (?:to|-) \d+$") & ~in_set(c, list(spellings))
+    return F.when(ranged, F.concat(bound(1), F.lit("-"), bound(2))).otherwise(recode(c, spellings))
+
+
 def area_names(
     c: Column | str, patterns: Sequence[tuple[str, str]] = lists.DISTRICT_PATTERNS, bay: str | None = "Nelson Mandela Bay Metropolitan Municipality"
 ) -> Column:

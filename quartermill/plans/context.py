@@ -128,13 +128,13 @@ def disaggregate_type(age: Column | str, sex: Column | str, no_age: str = "No ag
     )
 
 
-def coarse_age(
-    band: Column | str,
-    under: Iterable[str] = lists.BANDS_UNDER_15,
-    over: Iterable[str] = lists.BANDS_15_PLUS,
-) -> Column:
-    """``<15`` or ``15+`` for known bands, else NULL."""
-    return F.when(in_set(band, under), F.lit("<15")).when(in_set(band, over), F.lit("15+"))
+def coarse_age(band: Column | str) -> Column:
+    """``<15`` or ``15+`` from the bounds of a band such as ``05-09``, ``<01`` or ``65+``, else NULL."""
+    band = as_column(band)
+    low = F.regexp_extract(band, r"^(\d+)(?:-\d+|[+])$", 1).try_cast("int")
+    high = F.regexp_extract(band, r"^\d+-(\d+)$", 1).try_cast("int")
+    below = F.regexp_extract(band, r"^<(\d+)$", 1).try_cast("int")
+    return F.when((high < 15) | (below <= 15), F.lit("<15")).when(low >= 15, F.lit("15+"))
 
 
 def coarse_age_from_number(age: Column | str) -> Column:

@@ -24,7 +24,6 @@ from quartermill.operators.windows import fill_within, lag_periods, period_diffe
 from quartermill.plans.context import (
     area_flags, area_key, labels_by_code, pair_flag, programme_class, with_denominator_suffix,
 )
-from quartermill.session import materialize
 
 
 def long_totals(fact: DataFrame, indicators: Sequence[str], year: str = "fiscal_year") -> DataFrame:
@@ -76,11 +75,10 @@ def site_series(
     """Complete period series of one indicator with its lags appended as derived indicators.
 
     ``series`` identifies a series, ``attributes`` are columns carried into the
-    periods that were missing (within ``group``, ordered by period). The summed
-    series is materialized once, since the grid, the period list and the fill
-    all read it.
+    periods that were missing (within ``group``, ordered by period). With ``periods``
+    the list need not be read from the series.
     """
-    observed = materialize(
+    observed = (
         long_fact.filter((F.col("indicator") == indicator) & (F.col("period_type") == "results"))
         .groupBy(*series, *attributes, "period")
         .agg(na_sum("value").alias("value"))

@@ -15,9 +15,10 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quartermill.functions.periods import year_label
 from quartermill.operators.joins import match, not_matched
 from quartermill.operators.windows import lag_periods
 
@@ -178,6 +179,11 @@ def findings(
     return out.withColumn("today_date", F.lit(today) if today else F.current_date())
 
 
+#: Level 1 checks and their check types.
+TARGET_CHECK = ("Target without result", "Targets reported but results blank")
+PRIOR_CHECK = ("Result in previous quarter", "Value reported in previous quarter but missing in this quarter")
+
+
 def target_findings(fact: DataFrame, keys: Sequence[str], period: str, today: dt.date | None = None) -> DataFrame:
     """Level 1: a target above zero whose cumulative result is zero, per group."""
     summed = fact.groupBy(*keys).agg(
@@ -188,21 +194,52 @@ def target_findings(fact: DataFrame, keys: Sequence[str], period: str, today: dt
         *keys,
         F.expr(period).cast("string").alias("period"),
         F.lit(LEVEL_1).alias("level"),
-        F.lit("Result in previous quarter").alias("type_check"),
-        F.lit("Targets reported but results blank").alias("check"),
+        F.lit(TARGET_CHECK[0]).alias("type_check"),
+        F.lit(TARGET_CHECK[1]).alias("check"),
         (F.lit(today) if today else F.current_date()).alias("today_date"),
     )
 
 
-def level_one(fact: DataFrame, keys: Sequence[str], measures: Mapping[str, str], year: str, today: dt.date | None = None) -> DataFrame:
-    """Level 1 report: targets without results, and values missing after a reported quarter.
+def level_one(
+    fact: DataFrame,
+    keys: Sequence[str],
+    year: str,
+    quarters: Sequence[str],
+    through: tuple[int, int],
+    today: dt.date | None = None,
+    checks: Sequence[tuple[str, str]] = (TARGET_CHECK, PRIOR_CHECK),
+) -> DataFrame:
+    """Level 1 report in one pass: targets without results, and values missing after a reported quarter.
 
-    ``keys`` include the indicator; ``year`` labels the yearly check (an SQL
-    expression over the keys).
+    ``keys`` include the indicator but not ``year``. Quarters are a continuous axis:
+    the first quarter of a year follows the last one of the year before, and a key
+    that has no row at all in the next year is missing there too. No gap is reported
+    after ``through`` (year, quarter), the last period that is due.
     """
-    prior = findings(fact, keys, [prior_missing()], measures, today)
-    targets = target_findings(fact, keys, year, today)
-    return prior.unionByName(targets, allowMissingColumns=True)
+    measures = ["targets", "cumulative", *quarters]
+    summed = fact.groupBy(*keys, year).agg(*[F.sum(m).alias(m) for m in measures])
+    # A key has one row per year, so this window never gathers more than the years.
+    following = Window.partitionBy(*keys).orderBy(year)
+    summed = summed.withColumns({"__next": F.lead(year).over(following), "__first": F.lead(quarters[0]).over(following)})
+    n, last = len(quarters), through[0] * len(quarters) + through[1] - 1
+
+    def finding(when: Column, of: Column, quarter: int | None, check: tuple[str, str]) -> Column:
+        period = F.concat(year_label(of), F.lit("" if quarter is None else f"Q{quarter}"))
+        return F.when(when, F.struct(period.alias("period"), F.lit(check[0]).alias("type_check"), F.lit(check[1]).alias("check")))
+
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    found = []
+    if TARGET_CHECK in checks:
+        found.append(finding((zero(F.col("targets")) > 0) & (zero(F.col("cumulative")) == 0), F.col(year), None, TARGET_CHECK))
+    if PRIOR_CHECK in checks:
+        for i, q in enumerate(quarters):
+            at_end = i == n - 1
+            later = F.when(F.col("__next") == F.col(year) + 1, F.col("__first")) if at_end else F.col(quarters[i + 1])
+            of = F.col(year) + 1 if at_end else F.col(year)
+            due = F.col(year) * n + (i + 1) <= last
+            found.append(finding((F.col(q) > 0) & (zero(later) == 0) & due, of, 1 if at_end else i + 2, PRIOR_CHECK))
+    return summed.select(*keys, F.inline(F.array_compact(F.array(*found)))).withColumns(
+        {"level": F.lit(LEVEL_1), "today_date": F.lit(today) if today else F.current_date()})
 
 
 def report(level_1: DataFrame, level_2: DataFrame) -> DataFrame:
@@ -301,7 +338,7 @@ def programme_rules(agency: str) -> list[Rule]:
 
     Conditions name the fact's own columns; the agency is a parameter.
     """
-    own = f"funding_agency = '{agency}'"
+    own = "funding_agency = '" + agency.replace("\\", "\\\\").replace("'", "\\'") + "'"
     total = "standardizeddisaggregate = 'Total Numerator'"
 
     def ind(name: str, *more: str) -> str:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,43 +14,98 @@ from quartermill.functions.selectors import clean_names
 from quartermill.operators.setops import loose_append
 
 
-def read_delimited(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | str, sep: str = "\t", pattern: str | None = None, null: str = ""
-) -> DataFrame:
-    """Delimited text with a declared schema; ``pattern`` picks files by name in one scan."""
-    reader = spark.read.schema(schema).option("header", True).option("sep", sep).option("nullValue", null)
+def files_in(spark: SparkSession, path: str | list[str], pattern: str | None = None, deep: bool = False) -> list[tuple[str, object]]:
+    """Paths and modification times of matching files; file sets are a few, so the driver holds their names."""
+    reader = spark.read.format("binaryFile")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.csv(path)
+    if deep:
+        reader = reader.option("recursiveFileLookup", True)
+    return [(r[0], r[1]) for r in reader.load(path).select("path", "modificationTime").collect()]
+
+
+def read_delimited(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | str,
+    sep: str = "\t",
+    pattern: str | None = None,
+    null: str = "",
+    ignore_unknown: bool = False,
+    allow_absent: bool = False,
+    source: str | None = None,
+) -> DataFrame:
+    """Delimited text with a header, bound to the declared columns by name, file by file.
+
+    ``pattern`` picks files by name. Files with the same header line are one scan, so
+    yearly extracts with moved columns cost one more. A column that is not declared is
+    an error unless ``ignore_unknown``; a declared one that a file lacks is an error
+    unless ``allow_absent``, and NULL then. ``source`` adds the decoded file path.
+    """
+    declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    types = {f.name: f for f in declared.fields}
+    text = spark.read.option("header", True).option("sep", sep).option("nullValue", null)
+    headers: dict[tuple, list[str]] = {}
+    for file, _ in sorted(files_in(spark, path, pattern)):
+        headers.setdefault(tuple(text.csv(file).columns), []).append(file)
+    if not headers:
+        raise FileNotFoundError(f"nothing to read in {path}")
+    parts = []
+    for names, files in headers.items():
+        unknown, absent = [n for n in names if n not in types], [n for n in types if n not in names]
+        if unknown and not ignore_unknown:
+            raise ValueError(f"{files[0]}: columns that are not declared: {unknown}")
+        if absent and not allow_absent:
+            raise ValueError(f"{files[0]}: declared columns that are absent: {absent}")
+        own = T.StructType([types.get(n, T.StructField(n, T.StringType())) for n in names])
+        rows = text.schema(own).csv(files)
+        cells = [F.col(f"`{n}`") if n in names else F.lit(None).cast(f.dataType).alias(n) for n, f in types.items()]
+        parts.append(rows.select(*cells, *([decoded_path().alias(source)] if source else [])))
+    return loose_append(*parts)
+
+
+def decoded_path() -> Column:
+    """The file a row comes from, without percent escapes; a plus sign stays one."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
 def read_many(
-    spark: SparkSession, path: str, pattern: str, fmt: str = "parquet", schema: T.StructType | str | None = None, source: str | None = None
+    spark: SparkSession,
+    path: str,
+    pattern: str,
+    fmt: str = "parquet",
+    schema: T.StructType | str | None = None,
+    source: str | None = None,
+    merge: bool = False,
+    sep: str = "\t",
+    null: str = "",
 ) -> DataFrame:
     """Every file or file set of a folder that matches ``pattern``, as one scan (no union loop).
 
     ``source`` names a column with the matching entry of the folder: the file
-    itself, or the directory its part files are in.
+    itself, or the directory its part files are in. ``merge`` unites differing
+    columns, which reads every file's footer. Delimited text (``fmt="csv"``) has
+    a header and is read by :func:`read_delimited`, so it needs a schema.
     """
     path = path.rstrip("/")
+    entry = lambda full: F.split(F.substring_index(full, "/" + path.rsplit("/", 1)[-1] + "/", -1), "/")[0]
+    if fmt == "csv":
+        if schema is None:
+            raise ValueError("delimited text needs a schema")
+        rows = read_delimited(spark, f"{path}/{pattern}", schema, sep, null=null, source="__path")
+        return (rows.withColumn(source, entry(F.col("__path"))) if source else rows).drop("__path")
     reader = spark.read.format(fmt)
-    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", merge)
     df = reader.load(f"{path}/{pattern}")
-    if not source:
-        return df
-    below = F.substring_index(F.col("_metadata.file_path"), "/" + path.rsplit("/", 1)[-1] + "/", -1)
-    return df.withColumn(source, F.split(below, "/")[0])
+    return df.withColumn(source, entry(decoded_path())) if source else df
 
 
 def latest_file(spark: SparkSession, path: str, pattern: str) -> str:
     """Path of the newest matching file (modification time, then name)."""
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "modificationTime")
-    )
-    newest = listing.orderBy(F.desc("modificationTime"), F.desc("path")).limit(1).collect()
-    if not newest:
+    found = files_in(spark, path, pattern)
+    if not found:
         raise FileNotFoundError(f"nothing matches {pattern!r} in {path}")
-    return newest[0]["path"]
+    return max(found, key=lambda f: (f[1], f[0]))[0]
 
 
 def tagged_source(df: DataFrame, name: str, columns: Sequence[str], measure: str = "Total", code: str = "Code") -> DataFrame:
@@ -110,22 +166,21 @@ def flatten_grid(df: DataFrame, json: str, columns: Sequence[str], keep: Sequenc
 
 
 def promote_header(spark: SparkSession, path: str, header_line: int, sep: str = ",", skip_after: int = 0) -> DataFrame:
-    """Text file whose names stand on a later line: skip to it, promote it, clean it.
+    """Text files whose names stand on a later line: skip to it, promote it, clean it.
 
-    Only the head of the file is looked at on the driver. The rows before and
-    including the header are dropped by their content, which keeps the scan
-    splittable.
+    Lines are told apart by their place in their file, never by content: those up to
+    the header and ``skip_after`` more go, for every file of a folder. Places are
+    counted only in the first block of each file; later blocks pass through. All files
+    must have the same header, which may hold quoted separators.
     """
-    head = spark.read.text(path, wholetext=False).limit(header_line + skip_after).collect()
-    lines = [r[0] for r in head]
-    names = [n.strip() for n in lines[header_line - 1].split(sep)]
+    lines = spark.read.text(path).select("value", "_metadata.file_path", F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+    place = F.row_number().over(Window.partitionBy("file_path").orderBy("n"))
+    first = lines.filter("at = 0").withColumn("place", place)
+    heads = [r[0] for r in first.filter(F.col("place") == header_line).select("value").distinct().collect()]
+    if len(heads) != 1:
+        raise ValueError(f"{path}: {len(heads)} different header lines")
+    names = [n.strip() for n in next(csv.reader(heads, delimiter=sep))]
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-    body = spark.read.schema(schema).option("sep", sep).csv(path)
-    dropped = [line.split(sep) for line in lines]
-    for cells in dropped:
-        cells = (cells + [""] * len(names))[: len(names)]
-        same = F.lit(True)
-        for i, cell in enumerate(cells):
-            same = same & F.coalesce(F.col(f"c{i}"), F.lit("")).eqNullSafe(F.lit(cell.strip()))
-        body = body.filter(~same)
-    return clean_names(body.toDF(*names))
+    kept = first.filter(F.col("place") > header_line + skip_after).select("value").union(lines.filter("at > 0").select("value"))
+    cells = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"sep": sep, "mode": "PERMISSIVE"})
+    return clean_names(kept.filter(F.trim("value") != "").select(cells.alias("row")).select("row.*").toDF(*names))

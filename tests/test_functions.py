@@ -182,3 +182,14 @@ def test_listed_mechanism_names_and_combos(frame):
     assert one(frame, "15-19, Female", text.combo_age("x")) == "15-19"
     assert one(frame, "15-19, Female", text.combo_sex("x")) == "Female"
     assert one(frame, "cadre...12", text.extract("x", r"^(.*?)\.+(\d+)$", 1)) == "cadre"
+
+
+def test_cash_age_bands_and_their_coarse_age(frame):
+    from quartermill.plans.conform import cash_age_bands
+
+    want = {"5 to 9": ("05-09", "<15"), "30 to 34": ("30-34", "15+"), "40 to 44": ("40-44", "15+"), "15 - 24": ("15-24", "15+"), "0 to 14": ("0-14", "<15"),
+            "< 5": ("<5", "<15"), "> 80": ("80+", "15+"), "25 and older": ("25+", "15+"), "Other": ("Unknown Age", None), "75 to 79": ("75-79", "15+"), "x": ("x", None)}
+    for text_, (band, coarse) in want.items():
+        assert one(frame, text_, cash_age_bands("x")) == band
+        assert one(frame, band, context.coarse_age("x")) == coarse
+    assert one(frame, "10-24", context.coarse_age("x")) is None

@@ -267,10 +267,10 @@ def test_sorting_by_category_total(frame):
 
 def test_quality_report_layout(frame):
     fact = frame(
-        "mech_code string, psnu string, sitename string, indicator string, numeratordenom string, qtr1 double, qtr2 double, targets double, cumulative double",
-        [("1", "p", "s", "A", "N", 3.0, 0.0, 5.0, 0.0), ("1", "p", "s", "A", "D", 1.0, 0.0, 0.0, 0.0)],
+        "mech_code string, psnu string, sitename string, indicator string, numeratordenom string, fiscal_year int, qtr1 double, qtr2 double, targets double, cumulative double",
+        [("1", "p", "s", "A", "N", 2023, 3.0, 0.0, 5.0, 0.0), ("1", "p", "s", "A", "D", 2023, 1.0, 0.0, 0.0, 0.0)],
     )
-    level_1 = quality.level_one(fact, [*KEYS, "indicator"], PERIODS, "'FY23'", TODAY)
+    level_1 = quality.level_one(fact, [*KEYS, "indicator"], "fiscal_year", ["qtr1", "qtr2"], (2023, 2), TODAY)
     level_2 = quality.findings(fact, KEYS, [quality.numerator_over_denominator("nd", "N > D", "indicator = 'A'")], PERIODS, TODAY)
     out = quality.report(level_1, level_2)
     assert out.columns == list(quality.FINDING)
@@ -280,6 +280,21 @@ def test_quality_report_layout(frame):
         ("Level 1", "FY23Q2", "A", "Value reported in previous quarter but missing in this quarter"),
         ("Level 2", "FY23Q1", "", "N > D"),
     ]
+    assert {r.type_check for r in level_1.collect()} == {"Target without result", "Result in previous quarter"}
+
+
+def test_gaps_over_the_year_end(frame):
+    rows = [
+        ("stays", 2022, None, None, 0.0, 5.0), ("stays", 2023, 1.0, 1.0, 1.0, 1.0), ("empty", 2022, 0.0, 0.0, 0.0, 5.0), ("empty", 2023, None, 2.0, 2.0, 2.0),
+        ("gone", 2022, 0.0, 0.0, 0.0, 5.0), ("skips", 2021, 0.0, 0.0, 0.0, 1.0), ("skips", 2023, 1.0, 1.0, 1.0, 1.0), ("last", 2023, 1.0, 1.0, 1.0, 3.0),
+        ("inside", 2023, 1.0, 0.0, 1.0, 1.0),
+    ]
+    fact = frame("site string, fiscal_year int, q1 double, q2 double, q3 double, q4 double", rows).selectExpr("*", "0D AS targets", "0D AS cumulative")
+    args = (fact, ["site"], "fiscal_year", ["q1", "q2", "q3", "q4"])
+    got = sorted((r.site, r.period) for r in quality.level_one(*args, (2023, 4), TODAY).collect())
+    assert got == [("empty", "FY23Q1"), ("gone", "FY23Q1"), ("inside", "FY23Q2"), ("skips", "FY22Q1")]
+    assert sorted(r.site for r in quality.level_one(*args, (2022, 4), TODAY).collect()) == ["skips"]
+    assert ("last", "FY24Q1") in {(r.site, r.period) for r in quality.level_one(*args, (2024, 1), TODAY).collect()}
 
 
 def test_site_fact_appends_lags(frame, rows):

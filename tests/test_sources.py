@@ -7,7 +7,6 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from quartermill.session import materialize
 from quartermill.sources import readers, writers
 
 
@@ -31,12 +30,36 @@ def test_many_files_one_scan_with_source(spark, rows, tmp_path):
     next((tmp_path / "a").glob("*.parquet")).rename(tmp_path / "x_1.parquet")
     spark.range(3).withColumn("extra", F.lit("e")).repartition(2).write.parquet(str(tmp_path / "x_2.parquet"))
     spark.range(9).write.parquet(str(tmp_path / "y.parquet"))
-    df = readers.read_many(spark, str(tmp_path), "x_*.parquet", source="source")
+    df = readers.read_many(spark, str(tmp_path), "x_*.parquet", source="source", merge=True)
     assert set(df.columns) == {"id", "extra", "source"}
     assert rows(df.groupBy("source").count()) == [("x_1.parquet", 2), ("x_2.parquet", 3)]
     assert readers.read_many(spark, str(tmp_path), "x_*.parquet", schema="id long").columns == ["id"]
 
 
+def test_moved_columns_are_bound_by_name(spark, rows, tmp_path):
+    folder = tmp_path / "with space+plus"
+    write(folder / "y_1.tsv", "k\tv\nA\t1\n")
+    write(folder / "y_2.tsv", "v\tk\n2\tB\n")
+    df = readers.read_delimited(spark, str(folder), "k string, v int", source="path")
+    assert rows(df, "k", "v") == [("A", 1), ("B", 2)]
+    assert {p.rsplit("/", 2)[-2] for (p,) in rows(df, "path")} == {"with space+plus"}
+    write(folder / "y_3.tsv", "k\tw\nC\t3\n")
+    with pytest.raises(ValueError, match="not declared"):
+        readers.read_delimited(spark, str(folder), "k string, v int")
+    with pytest.raises(ValueError, match="absent"):
+        readers.read_delimited(spark, str(folder), "k string, v int", ignore_unknown=True)
+    df = readers.read_delimited(spark, str(folder), "k string, v int", ignore_unknown=True, allow_absent=True)
+    assert rows(df) == [("A", 1), ("B", 2), ("C", None)]
+
+
+def test_many_text_files_have_header_and_source(spark, rows, tmp_path):
+    folder = tmp_path / "in put"
+    write(folder / "m_a.txt", "k\tv\nA\t1\n")
+    write(folder / "m_b.txt" / "part-0.csv", "v\tk\n2\tB\n")
+    df = readers.read_many(spark, str(folder), "m_*", fmt="csv", schema="k string, v int", source="source")
+    assert rows(df) == [("A", 1, "m_a.txt"), ("B", 2, "m_b.txt")]
+
+
 def test_latest_file_by_time(spark, tmp_path):
     for i, name in enumerate(["CTX_old.txt", "CTX_new.txt", "other.txt"]):
         p = write(tmp_path / name, "x")
@@ -74,6 +97,17 @@ def test_header_on_a_later_line(spark, rows, tmp_path):
     assert rows(df) == [("A", "1", "0.5"), ("B", "2", "1.0")]
 
 
+def test_data_rows_like_the_header_stay(spark, rows, tmp_path):
+    path = write(tmp_path / "d" / "s.csv", '1,2\n"Org, Unit",n\n1,2\nx,5\n"Org, Unit",n\n')
+    write(tmp_path / "d" / "t.csv", 'title\n"Org, Unit",n\n"a, b",7\nc\n')
+    one = readers.promote_header(spark, path, 2)
+    assert one.columns == ["org_unit", "n"]
+    assert rows(one) == [("1", "2"), ("Org, Unit", "n"), ("x", "5")]
+    both = readers.promote_header(spark, str(tmp_path / "d"), 2)
+    assert rows(both) == [("1", "2"), ("Org, Unit", "n"), ("a, b", "7"), ("c", None), ("x", "5")]
+    assert rows(readers.promote_header(spark, path, 2, skip_after=1)) == [("Org, Unit", "n"), ("x", "5")]
+
+
 def test_null_is_written_empty(spark, frame, tmp_path):
     out = str(tmp_path / writers.dated_name("fact", "FY24Q2", dt.date(2024, 5, 1)))
     assert out.endswith("2024-05-01_fact_FY24Q2")
@@ -96,10 +130,3 @@ def test_findings_by_level_folder(spark, frame, tmp_path):
     out = str(tmp_path / "findings")
     writers.write_findings(frame("level string, check string", [("Level 1", "a"), ("Level 2", "b")]), out)
     assert {p.name for p in Path(out).iterdir() if p.is_dir()} == {"level=Level 1", "level=Level 2"}
-
-
-def test_materialize_keeps_rows_and_cuts_lineage(spark, rows):
-    df = spark.range(5).withColumn("v", F.col("id") * 2)
-    kept = materialize(df)
-    assert rows(kept) == rows(df)
-    assert spark.sparkContext.getCheckpointDir()
