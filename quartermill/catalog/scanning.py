@@ -9,7 +9,9 @@ from quartermill.functions.semantics import na_sum
 from quartermill.operators.aggregates import sum_by
 from quartermill.operators.filters import current_rows, keep_listed, latest_rows
 from quartermill.operators.setops import join_vintages
+from quartermill.session import run_folder
 from quartermill.sources.readers import flatten_grid, read_many, tagged_union
+from quartermill.sources.writers import write_by_key
 
 
 @query(
@@ -109,8 +111,10 @@ def json_flatten(t: Tables) -> DataFrame:
     with_sql("SELECT mech_code, count(*) AS n, sum(value) AS value FROM lines GROUP BY 1", "lines"),
 )
 def partner_split_counts(t: Tables) -> DataFrame:
-    rows = t.lines(["mech_code", "value"])
-    return rows.groupBy("mech_code").agg(F.count(F.lit(1)).alias("n"), na_sum("value").alias("value"))
+    # Written as one folder per partner, read back by partition.
+    folder = run_folder(t.spark)
+    write_by_key(t.lines(["mech_code", "value"]), folder, ["mech_code"])
+    return t.spark.read.parquet(folder).groupBy("mech_code").agg(F.count(F.lit(1)).alias("n"), na_sum("value").alias("value"))
 
 
 @query(

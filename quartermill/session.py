@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 #: Settings every plan in this package assumes or profits from.
@@ -29,3 +32,18 @@ def get_session(app: str = "quartermill", master: str | None = None, **conf: str
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def run_folder(spark: SparkSession) -> str:
+    """A new folder for the files of one run, below the folder the cluster shares.
+
+    That is ``spark.checkpoint.dir``, or the checkpoint folder of the session; a local
+    session without either gets a folder of its own, a cluster without is an error.
+    """
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if shared is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="quartermill-")
+    return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}"
