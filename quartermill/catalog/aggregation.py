@@ -44,12 +44,12 @@ def count_by_query(t: Tables) -> DataFrame:
 @query(
     "distinct_count",
     with_sql(
-        """SELECT psnu, funding_agency, count(DISTINCT orgunituid) AS sites FROM lines WHERE indicator = 'A' GROUP BY ALL""",
+        """SELECT psnu, funding_agency, count(DISTINCT orgunituid) AS sites FROM lines GROUP BY ALL""",
         "lines",
     ),
 )
 def distinct_count_query(t: Tables) -> DataFrame:
-    rows = t.lines(["psnu", "funding_agency", "orgunituid", "indicator"]).filter("indicator = 'A'")
+    rows = t.lines(["psnu", "funding_agency", "orgunituid"])
     return distinct_count(rows, ["psnu", "funding_agency"], "orgunituid", "sites")
 
 

@@ -100,7 +100,7 @@ def partial_key_map_query(t: Tables) -> DataFrame:
     "full_reconcile",
     with_sql(
         """SELECT a.orgunituid, a.sitename, b.listed_uid, b.orgunit_name FROM
-             (SELECT DISTINCT orgunituid, sitename FROM lines WHERE fiscal_year = 1996 AND value = 50) a
+             (SELECT DISTINCT orgunituid, sitename FROM lines) a
              FULL JOIN (SELECT orgunituid AS listed_uid, sitename AS orgunit_name FROM roster) b
                ON a.orgunituid = b.listed_uid""",
         "lines",
@@ -108,7 +108,7 @@ def partial_key_map_query(t: Tables) -> DataFrame:
     ),
 )
 def full_reconcile(t: Tables) -> DataFrame:
-    reported = t.lines(["orgunituid", "sitename", "value"], [1996]).filter("value = 50").select("orgunituid", "sitename")
+    reported = t.with_site(t.lines(["orgunituid"]).distinct(), ["sitename"])
     listed = t.roster().select(F.col("orgunituid").alias("listed_uid"), F.col("sitename").alias("orgunit_name"))
     return reconcile(reported.distinct(), listed, ("orgunituid", "listed_uid"))
 
@@ -227,18 +227,18 @@ def aggregate_compare(t: Tables) -> DataFrame:
     with_sql(
         """SELECT orgunituid, psnu, indicator, CAST(NULL AS VARCHAR) AS facility, CAST(NULL AS VARCHAR) AS "table",
                   'FY' || right(CAST(fiscal_year AS VARCHAR), 2) || 'Q' || quarter AS period, sum(value) AS value
-           FROM lines WHERE fiscal_year = 2001 GROUP BY ALL
+           FROM lines GROUP BY ALL
            UNION ALL
            SELECT NULL, NULL, CASE WHEN event_type = 'signup' THEN 'A' ELSE event_type END, facility, 'HFR',
                   strftime(day, '%Y-%m'), round(sum(value), 2)
-           FROM series WHERE event_type IN ('signup', 'purchase') GROUP BY ALL""",
+           FROM series GROUP BY ALL""",
         "lines",
         "series",
     ),
 )
 def loose_union(t: Tables) -> DataFrame:
     quarterly = (
-        t.lines(["orgunituid", "psnu", "indicator", "fiscal_year", "quarter", "value"], [2001])
+        t.lines(["orgunituid", "psnu", "indicator", "fiscal_year", "quarter", "value"])
         .groupBy("orgunituid", "psnu", "indicator", "fiscal_year", "quarter")
         .agg(na_sum("value").alias("value"))
         .withColumn("period", F.expr("concat('FY', substring(fiscal_year, 3, 2), 'Q', quarter)"))
@@ -246,7 +246,6 @@ def loose_union(t: Tables) -> DataFrame:
     )
     monthly = (
         t.series()
-        .filter("event_type IN ('signup', 'purchase')")
         .groupBy("facility", F.col("event_type").alias("indicator"), F.date_format("day", "yyyy-MM").alias("period"))
         .agg(F.round(F.sum("value"), 2).alias("value"))
         .withColumns({"table": F.lit("HFR"), "indicator": F.expr("if(indicator = 'signup', 'A', indicator)")})
@@ -272,11 +271,10 @@ def except_rows(t: Tables) -> DataFrame:
 @query(
     "key_set_diff",
     with_sql(
-        """SELECT DISTINCT orgunituid FROM lines WHERE indicator = 'A'
-             AND orgunituid NOT IN (SELECT orgunituid FROM roster)""",
+        """SELECT DISTINCT orgunituid FROM lines WHERE orgunituid NOT IN (SELECT orgunituid FROM roster)""",
         "lines",
         "roster",
     ),
 )
 def key_set_diff(t: Tables) -> DataFrame:
-    return keys_only_in(t.lines(["orgunituid", "indicator"]).filter("indicator = 'A'"), t.roster(), ["orgunituid"])
+    return keys_only_in(t.lines(["orgunituid"]), t.roster(), ["orgunituid"])

@@ -285,28 +285,26 @@ def disengagement_extract(t: Tables) -> DataFrame:
                   CASE WHEN indicator = 'Count' THEN value END AS "Count", CASE WHEN indicator = 'Spend' THEN value END AS "Spend"
            FROM (SELECT g.*, p.fiscal_year, coalesce(v.value, 0) AS value FROM
                    (SELECT DISTINCT psnu, mech_code, occ_classification, service_delivery_model, indicator FROM long) g
-                   CROSS JOIN (SELECT unnest([1996, 1997, 1998]) AS fiscal_year) p
+                   CROSS JOIN (SELECT unnest(range(1995, 2003)) AS fiscal_year) p
                    LEFT JOIN long v ON g.psnu = v.psnu AND g.mech_code = v.mech_code AND g.indicator = v.indicator
                      AND g.occ_classification IS NOT DISTINCT FROM v.occ_classification
                      AND g.service_delivery_model = v.service_delivery_model AND p.fiscal_year = v.fiscal_year)""",
         "lines",
         long="""SELECT psnu, mech_code, ageasentered AS occ_classification, indicator AS service_delivery_model,
                   CASE WHEN numeratordenom = 'D' THEN 'Count' ELSE 'Spend' END AS indicator, fiscal_year, sum(value) AS value
-                FROM lines WHERE fiscal_year BETWEEN 1996 AND 1998 GROUP BY ALL""",
+                FROM lines GROUP BY ALL""",
     ),
 )
 def staffing_fact(t: Tables) -> DataFrame:
-    rows = t.lines(["psnu", "mech_code", "ageasentered", "indicator", "numeratordenom", "fiscal_year", "value"], [1996, 1997, 1998])
+    rows = t.lines(["psnu", "mech_code", "ageasentered", "indicator", "numeratordenom", "fiscal_year", "value"])
     sheet = rows.select(
         "psnu", "mech_code", F.col("ageasentered").alias("occ_classification"), F.col("indicator").alias("service_delivery_model"),
         F.expr("if(numeratordenom = 'D', 'Count', 'Spend')").alias("indicator"),
-        *[F.when(F.col("fiscal_year") == y, F.col("value")).alias(f"FY{y}") for y in (1996, 1997, 1998)],
+        *[F.when(F.col("fiscal_year") == y, F.col("value")).alias(f"FY{y}") for y in range(1995, 2003)],
     )
-    # Only the century of the first match is dropped, so 19xx years are relabelled here.
-    fact = products.staffing_fact(
-        sheet, ["FY1996", "FY1997", "FY1998"], ["Count", "Spend"], {"PROMO": None, "SMALL": ("A",)}
+    return products.staffing_fact(
+        sheet, [f"FY{y}" for y in range(1995, 2003)], ["Count", "Spend"], {"PROMO": None, "SMALL": ("A",)}
     )
-    return fact.withColumn("period", F.regexp_replace("period", "^FY19", "FY"))
 
 
 @query(
@@ -331,15 +329,15 @@ def site_attributes(t: Tables) -> DataFrame:
     "prevention_coverage",
     with_sql(
         """SELECT l.psnu, a.snu1 AS agency_lookback, sum(target) AS targets,
-                  CASE WHEN max(CASE WHEN mech_code = 'Brand#3' AND fiscal_year = 1996 THEN 1 ELSE 0 END) = 1 THEN 'Y' ELSE 'N' END AS ovc_coverage
-           FROM (SELECT psnu, mech_code, fiscal_year, target FROM lines WHERE fiscal_year = 1996 AND indicator = 'A' AND value > 49) l
+                  CASE WHEN max(CASE WHEN mech_code = 'Brand#3' THEN 1 ELSE 0 END) = 1 THEN 'Y' ELSE 'N' END AS ovc_coverage
+           FROM lines l
            JOIN areas a ON l.psnu = a.psnu WHERE a.snu1 IN ('ASIA', 'EUROPE') GROUP BY ALL""",
         "lines",
         "areas",
     ),
 )
 def prevention_coverage(t: Tables) -> DataFrame:
-    rows = t.lines(["psnu", "mech_code", "target"], [1996], (F.col("l_returnflag") == "A") & (F.col("l_quantity") > 49))
+    rows = t.lines(["psnu", "mech_code", "target"])
     fact = rows.withColumnRenamed("target", "targets")
     pairs = area_key(fact.select("psnu", "mech_code").distinct())
     agency = lookup(pairs, t.areas(), ["psnu"], ["snu1"]).select("DSPID", F.col("snu1").alias("agency_lookback"))

@@ -252,7 +252,7 @@ def findings_by_level(t: Tables) -> DataFrame:
         "lines",
         "roster",
         joined="""SELECT a.sitename, b.orgunit_name FROM
-                    (SELECT DISTINCT orgunituid, sitename FROM lines WHERE fiscal_year = 1996 AND value = 50) a
+                    (SELECT DISTINCT orgunituid, sitename FROM lines) a
                     FULL JOIN (SELECT orgunituid, sitename AS orgunit_name FROM roster) b ON a.orgunituid = b.orgunituid""",
     ),
 )

@@ -125,13 +125,13 @@ def multi_band_unpivot(t: Tables) -> DataFrame:
         """SELECT indicator, 'FY' || right(CAST(fiscal_year AS VARCHAR), 2) || 'Q' || quarter AS period,
                   sum(CASE WHEN funding_agency = 'F' THEN value END) AS F, sum(CASE WHEN funding_agency = 'O' THEN value END) AS O,
                   sum(CASE WHEN funding_agency = 'P' THEN value END) AS P
-           FROM lines WHERE standardizeddisaggregate = 'BUILDING' GROUP BY ALL""",
+           FROM lines GROUP BY ALL""",
         "lines",
     ),
 )
 def cross_tab_query(t: Tables) -> DataFrame:
-    rows = t.lines(["indicator", "funding_agency", "standardizeddisaggregate", "fiscal_year", "quarter", "value"])
-    labelled = rows.filter("standardizeddisaggregate = 'BUILDING'").withColumn(
+    rows = t.lines(["indicator", "funding_agency", "fiscal_year", "quarter", "value"])
+    labelled = rows.withColumn(
         "period", F.expr("concat('FY', substring(fiscal_year, 3, 2), 'Q', quarter)")
     )
     return cross_tab(labelled, ["indicator", "period"], "funding_agency", ["F", "O", "P"])

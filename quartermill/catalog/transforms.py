@@ -44,7 +44,7 @@ def unmapped_report(t: Tables) -> DataFrame:
                    (SELECT *, CASE WHEN indicator <> 'A' AND ageasentered IN ('SMALL', 'MEDIUM') THEN 'MEDIUM' ELSE ageasentered END AS age,
                            CASE WHEN quarter = 1 THEN fiscal_year - 1 ELSE fiscal_year END AS cal,
                            CASE WHEN quarter = 1 THEN 4 ELSE quarter - 1 END AS calq
-                    FROM lines WHERE fiscal_year = 2000) GROUP BY ALL) f
+                    FROM lines) GROUP BY ALL) f
            JOIN elements e ON f.indicator = e.indicator AND f.numeratordenom = e.numeratordenom
              AND f.standardizeddisaggregate = e.standardizeddisaggregate AND f.age IS NOT DISTINCT FROM e.ageasentered
            LEFT JOIN (SELECT orgunituid, psnu AS mech_code FROM roster) m ON f.orgunituid = m.orgunituid
@@ -56,7 +56,7 @@ def unmapped_report(t: Tables) -> DataFrame:
     ),
 )
 def conform_map(t: Tables) -> DataFrame:
-    rows = t.lines(["orgunituid", *MAP_KEYS, "fiscal_year", "quarter", "value"], [2000])
+    rows = t.lines(["orgunituid", *MAP_KEYS, "fiscal_year", "quarter", "value"])
     feed = rows.select(
         "orgunituid", F.expr(_FEED).alias("indicator"), "standardizeddisaggregate",
         F.col("ageasentered").alias("CoarseAgeGroup"),
@@ -140,7 +140,9 @@ def denominator_variants(t: Tables) -> DataFrame:
              (SELECT orgunituid, mech_code, nullif(ageasentered, 'LARGE') AS element, sum(value) AS value FROM lines
               WHERE funding_agency = 'F' GROUP BY ALL
               UNION ALL SELECT orgunituid, mech_code, nullif(ageasentered, 'LARGE'), sum(value) - 50 FROM lines
-              WHERE funding_agency = 'O' GROUP BY ALL)
+              WHERE funding_agency = 'O' GROUP BY ALL
+              UNION ALL SELECT orgunituid, mech_code, nullif(ageasentered, 'LARGE'), sum(value) FROM lines
+              WHERE funding_agency = 'P' GROUP BY ALL)
            WHERE element IS NOT NULL AND value <> 0 AND NOT (mech_code = 'Brand#7')""",
         "lines",
     ),
@@ -151,7 +153,8 @@ def import_consolidation(t: Tables) -> DataFrame:
     keys = ["orgunituid", "mech_code", "element"]
     first = sum_by(rows.filter("funding_agency = 'F'"), keys, ["value"])
     second = rows.filter("funding_agency = 'O'").groupBy(*keys).agg((na_sum("value") - 50).alias("value"))
-    return conform.consolidate([first, second], "2000Q4", F.col("mech_code") == "Brand#7", drop_zero=True)
+    third = sum_by(rows.filter("funding_agency = 'P'"), keys, ["value"])
+    return conform.consolidate([first, second, third], "2000Q4", F.col("mech_code") == "Brand#7", drop_zero=True)
 
 
 @query(
@@ -162,7 +165,9 @@ def import_consolidation(t: Tables) -> DataFrame:
                (SELECT orgunituid, mech_code, ageasentered AS element, sum(value) AS value FROM lines
                 WHERE funding_agency = 'F' GROUP BY ALL
                 UNION ALL SELECT orgunituid, mech_code, ageasentered, sum(value) FROM lines
-                WHERE funding_agency = 'O' GROUP BY ALL)) WHERE dupe_count > 1""",
+                WHERE funding_agency = 'O' GROUP BY ALL
+                UNION ALL SELECT orgunituid, mech_code, ageasentered, sum(value) FROM lines
+                WHERE funding_agency = 'P' GROUP BY ALL)) WHERE dupe_count > 1""",
         "lines",
     ),
 )
@@ -170,8 +175,8 @@ def repeated_records(t: Tables) -> DataFrame:
     rows = t.lines(["orgunituid", "mech_code", "ageasentered", "funding_agency", "value"])
     rows = rows.withColumnRenamed("ageasentered", "element")
     keys = ["orgunituid", "mech_code", "element"]
-    files = [sum_by(rows.filter(F.col("funding_agency") == a), keys, ["value"]) for a in ("F", "O")]
-    return conform.repeated_records(files[0].unionByName(files[1]))
+    files = [sum_by(rows.filter(F.col("funding_agency") == a), keys, ["value"]) for a in ("F", "O", "P")]
+    return conform.repeated_records(files[0].unionByName(files[1]).unionByName(files[2]))
 
 
 @query(
@@ -293,14 +298,14 @@ def expected_zero(t: Tables) -> DataFrame:
 @query(
     "wrong_ids",
     with_sql(
-        """SELECT DISTINCT sitename, mech_code FROM lines WHERE fiscal_year = 1995
-             AND sitename IN (SELECT sitename FROM lines WHERE fiscal_year = 1995 GROUP BY 1 HAVING count(*) > 40)
+        """SELECT DISTINCT sitename, mech_code FROM lines
+             WHERE sitename IN (SELECT sitename FROM lines GROUP BY 1 HAVING count(*) > 40)
              AND mech_code NOT IN (SELECT p_brand FROM part WHERE p_size > 49 AND p_type = 'PROMO')""",
         "lines",
     ),
 )
 def wrong_ids(t: Tables) -> DataFrame:
-    rows = t.lines(["sitename", "mech_code"], [1995])
+    rows = t.lines(["sitename", "mech_code"])
     submitted = t.read("part").filter("p_size > 49 AND p_type = 'PROMO'").select(F.col("p_brand").alias("submitted_code"))
     return conform.wrong_ids(rows, "sitename", "mech_code", 40, submitted, "submitted_code")
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quartermill.functions.semantics import as_column, extract
-from quartermill.functions.text import remove_first
 
 #: First month of the fiscal year (October).
 FISCAL_START = 10
@@ -82,10 +81,11 @@ def calendar_quarter_to_year(c: Column | str) -> Column:
     return year_label(year + F.when(quarter == 4, 1).otherwise(0))
 
 
-def fiscal_to_calendar_quarter(c: Column | str) -> Column:
-    """``FY22Q4`` to the calendar quarter it covers (``2022Q3``)."""
+def fiscal_to_calendar_quarter(c: Column | str, pivot: int = 70) -> Column:
+    """``FY22Q4`` to the calendar quarter it covers (``2022Q3``); two-digit years from ``pivot`` on are 19xx."""
     c = as_column(c)
-    year = F.lit(2000) + extract(c, r"^FY(\d{2})Q[1-4]$", 1).cast("int")
+    short = extract(c, r"^FY(\d{2})Q[1-4]$", 1).cast("int")
+    year = short + F.when(short >= pivot, F.lit(1900)).otherwise(F.lit(2000))
     quarter = extract(c, r"^FY\d{2}Q([1-4])$", 1).cast("int")
     return F.when(quarter == 1, F.concat((year - 1).cast("string"), F.lit("Q4"))).otherwise(
         F.concat(year.cast("string"), F.lit("Q"), (quarter - 1).cast("string"))
@@ -109,7 +109,7 @@ def iso_period_label(period_type: Column | str, iso: Column | str) -> Column:
 
 def drop_century(c: Column | str) -> Column:
     """``FY2017Q2`` to ``FY17Q2``."""
-    return remove_first(c, "20")
+    return F.regexp_replace(as_column(c), r"^FY\d\d(?=\d\d)", "FY")
 
 
 def heading_months(headings: Iterable[str]) -> dict[str, str]:
