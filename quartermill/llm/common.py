@@ -35,8 +35,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def extend(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], list]) -> DataFrame:
-    """Add the columns of ``schema``, which ``fn`` makes per Arrow batch.
+PART = 4 << 20
+
+
+def parts_of(batch: pa.RecordBatch, text: str) -> list[pa.RecordBatch]:
+    """A batch in parts of about ``PART`` bytes of a text column; a longer text is a part of its own."""
+    _, offsets, _ = text_buffer(batch.column(batch.schema.names.index(text)))
+    return [batch.slice(a, b - a) for a, b in slices(offsets, PART)]
+
+
+def extend(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], list], text: str) -> DataFrame:
+    """Add the columns of ``schema``, which ``fn`` makes for parts of Arrow batches.
+
+    Parts are of bounded size by the column ``text``, so memory does not follow the batch.
 
     Every other column passes through. An input column that has the name of an
     output (in any case) is replaced by the output.
@@ -50,7 +61,8 @@ def extend(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], list]) ->
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *fn(batch.rename_columns(given))], names=out_names)
+            for part in parts_of(batch.rename_columns(given), text):
+                yield pa.RecordBatch.from_arrays([*part.columns[:n], *fn(part)], names=out_names)
 
     # Plain names on the way in, since the call can't take names with dots.
     plain = df.select(*[F.col(quoted(name)).alias(f"c{k}") for k, name in enumerate(given)])

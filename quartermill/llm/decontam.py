@@ -286,4 +286,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item: s
             pa.compute.if_else(cleaned.is_null(), column, cleaned),
         ]
 
-    return extend(docs, "n_words long, n_hit long, hit_items array<string>, removal array<struct<start: long, stop: long>>, clean_text string", run)
+    return extend(docs, "n_words long, n_hit long, hit_items array<string>, removal array<struct<start: long, stop: long>>, clean_text string", run, text)

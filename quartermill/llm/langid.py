@@ -225,4 +225,4 @@ def identify(docs: DataFrame, profiles: list[tuple[str, list[int]]], text: str =
             scores += np.where(some, 1.0 - share, 0.0).tolist()
         return [pa.array(labels, pa.string()), pa.array(scores, pa.float64())]
 
-    return extend(docs, "lang_pred string, score double", run)
+    return extend(docs, "lang_pred string, score double", run, text)

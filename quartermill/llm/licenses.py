@@ -177,4 +177,4 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str]
         parts = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
         return [list_array(pa.StructArray.from_arrays(parts, names=["name", "coverage", "start", "stop"]), np.array(counts, np.int32))]
 
-    return extend(docs, "licenses array<struct<name: string, coverage: double, start: long, stop: long>>", run)
+    return extend(docs, "licenses array<struct<name: string, coverage: double, start: long, stop: long>>", run, text)

@@ -160,7 +160,7 @@ PACKED = pa.schema([
 PACKED_DDL = "shard long, sizes array<long>, bits binary, fingerprints binary, counts binary, owners binary, lines long"
 
 
-def rewrite(batch, text: str, doc_column: str | None, find) -> list:
+def rewrite(batch, text: str, find) -> list:
     """New texts, numbers of lines and of dropped lines.
 
     ``find(row numbers, hashes, document ids)`` tells which lines go.
@@ -270,8 +270,8 @@ def drop_repeated_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text"
     if (size[0] or 0) <= broadcast_bytes:
         rows = [tuple(r) for r in index.select("shard", "sizes", "bits", "fingerprints", "counts", "owners").collect()]
         find = ByIndex(size[1] or 1, spark.sparkContext.broadcast(rows), min_chars, doc)
-        return extend(docs, schema, lambda batch: rewrite(batch, text, doc, find))
+        return extend(docs, schema, lambda batch: rewrite(batch, text, find), text)
     hits = probe_shards(docs, index, size[1], doc, text, min_chars, group)
     find = ByList(min_chars)
     joined = docs.join(hits, docs[doc].cast("long").eqNullSafe(hits["__doc"]), "left").drop("__doc")
-    return extend(joined, schema, lambda batch: rewrite(batch, text, None, find)).drop("__gone")
+    return extend(joined, schema, lambda batch: rewrite(batch, text, find), text).drop("__gone")

@@ -261,4 +261,4 @@ def grade(docs: DataFrame, model: Model | None, at_least: int, text: str = "text
         likely = np.array(grades, np.int32)[chance.argmax(axis=1)]
         return [pa.array(expected), pa.array(above[:, first] if first else np.ones(n)), pa.array(likely)]
 
-    return extend(docs, "expected double, tail double, likely int", run)
+    return extend(docs, "expected double, tail double, likely int", run, text)

@@ -22,8 +22,10 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quartermill.llm.common import extend, ranges, slices, text_buffer
+from quartermill.llm.common import extend, quoted, ranges, slices, text_buffer
 
 MARK = "▁"
 UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -396,7 +398,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", out: str | None = No
             arrays.append(pa.compute.if_else(pa.array(null), pa.scalar(None, pa.string()), texts))
         return arrays
 
-    return extend(docs, "ids array<int>, n_tokens long" + (f", `{out}` string" if out else ""), run)
+    return extend(docs, "ids array<int>, n_tokens long" + (f", `{out}` string" if out else ""), run, text)
 
 
 def decode(docs: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -408,14 +410,19 @@ def decode(docs: DataFrame, model: str, ids: str = "ids", out: str = "decoded")
     spark = docs.sparkSession
     loaded = Loaded(spark.sparkContext.broadcast(Pieces.read(read_model(spark, model))))
 
-    def run(batch):
-        pieces = loaded.get()
-        column = batch.column(batch.schema.names.index(ids))
-        null = np.asarray(column.is_null())
-        parents = pa.compute.list_parent_indices(column).to_numpy()
-        flat = pa.compute.list_flatten(column).cast(pa.int64()).fill_null(-1).to_numpy()
-        good = (flat >= 0) & (flat < len(pieces.texts))
-        texts = texts_of(pieces, loaded.tables, flat[good], np.bincount(parents[good], minlength=len(column)))
-        return [pa.compute.if_else(pa.array(null), pa.scalar(None, pa.string()), texts)]
-
-    return extend(docs, f"`{out}` string", run)
+    fields = [f for f in docs.schema.fields if f.name.lower() != out.lower()]
+    place = next(k for k, f in enumerate(fields) if f.name == ids)
+
+    def run(batches):
+        for batch in batches:
+            pieces, column = loaded.get(), batch.column(place)
+            null = np.asarray(column.is_null())
+            parents = pa.compute.list_parent_indices(column).to_numpy()
+            flat = pa.compute.list_flatten(column).cast(pa.int64()).fill_null(-1).to_numpy()
+            good = (flat >= 0) & (flat < len(pieces.texts))
+            texts = texts_of(pieces, loaded.tables, flat[good], np.bincount(parents[good], minlength=len(column)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.compute.if_else(pa.array(null), pa.scalar(None, pa.string()), texts)], names=[*(f.name for f in fields), out])
+
+    plain = docs.select(*[F.col(quoted(f.name)).alias(f"c{k}") for k, f in enumerate(fields)])
+    return plain.mapInArrow(run, T.StructType([*fields, T.StructField(out, T.StringType())]))
