@@ -124,7 +124,10 @@ def processes(flat: np.ndarray, bounds: np.ndarray, horizon: np.ndarray, size: i
 
 
 def earliest(flat: np.ndarray, bounds: np.ndarray, horizon: np.ndarray, size: int, at_once: int) -> np.ndarray:
-    """Earliest point of every register up to each document's horizon."""
+    """Earliest point of every register up to each document's horizon.
+
+    Points are summed strictly one after another, from the first on, so ``at_once`` changes no bit of them.
+    """
     registers = np.full((len(bounds) - 1) * size, np.inf)
     for docs, seeds, first in processes(flat, bounds, horizon, size):
         x = exponential(seeds) / size if first is None else first
@@ -136,7 +139,7 @@ def earliest(flat: np.ndarray, bounds: np.ndarray, horizon: np.ndarray, size: in
             more = ok[:, -1]
             docs, seeds, x = docs[more], seeds[more], points[more, -1]
             bits = mix(seeds[:, None] + GOLDEN * np.arange(step, step + at_once, dtype=np.uint64))
-            points = x[:, None] + np.cumsum(exponential(bits), axis=1) / size
+            points = np.cumsum(np.concatenate([x[:, None], exponential(bits) / size], axis=1), axis=1)[:, 1:]
             step += at_once
     return registers.reshape(-1, size)
 

@@ -37,6 +37,17 @@ def test_signatures_of_one_document_do_not_depend_on_others():
     assert np.isinf(together[2]).all() and not np.isinf(together[[0, 1, 3]]).any()
 
 
+def test_signatures_do_not_depend_on_the_number_of_shingles():
+    """A union's register is the earlier one of its parts', to the bit, on both sides of 100 shingles."""
+    rng = np.random.default_rng(5)
+    for few, more in ((60, 50), (99, 1), (70, 130), (1, 400)):
+        for repeats in (1, 3):
+            keys = np.unique(rng.integers(1, 2**63, few + more).astype(np.uint64))
+            bags = [np.sort(np.repeat(k, repeats)) for k in (keys[:few], keys[few:], keys)]
+            a, b, both = signatures(np.concatenate(bags), np.cumsum([0, *map(len, bags)]))
+            assert (np.minimum(a, b) == both).all()
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 160)] + [(200 + rng.randrange(40), 200 + rng.randrange(40)) for _ in range(25)] + [(9, 9), (3, 2)]
