@@ -7,8 +7,9 @@ arrays of fingerprints, counts and owners, addressed by the hash. The second pas
 looks the lines of each document up in these arrays.
 
 An index up to ``broadcast_bytes`` goes to every task. A larger one stays sharded:
-line hashes are sent to their shard (split by document, so one very common line does
-not meet in a single task), and only the hits return to the documents.
+line hashes are sent to their shard (split into groups of bounded size by document and
+line, so one very common line does not meet in a single task), and only the hits return
+to the documents.
 """
 
 from __future__ import annotations
@@ -146,7 +147,7 @@ def build_index(docs: DataFrame, doc: str, text: str, min_chars: int, min_docs:
         sizes, bits, fingerprints, counts, owners = LineIndex.build(h1, h2, n, owner).pack()
         return pa.table({
             "shard": [table.column("shard")[0].as_py()], "sizes": [sizes], "bits": [bits], "fingerprints": [fingerprints],
-            "counts": [counts], "owners": [owners], "lines": [int(n.sum())],
+            "counts": [counts], "owners": [owners],
         }, schema=PACKED)
 
     dealt = keys.withColumn("owner", F.coalesce("owner", F.lit(-(2**63)))).withColumn("shard", F.pmod("h1", F.lit(shards)))
@@ -155,9 +156,9 @@ def build_index(docs: DataFrame, doc: str, text: str, min_chars: int, min_docs:
 
 PACKED = pa.schema([
     ("shard", pa.int64()), ("sizes", pa.list_(pa.int64())), ("bits", pa.binary()), ("fingerprints", pa.binary()),
-    ("counts", pa.binary()), ("owners", pa.binary()), ("lines", pa.int64()),
+    ("counts", pa.binary()), ("owners", pa.binary()),
 ])
-PACKED_DDL = "shard long, sizes array<long>, bits binary, fingerprints binary, counts binary, owners binary, lines long"
+PACKED_DDL = "shard long, sizes array<long>, bits binary, fingerprints binary, counts binary, owners binary"
 
 
 def rewrite(batch, text: str, find) -> list:
@@ -224,13 +225,20 @@ class ByList:
 
 
 def probe_shards(docs: DataFrame, index: DataFrame, shards: int, doc: str, text: str, min_chars: int, group: int) -> DataFrame:
-    """Hits per document (``__doc``, ``__gone``) from lines sent to their shard."""
-    most = index.agg(F.max("lines")).first()[0] or 0
-    salts = -(-most // group) or 1
-    lines = count_lines(docs, doc, text, min_chars).withColumns({
-        "shard": F.pmod("h1", F.lit(shards)), "salt": F.pmod(F.xxhash64("doc"), F.lit(salts)),
-    })
-    copies = index.drop("shards").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    """Hits per document (``__doc``, ``__gone``) from lines sent to their shard.
+
+    A shard's lines, those that occur once included, are counted first and dealt over as
+    many salts as leave half of ``group`` to each on average. They are dealt by document
+    and line, each pair once, so that neither a common line, a long document nor an id of
+    many rows gathers in one group.
+    """
+    lines = count_lines(docs, doc, text, min_chars).withColumn("shard", F.pmod("h1", F.lit(shards)))
+    counts = lines.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+    # Lines of shards with no keys at all can't hit.
+    salts = F.broadcast(cut(counts.join(index.select("shard"), "shard").select("shard", F.ceil(2 * F.col("n") / group).cast("long").alias("salts"))))
+    dealt = lines.distinct().join(salts, "shard").withColumn("salt", F.pmod(F.xxhash64("doc", "h1", "h2"), "salts")).drop("salts")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))
+    copies = index.drop("shards").join(salts, "shard").withColumn("salt", each).drop("salts")
 
     def look(left, right):
         if not right.num_rows or not left.num_rows:
@@ -244,8 +252,7 @@ def probe_shards(docs: DataFrame, index: DataFrame, shards: int, doc: str, text:
         gone = (number >= 0) & (np.asarray(ids.is_null()) | (owner != ids.fill_null(0).to_numpy()))
         return pa.table({"__doc": ids.filter(pa.array(gone)), "__hash": pa.array((h1 ^ h2)[gone])})
 
-    # Lines of shards with no keys at all have no partner; keys are dealt evenly, so that hardly occurs.
-    hits = lines.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInArrow(look, "__doc long, __hash long")
+    hits = dealt.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInArrow(look, "__doc long, __hash long")
     return hits.distinct().groupBy("__doc").agg(F.collect_list("__hash").alias("__gone"))
 
 

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import GroupedData
 
 from quartermill.llm.linededup import LineIndex, drop_repeated_lines
 
@@ -54,5 +55,18 @@ def test_matches_brute_force(spark, options):
     assert sorted([(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got.collect()], key=str) == brute(docs)
 
 
+def test_no_group_exceeds_its_bound_when_most_lines_are_unique(spark, monkeypatch):
+    seen, cogroup = [], GroupedData.cogroup
+    monkeypatch.setattr(GroupedData, "cogroup", lambda self, other: seen.append(self._df) or cogroup(self, other))
+    common = [f"a line that is in every document, {k}" for k in range(6)]
+    own = lambda d, n: "\n".join([*common, *(f"line {k} that only document {d} has" for k in range(n))])
+    docs = [(d, own(d, 100)) for d in range(40)] + [(40, own(40, 3000))] + [(None, own("without id", 20))] * 50 + [(41, own(41, 20))] * 50
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = drop_repeated_lines(df, broadcast_bytes=-1, keys_per_shard=3, group=400)
+    assert sorted([(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got.collect()], key=str) == brute(docs)
+    sizes = [r["count"] for r in seen[0].groupBy("shard", "salt").count().collect()]
+    assert sum(sizes) > 7000 and max(sizes) <= 400
+
+
 def test_empty_table(spark):
     assert drop_repeated_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
