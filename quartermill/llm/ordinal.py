@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from quartermill.llm.common import extend, quoted, slices, text_buffer
 
 BITS = 18
+MOST_GRADES = 1000
 #: The sample that a model is fitted on: at most so many labelled documents, least hash first.
 SAMPLE = 6000
 ROUNDS = 150
@@ -197,11 +198,14 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str, doc: str = "doc_id", tex
     The sample is the labels with the least hash of their id; each grade gets an equal
     share of it, so rare grades are learned too, and what one grade leaves free is not
     given to another. Null ids, grades and texts teach nothing; a document with several
-    labels has the largest grade. Without labels there is no model.
+    labels has the largest grade. Without labels there is no model. More than
+    ``MOST_GRADES`` grades are an error.
     """
     known = labels.filter(F.col(quoted(grade)).isNotNull() & F.col(quoted(doc)).isNotNull()).groupBy(F.col(quoted(doc)).alias("__id")).agg(
         F.max(F.col(quoted(grade)).cast("int")).alias("__grade"))
-    grades = sorted(r[0] for r in known.select("__grade").distinct().limit(1000).collect())
+    grades = sorted(r[0] for r in known.select("__grade").distinct().limit(MOST_GRADES + 1).collect())
+    if len(grades) > MOST_GRADES:
+        raise ValueError(f"more than {MOST_GRADES} grades")
     if not grades:
         return None
     if len(grades) == 1:

@@ -63,6 +63,13 @@ def test_nulls_repeats_and_clashing_names(spark):
     assert len({r.tail for r in got if r.text == "good one"}) == 1
 
 
+def test_too_many_grades_are_an_error(spark):
+    docs = spark.range(1001).selectExpr("id AS doc_id", "'a' AS text")
+    labels = spark.range(1001).selectExpr("id AS doc_id", "int(id) AS g")
+    with pytest.raises(ValueError, match="more than 1000 grades"):
+        fit(docs, labels, "g")
+
+
 def test_no_labels_one_grade_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 2)], "doc_id long, g int")
