@@ -15,7 +15,9 @@ from quartermill.llm.licenses import scan_licenses
 from quartermill.llm.linededup import drop_repeated_lines
 from quartermill.llm.neardup import near_duplicates
 from quartermill.llm.ordinal import WORDS, WORDS_AND_BEGINNINGS, fit, grade
+from quartermill.llm.phrases import collocations
 from quartermill.llm.pieces import encode
+from quartermill.llm.substrings import drop_repeated_spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -199,3 +201,64 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     best = F.array_max(F.transform("licenses", lambda x: F.struct(x["coverage"], x["stop"] - x["start"], x["name"])))
     return scan_licenses(docs).select("doc_id", F.size("licenses").cast("long").alias("n_licenses"), best["name"].alias("license"), best["coverage"].alias("coverage"), "licenses")
+
+
+@query(
+    "op11_collocations",
+    r"""
+    WITH words AS (
+      SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+      FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+    total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+    gram AS (
+      SELECT lang, size, array_to_string(w[k : k + size - 1], ' ') AS phrase, count(*) AS f
+      FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS k
+            FROM words, (SELECT unnest(range(1, 5)) AS size) WHERE len(w) >= size)
+      GROUP BY ALL HAVING count(*) >= 30),
+    cand AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w FROM gram WHERE size > 1),
+    cuts AS (
+      SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+      FROM (SELECT *, unnest(range(1, len(w))) AS k FROM cand)),
+    scored AS (
+      SELECT cuts.*, h.f AS l, r.f AS r, (2000000::HUGEINT * a) // (h.f::HUGEINT + r.f) AS score
+      FROM cuts JOIN gram h ON h.lang = cuts.lang AND h.phrase = head JOIN gram r ON r.lang = cuts.lang AND r.phrase = rest),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inner_of AS (
+      SELECT lang, a, array_to_string(w[k : k + size - 1], ' ') AS phrase
+      FROM (SELECT lang, a, w, size, unnest(range(1, len(w) - size + 2)) AS k
+            FROM cand, (SELECT unnest(range(2, 4)) AS size) WHERE len(w) > size)),
+    longest AS (SELECT lang, phrase, max(a) AS most FROM inner_of GROUP BY lang, phrase),
+    kept AS (
+      SELECT best.* FROM best LEFT JOIN longest USING (lang, phrase) WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """The best collocations of every language."""
+    return collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
+@query(
+    "op13_substring_dedup",
+    r"""
+    WITH doc AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+    spot AS (
+      SELECT doc_id, k, array_to_string(w[k : k + 49], ' ') AS run
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS k FROM doc WHERE len(w) >= 50)),
+    owner AS (SELECT run, min(doc_id) AS least FROM spot GROUP BY run),
+    gone AS (
+      SELECT DISTINCT doc_id, k + i AS place
+      FROM (SELECT doc_id, k, unnest(range(50)) AS i FROM spot JOIN owner USING (run) WHERE least < doc_id)),
+    word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM doc),
+    left_over AS (
+      SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS kept FROM word ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM doc LEFT JOIN left_over USING (doc_id)
+    """,
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without passages of an earlier one."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return drop_repeated_spans(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
