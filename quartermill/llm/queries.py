@@ -18,6 +18,7 @@ from quartermill.llm.ordinal import WORDS, WORDS_AND_BEGINNINGS, fit, grade
 from quartermill.llm.phrases import collocations
 from quartermill.llm.pieces import encode
 from quartermill.llm.substrings import drop_repeated_spans
+from quartermill.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -262,3 +263,11 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without passages of an earlier one."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return drop_repeated_spans(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector in the units of the 16 largest principal components."""
+    white = whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    one = white.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
+    return one.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
