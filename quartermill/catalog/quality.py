@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quartermill.catalog.joining import full_reconcile
 from quartermill.catalog.registry import query
-from quartermill.catalog.series import _GRID_SQL, grid
+from quartermill.catalog.series import _GRID_SQL, packed_grid
 from quartermill.catalog.tables import Tables, iso, wide_sql, with_sql
 from quartermill.operators.setops import strict_append
 from quartermill.plans import quality
@@ -213,9 +213,7 @@ def rule_missing_as_zero(t: Tables) -> DataFrame:
     ),
 )
 def rule_lagged(t: Tables) -> DataFrame:
-    keys = ["facility", "event_type"]
-    found = quality.lagged_comparison(grid(t).drop("n"), keys, "day", "value", "value", 2, "two periods ago > now")
-    return iso(found, "day")
+    return iso(quality.lagged_comparison(packed_grid(t), "value", "value", 2, "two periods ago > now"), "day")
 
 
 @query(

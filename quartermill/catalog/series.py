@@ -7,9 +7,8 @@ from quartermill.catalog.registry import query
 from quartermill.catalog.tables import Tables, iso, wide_sql, with_sql
 from quartermill.functions.semantics import na_sum, round_even
 from quartermill.operators.reshape import complete_grid
-from quartermill.operators.windows import (
-    fill_within, find_repeats, first_per_key, lag_periods, period_differences, repair_codes,
-)
+from quartermill.operators.series import completed, fill_within, lagged, pack, unpack
+from quartermill.operators.windows import find_repeats, first_per_key, period_differences, repair_codes
 from quartermill.plans.products import achievement_table, custom_order, target_share
 
 _GRID_SQL = """
@@ -18,9 +17,17 @@ _GRID_SQL = """
          LEFT JOIN series s ON s.facility = t.facility AND s.event_type = t.event_type AND s.day = p.day"""
 
 
+SERIES = ["facility", "event_type"]
+
+
 def grid(t: Tables) -> DataFrame:
     """Series completed over every observed day."""
-    return complete_grid(t.series(), "day", ["facility", "event_type"], {"value": 0.0})
+    return complete_grid(t.series(), "day", SERIES, {"value": 0.0})
+
+
+def packed_grid(t: Tables) -> DataFrame:
+    """The same as one row per series."""
+    return completed(pack(t.series(), SERIES, "day", ["value"]), {"value": 0.0})
 
 
 @query("complete_grid", with_sql(f"SELECT * REPLACE (CAST(day AS VARCHAR) AS day) FROM ({_GRID_SQL})", "series"))
@@ -38,7 +45,7 @@ def complete_grid_query(t: Tables) -> DataFrame:
     ),
 )
 def lag_periods_query(t: Tables) -> DataFrame:
-    return iso(lag_periods(grid(t).drop("n"), "value", ["facility", "event_type"], "day"), "day")
+    return iso(unpack(lagged(packed_grid(t), "value")), "day")
 
 
 @query(
@@ -54,7 +61,7 @@ def lag_periods_query(t: Tables) -> DataFrame:
     ),
 )
 def fill_downup(t: Tables) -> DataFrame:
-    return iso(fill_within(grid(t), ["n"], ["facility"], ["day"]), "day")
+    return iso(fill_within(grid(t), ["n"], ["facility"], "day"), "day")
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quartermill.functions.periods import year_label
-from quartermill.functions.semantics import na_sum
+from quartermill.operators.series import completed, pack, unpack
 
 QUARTERS = ("qtr1", "qtr2", "qtr3", "qtr4")
 MEASURES = ("targets", *QUARTERS, "cumulative")
@@ -110,20 +110,13 @@ def complete_grid(
 ) -> DataFrame:
     """One row for every observed tuple in every period; implicit gaps get ``fill``.
 
-    The observed rows pass through untouched. Per tuple, the set of its periods
-    is a partial aggregate no longer than the period list (given, or read by a
-    scalar subquery); the periods it lacks are appended as new rows. Only those
-    rows are filled; NULLs that were reported stay NULL.
+    Expects rows that are summed to one per tuple and period. Only the appended rows
+    are filled; NULLs that were reported stay NULL. Without ``periods`` the list is
+    that of all observed ones. A tuple is one array on the way
+    (:mod:`quartermill.operators.series`), so the input is read once.
     """
-    if periods is None:
-        listed = df.agg(F.sort_array(F.collect_set(period))).scalar()
-    else:
-        listed = F.array(*[F.lit(p) for p in periods])
-    seen = df.groupBy(*tuples).agg(F.collect_set(period).alias("__seen"))
-    gaps = seen.select(*tuples, F.explode(F.array_except(listed, "__seen")).alias(period))
-    types = dict(df.dtypes)
-    gaps = gaps.withColumns({c: F.lit(v).cast(types[c]) for c, v in fill.items()})
-    return df.unionByName(gaps, allowMissingColumns=True)
+    values = [c for c in df.columns if c not in (*tuples, period)]
+    return unpack(completed(pack(df, tuples, period, values), fill, periods)).select(*df.columns)
 
 
 def stack_bands(df: DataFrame, bands: Mapping[str, str], name: str, value: str) -> DataFrame:
@@ -140,8 +133,3 @@ def cross_tab(df: DataFrame, keys: Sequence[str], columns_from: str, values: Seq
     return df.groupBy(*keys).agg(
         *[F.sum(F.when(F.col(columns_from) == v, F.coalesce(F.col(value), F.lit(0.0)))).alias(v) for v in values]
     )
-
-
-def total_by(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    """Long fact summed to a grain."""
-    return df.groupBy(*keys).agg(na_sum(value).alias(value))

@@ -18,9 +18,10 @@ from quartermill.functions.semantics import as_column, in_set, na_sum, ratio, ro
 from quartermill.functions.selectors import strings
 from quartermill.operators.aggregates import roster, sum_by, sum_by_strings
 from quartermill.operators.joins import lookup, match, reconcile
-from quartermill.operators.reshape import MEASURES, complete_grid, mirror_columns, reshape_long, reshape_semi_wide
+from quartermill.operators.reshape import MEASURES, mirror_columns, reshape_long, reshape_semi_wide
+from quartermill.operators.series import completed, fill_within, lagged, pack, unpack
 from quartermill.operators.setops import loose_append
-from quartermill.operators.windows import fill_within, lag_periods, period_differences, share_of_total
+from quartermill.operators.windows import period_differences, share_of_total
 from quartermill.plans.context import (
     area_flags, area_key, labels_by_code, pair_flag, programme_class, with_denominator_suffix,
 )
@@ -74,26 +75,26 @@ def site_series(
 ) -> DataFrame:
     """Complete period series of one indicator with its lags appended as derived indicators.
 
-    ``series`` identifies a series, ``attributes`` are columns carried into the
-    periods that were missing (within ``group``, ordered by period). With ``periods``
-    the list need not be read from the series.
+    ``series`` identifies a series, ``attributes`` are columns that follow from it and
+    are carried into the periods that were missing (within ``group``, ordered by
+    period). With ``periods`` the list need not be read from the series.
     """
     observed = (
         long_fact.filter((F.col("indicator") == indicator) & (F.col("period_type") == "results"))
         .groupBy(*series, *attributes, "period")
         .agg(na_sum("value").alias("value"))
     )
-    grid = complete_grid(observed, "period", series, {"value": 0.0}, periods)
-    filled = fill_within(grid, attributes, group, ["period"]).withColumn("indicator", F.lit(indicator))
-    lagged = lag_periods(filled, "value", series, "period", steps)
+    packed = completed(pack(observed, series, "period", ["value", *attributes]), {"value": 0.0}, periods)
+    late = lagged(packed, "value", steps)
+    rows = fill_within(unpack(late), attributes, group, "period")
     versions = [(indicator, "value", "Reported")] + [(f"{indicator}_LAG{k}", f"value_lag{k}", "Derived") for k in steps]
-    rows = F.array(
+    each = F.array(
         *[
             F.struct(F.lit(name).alias("indicator"), F.col(c).alias("value"), F.lit(source).alias("source_name"))
             for name, c, source in versions
         ]
     )
-    return lagged.select(*series, *attributes, "period", F.inline(rows))
+    return rows.select(*series, *attributes, "period", F.inline(each))
 
 
 def site_fact(

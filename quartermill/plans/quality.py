@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quartermill.functions.periods import year_label
 from quartermill.operators.joins import match, not_matched
-from quartermill.operators.windows import lag_periods
+from quartermill.operators.series import kept, lagged, unpack
 
 LEVEL_1, LEVEL_2 = "Level 1", "Level 2"
 
@@ -249,16 +249,14 @@ def report(level_1: DataFrame, level_2: DataFrame) -> DataFrame:
     return both.withColumns(missing).select(*FINDING)
 
 
-def lagged_comparison(
-    series: DataFrame, keys: Sequence[str], period: str, lagged: str, against: str, steps: int, message: str
-) -> DataFrame:
+def lagged_comparison(packed: DataFrame, value: str, against: str, steps: int, message: str) -> DataFrame:
     """Fails where a value ``steps`` periods ago is larger than another value now.
 
-    ``series`` has one row per key and period (grid completed).
+    ``packed`` is a completed series per row (:mod:`quartermill.operators.series`); only
+    the failures become rows.
     """
-    shifted = lag_periods(series, lagged, keys, period, [steps])
-    late = f"{lagged}_lag{steps}"
-    return shifted.filter(F.col(late) > F.col(against)).select(*keys, period, late, against, F.lit(message).alias("check"))
+    late = f"{value}_lag{steps}"
+    return unpack(kept(lagged(packed, value, [steps]), lambda e: e[late] > e[against])).withColumn("check", F.lit(message))
 
 
 def missing_from_submission(
