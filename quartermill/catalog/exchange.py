@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermill.catalog.quality import (
-    _COMPARE_SQL, _N_OVER_D_SQL, _PRIOR_SQL, _REPORTED_SQL, _TARGET_SQL, A_LESS_R, A_NOT_N, LARGE_OVER_TOTAL, N_OVER_D, level_one, report, yearly_findings,
+    _COMPARE_SQL, _N_OVER_D_SQL, _PRIOR_SQL, _REPORTED_SQL, _TARGET_SQL, A_LESS_R, A_NOT_N, LARGE_OVER_TOTAL, N_OVER_D, every_finding, report,
 )
 from quartermill.catalog.registry import query
 from quartermill.catalog.tables import Tables, long_sql, wide_sql, with_sql
@@ -57,10 +57,8 @@ def latest_extract(t: Tables) -> DataFrame:
 )
 def findings_roundtrip(t: Tables) -> DataFrame:
     """Both levels in the finding layout, written by level and read back."""
-    first = report(t, level_one(t, quality.TARGET_CHECK, quality.PRIOR_CHECK))
-    second = report(t, yearly_findings(t, [N_OVER_D, A_LESS_R, A_NOT_N, LARGE_OVER_TOTAL]))
     folder = run_folder(t.spark)
-    write_findings(quality.report(first, second), folder, fmt="parquet")
+    write_findings(quality.report(report(t, every_finding(t, [N_OVER_D, A_LESS_R, A_NOT_N, LARGE_OVER_TOTAL]))), folder, fmt="parquet")
     return t.spark.read.parquet(folder).select("level", "type_check", "period", "indicator", "check", "psnu", "sitename", "mech_code")
 
 

@@ -6,10 +6,8 @@ from pyspark.sql import functions as F
 from quartermill.catalog.registry import query
 from quartermill.catalog.tables import Tables, with_sql
 from quartermill.functions.semantics import na_sum
-from quartermill.operators.aggregates import sum_by
-from quartermill.operators.joins import (
-    compare_totals, lookup, map_join, match, matched, not_matched, overwrite, partial_key_map, reconcile,
-)
+from quartermill.operators.aggregates import side_by_side, sum_by
+from quartermill.operators.joins import lookup, map_join, match, matched, not_matched, overwrite, partial_key_map, reconcile
 from quartermill.operators.setops import keys_only_in, loose_append, rows_only_in
 from quartermill.operators.windows import first_per_key
 from quartermill.plans.conform import attach_mechanism
@@ -45,11 +43,8 @@ def left_lookup(t: Tables) -> DataFrame:
 )
 def left_composite(t: Tables) -> DataFrame:
     rows = t.lines(["orgunituid", "indicator", "numeratordenom", "value"])
-    totals = sum_by(rows, ["orgunituid", "indicator"], ["value"])
-    below = rows.filter("numeratordenom = 'D' AND indicator <> 'N'").groupBy(
-        F.col("orgunituid").alias("site"), F.col("indicator").alias("ind")
-    )
-    return match(totals, below.agg(na_sum("value").alias("denominator")), {"orgunituid": "site", "indicator": "ind"})
+    denominators = "numeratordenom = 'D' AND indicator <> 'N'"
+    return side_by_side(rows, ["orgunituid", "indicator"], "value", {"value": None, "denominator": denominators})
 
 
 @query(
@@ -144,8 +139,7 @@ def anti_unmatched(t: Tables) -> DataFrame:
 )
 def semi_unmapped(t: Tables) -> DataFrame:
     feed = sum_by(t.lines(["orgunituid", *MAP_KEYS, "value"]), ["orgunituid", *MAP_KEYS], ["value"])
-    combos = feed.select(*MAP_KEYS).distinct()
-    missing = map_join(combos, t.elements().select(*MAP_KEYS, "element"), MAP_KEYS).filter("element IS NULL")
+    missing = map_join(t.element_keys(), t.elements().select(*MAP_KEYS, "element"), MAP_KEYS).filter("element IS NULL")
     return matched(feed, missing, MAP_KEYS)
 
 
@@ -218,8 +212,9 @@ def crosswalk_overwrite(t: Tables) -> DataFrame:
 def aggregate_compare(t: Tables) -> DataFrame:
     keys = ["psnu", "indicator", "fiscal_year"]
     rows = t.lines([*keys, "funding_agency", "value"])
-    submitted, source = rows.filter("funding_agency = 'F'"), rows.filter("funding_agency = 'O' AND indicator <> 'R'")
-    return compare_totals(submitted, source, keys, "value", ("submitted", "source"))
+    sides = {"submitted": "funding_agency = 'F'", "source": "funding_agency = 'O' AND indicator <> 'R'"}
+    both = side_by_side(rows, keys, "value", sides).filter("submitted IS NOT NULL")
+    return both.withColumn("gap", F.col("submitted") - F.col("source"))
 
 
 @query(

@@ -10,7 +10,6 @@ from quartermill.functions.semantics import na_sum
 from quartermill.operators.aggregates import sum_by_strings
 from quartermill.operators.joins import lookup
 from quartermill.operators.reshape import reshape_long
-from quartermill.operators.setops import join_vintages
 from quartermill.plans import lists, products
 from quartermill.plans.conform import age_bands, area_names
 from quartermill.plans.context import agency_short_name, area_key, coarse_age, disaggregate_type, official_names
@@ -41,22 +40,16 @@ _MIRROR_L = _MIRROR.replace("indicator", "l.indicator")
     ),
 )
 def product_treatment(t: Tables) -> DataFrame:
-    closed, current = range(1995, 2000), range(2000, 2003)
-    fact = join_vintages(t.wide(DIMS, closed), t.wide(DIMS, current), closed, current)
-    fact = fact.withColumn("prime_partner_name", F.concat("mech_code", F.lit(" partner")))
-    # The two small lookups come from pruned scans of their own, without the joins the fact needs.
-    partner_areas = t.with_site(t.lines(["mech_code", "orgunituid"]).distinct(), ["psnu"]).select("mech_code", "psnu").distinct()
-    partner_areas = area_key(partner_areas)
-    attributes = lookup(partner_areas, t.areas(), ["psnu"], ["snu1", "DSP"]).filter("snu1 <> 'EUROPE'").select("DSPID", "DSP")
-    known = t.lines(["indicator", "numeratordenom", "standardizeddisaggregate"]).distinct()
-    elements = known.filter("standardizeddisaggregate <> 'FURNITURE'").select(
-        F.concat_ws("_", "indicator", "numeratordenom", "standardizeddisaggregate").alias("disagg_key"),
-        F.expr("concat(indicator, ' (', numeratordenom, ', DSD, ', standardizeddisaggregate, '): text')").alias(
-            "disaggregate_label"
-        ),
-    )
+    fact = t.wide(DIMS).withColumn("prime_partner_name", F.concat("mech_code", F.lit(" partner")))
+    # Partner attributes and labels come from the code lists, not from the fact.
+    areas = t.areas().filter("snu1 <> 'EUROPE'").agg(F.collect_list(F.struct("psnu", "DSP"))).scalar()
+    codes = t.read("part").select(F.col("p_brand").alias("mech_code")).distinct().withColumn("areas", areas)
+    attributes = area_key(codes.select("mech_code", F.inline("areas"))).select("DSPID", "DSP")
+    labels = t.elements().select(
+        F.concat_ws("_", "indicator", "numeratordenom", "standardizeddisaggregate").alias("disagg_key"), F.col("element_group").alias("disaggregate_label")
+    ).distinct()
     return products.treatment_fact(
-        fact, ["A", "N", "R"], attributes, {"Brand#1": "WR"}, elements, priority=None, high_burden=["NATION_3"]
+        fact, ["A", "N", "R"], attributes, {"Brand#1": "WR"}, labels, priority=None, high_burden=["NATION_3"]
     )
 
 

@@ -2,14 +2,15 @@
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quartermill.catalog.joining import full_reconcile
 from quartermill.catalog.registry import query
 from quartermill.catalog.series import _GRID_SQL, packed_grid
 from quartermill.catalog.tables import Tables, iso, wide_sql, with_sql
-from quartermill.operators.setops import strict_append
+from quartermill.functions.periods import fiscal_quarter, fiscal_year
+from quartermill.operators.aggregates import side_by_side
 from quartermill.plans import quality
 from quartermill.plans.conform import without_wrong_ids
 
@@ -109,17 +110,21 @@ _TARGET_SQL = f"""SELECT psnu, sitename, mech_code, 'Level 1' AS level, 'Target
 FROM (SELECT psnu, orgunituid, sitename, mech_code, indicator, fiscal_year, sum(target) AS targets,
              sum(CASE WHEN numeratordenom = 'D' AND quarter = 1 THEN value ELSE 0 END) AS cumulative
       FROM lines GROUP BY ALL) WHERE targets > 0 AND cumulative = 0"""
-#: The last period that is due: no gap is reported after it.
-THROUGH = (2002, 4)
 _PRIOR_SQL = """SELECT psnu, sitename, mech_code, 'Level 1' AS level, 'Result in previous quarter' AS type_check,
        'FY' || right(CAST((p + 1) // 4 AS VARCHAR), 2) || 'Q' || CAST((p + 1) % 4 + 1 AS VARCHAR) AS period,
        indicator, 'Value reported in previous quarter but missing in this quarter' AS "check", '2023-04-24' AS today_date
-FROM reported a WHERE p + 1 <= 2002 * 4 + 3 AND NOT EXISTS (
+FROM reported a WHERE p + 1 <= (SELECT max(fiscal_year * 4 + quarter - 1) FROM lines) AND NOT EXISTS (
   SELECT 1 FROM reported b WHERE b.p = a.p + 1 AND b.orgunituid = a.orgunituid AND b.mech_code = a.mech_code AND b.indicator = a.indicator)"""
 _REPORTED_SQL = """SELECT psnu, orgunituid, sitename, mech_code, indicator, fiscal_year * 4 + quarter - 1 AS p
 FROM lines GROUP BY ALL HAVING sum(value) > 0"""
 
 
+def last_due(t: Tables) -> Column:
+    """The last period that is due, here the last one reported: no gap is reported after it."""
+    newest = t.read("lineitem").agg(F.max("l_shipdate").alias("day"))
+    return newest.select(fiscal_year("day") * 4 + fiscal_quarter("day") - 1).scalar()
+
+
 def level_one_fact(t: Tables) -> DataFrame:
     """Targets, quarters and a cumulative result (here: the first quarter's denominator) per key."""
     rows = t.lines([*LEVEL_1_KEYS, "numeratordenom", "quarter", "value", "target"])
@@ -133,7 +138,16 @@ def level_one_fact(t: Tables) -> DataFrame:
 def level_one(t: Tables, *checks: tuple[str, str]) -> DataFrame:
     """Level 1 findings of the given checks."""
     keys = [k for k in LEVEL_1_KEYS if k != "fiscal_year"]
-    return quality.level_one(level_one_fact(t), keys, "fiscal_year", [f"qtr{i}" for i in range(1, 5)], THROUGH, TODAY, checks)
+    return quality.level_one(level_one_fact(t), keys, "fiscal_year", [f"qtr{i}" for i in range(1, 5)], last_due(t), TODAY, checks)
+
+
+def every_finding(t: Tables, rules: list[quality.Rule]) -> DataFrame:
+    """Both levels in one pass over the rows."""
+    rows = t.lines([*LEVEL_1_KEYS, "numeratordenom", "standardizeddisaggregate", "ageasentered", "quarter", "value", "target"])
+    reached = {"targets": "target", "cumulative": "if(numeratordenom = 'D' AND quarter = 1, value, 0.0D)"}
+    quarters = {q: f"if(quarter = {q}, value, NULL)" for q in range(1, 5)}
+    return quality.both_levels(
+        rows, ["orgunituid", "mech_code"], "fiscal_year", ["A", "N", "R"], reached, quarters, last_due(t), rules, "value", _FY.format(""), TODAY)
 
 
 @query("rule_target_no_result", with_sql(_TARGET_SQL, "lines"))
@@ -227,10 +241,7 @@ def rule_lagged(t: Tables) -> DataFrame:
     ),
 )
 def findings_by_level(t: Tables) -> DataFrame:
-    # One pass for level 1, one for level 2: every rule is a conditional sum.
-    level_2 = yearly_findings(t, [N_OVER_D, A_LESS_R, A_NOT_N, LARGE_OVER_TOTAL, PARTS, CROSS, RATIO])
-    levels = [level_one(t, quality.TARGET_CHECK, quality.PRIOR_CHECK), level_2]
-    every = strict_append(*[f.select("level", "mech_code", "check") for f in levels])
+    every = every_finding(t, [N_OVER_D, A_LESS_R, A_NOT_N, LARGE_OVER_TOTAL, PARTS, CROSS, RATIO])
     return every.groupBy("level", "mech_code", "check").agg(F.count(F.lit(1)).alias("findings"))
 
 
@@ -274,9 +285,8 @@ def rule_summary(t: Tables) -> DataFrame:
 def value_mismatch(t: Tables) -> DataFrame:
     keys = ["orgunituid", "indicator"]
     rows = t.lines([*keys, "snu1", "quarter", "value"])
-    submitted = rows.filter("NOT (snu1 = 'ASIA' AND quarter = 2)").groupBy(*keys).agg(F.sum("value").alias("submitted"))
-    source = rows.groupBy(*keys).agg(F.sum("value").alias("source"))
-    return quality.value_mismatch(submitted, source, keys, ("submitted", "source"))
+    both = side_by_side(rows, keys, "value", {"submitted": "NOT (snu1 = 'ASIA' AND quarter = 2)", "source": None})
+    return both.filter("submitted <> source")
 
 
 @query(

@@ -124,8 +124,9 @@ class Tables:
         if late:
             summed = self.wide([d for d in dims if d not in late], years)
             return self.with_site(summed, late).select(*dims, "fiscal_year", *QUARTERS, "cumulative", "targets")
-        if any(d in SITE_ATTRIBUTES for d in dims):
+        if any(d in SITE_ATTRIBUTES for d in dims) and not fits_broadcast(self.sites()):
             # By site first, then its attributes, then without the site: no area join on line rows.
+            # A site table that fits a broadcast is joined on the map side instead, for one grouping.
             own = [d for d in dims if d not in SITE_ATTRIBUTES]
             summed = self.with_site(self.wide([*own, "orgunituid"], years), [d for d in dims if d in SITE_ATTRIBUTES])
             measures = (*QUARTERS, "cumulative", "targets")
@@ -140,10 +141,23 @@ class Tables:
         """Site attributes of an aggregate that carries ``orgunituid``."""
         return match(df, self.sites().select("orgunituid", *columns), ["orgunituid"], "inner")
 
+    def element_keys(self) -> DataFrame:
+        """Every combination of the code lists that elements are made of; one of the ages is NULL.
+
+        Indicators and sides are fixed lists; the others come from their own tables, as
+        the lists of a map do, so that the fact is not read for it.
+        """
+        ages = self.read("part").agg(F.collect_set("p_type")).scalar()
+        segments = self.read("customer").select(F.col("c_mktsegment").alias("standardizeddisaggregate")).distinct().withColumn("ages", ages)
+        each = [("indicator", ("A", "N", "R")), ("numeratordenom", ("D", "N"))]
+        for name, codes in each:
+            segments = segments.withColumn(name, F.explode(F.array(*[F.lit(c) for c in codes])))
+        return segments.withColumn("age", F.explode("ages")).select(
+            "indicator", "numeratordenom", "standardizeddisaggregate", F.expr("nullif(age, 'ECONOMY')").alias("ageasentered"))
+
     def elements(self) -> DataFrame:
         """Disaggregate map with NULL keys and without one disaggregate."""
-        keys = self.lines(["indicator", "numeratordenom", "standardizeddisaggregate", "ageasentered"]).distinct()
-        kept = keys.filter(F.col("standardizeddisaggregate") != "FURNITURE")
+        kept = self.element_keys().filter(F.col("standardizeddisaggregate") != "FURNITURE")
         text = "concat(indicator, ' (', numeratordenom, ', DSD, ', standardizeddisaggregate"
         return kept.withColumns(
             {
@@ -171,6 +185,13 @@ class Tables:
         )
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own estimate of a table is below its broadcast threshold."""
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= threshold
+
+
 def iso(df: DataFrame, *columns: str) -> DataFrame:
     """Date columns as ISO text, the form in which results are reported."""
     return df.withColumns({c: F.col(c).cast("string") for c in columns})

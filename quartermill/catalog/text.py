@@ -201,10 +201,13 @@ def period_labels(t: Tables) -> DataFrame:
 )
 def number_label(t: Tables) -> DataFrame:
     rows = t.lines(["mech_code", "indicator", "value"])
-    totals = sum_by(rows, ["mech_code", "indicator"], ["value"])
-    overall = totals.groupBy("mech_code").agg((na_sum("value") * 1000).alias("value")).withColumn("indicator", F.lit("scaled"))
-    largest = rows.groupBy("mech_code").agg(F.max("value").alias("value")).withColumn("indicator", F.lit("line"))
-    return totals.unionByName(overall).unionByName(largest).withColumn("label", text.number_label("value"))
+    # One pass: per mechanism the sum of each indicator, from which its total follows, and the largest line.
+    totals = rows.groupBy("mech_code", "indicator").agg(na_sum("value").alias("value"), F.max("value").alias("largest"))
+    listed = totals.groupBy("mech_code").agg(
+        F.collect_list(F.struct("indicator", "value")).alias("each"), (na_sum("value") * 1000).alias("scaled"), F.max("largest").alias("line"))
+    more = F.array(*[F.struct(F.lit(name).alias("indicator"), F.col(name).alias("value")) for name in ("scaled", "line")])
+    each = listed.select("mech_code", F.inline(F.concat("each", more)))
+    return each.withColumn("label", text.number_label("value"))
 
 
 @query(

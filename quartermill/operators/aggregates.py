@@ -19,6 +19,19 @@ def sum_by(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataF
     return df.groupBy(*keys).agg(*[na_sum(m).alias(m) for m in measures])
 
 
+def side_by_side(df: DataFrame, keys: Sequence[str], value: str, parts: Mapping[str, str | None]) -> DataFrame:
+    """Sums of several subsets of one table next to each other, in one pass.
+
+    ``parts`` maps an output to the SQL condition of its rows (None: all). A subset
+    without rows in a group is NULL there, one whose values are all NULL is 0.
+    """
+    sums = []
+    for name, condition in parts.items():
+        rows = F.lit(True) if condition is None else F.coalesce(F.expr(condition), F.lit(False))
+        sums.append(F.sum(F.when(rows, F.coalesce(F.col(value), F.lit(0.0)))).alias(name))
+    return df.groupBy(*keys).agg(*sums)
+
+
 def sum_by_strings(df: DataFrame, measures: Sequence[str], drop: Sequence[str] = ()) -> DataFrame:
     """Group by every string column and sum the measures; other numerics go away."""
     return sum_by(df, [c for c in strings(df) if c not in set(drop)], measures)

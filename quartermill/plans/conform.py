@@ -115,13 +115,24 @@ def denominator_variants(
     value: str,
     element: Sequence[str],
 ) -> DataFrame:
-    """Several disaggregate variants of one feed, each mapped on its own keys, appended."""
-    return loose_append(
-        *[
-            partial_key_map(feed.filter(rows), mapping, on, keep, value, element, only).select(*keep, *element, value)
-            for rows, on, only in variants
-        ]
-    )
+    """Several disaggregate variants of one feed, each mapped on its own keys, appended.
+
+    ``variants`` are (rows, keys, map rows). A feed row becomes one row per variant it
+    is in, tagged with its number and without the keys that variant does not use, so
+    the feed is read, summed and joined once.
+    """
+    variants = list(variants)
+    keys = list(dict.fromkeys(l for _, on, _ in variants for l in on))
+    tags, maps = [], []
+    for n, (rows, on, only) in enumerate(variants):
+        nothing = {l: F.lit(None).cast(feed.schema[l].dataType) for l in keys}
+        tag = F.struct(F.lit(n).alias("__variant"), *[(F.col(l) if l in on else nothing[l]).alias(f"__{l}") for l in keys])
+        tags.append(F.when(rows, tag))
+        part = mapping if only is None else mapping.filter(only)
+        maps.append(part.select(F.lit(n).alias("__variant"), *[(F.col(on[l]) if l in on else nothing[l]).alias(f"__{l}") for l in keys], *element))
+    tagged = feed.select(*keep, value, F.inline(F.array_compact(F.array(*tags))))
+    summed = sum_by(tagged, [*keep, "__variant", *[f"__{l}" for l in keys]], [value])
+    return map_join(summed, loose_append(*maps), ["__variant", *[f"__{l}" for l in keys]]).select(*keep, *element, value)
 
 
 def unmapped(mapped: DataFrame, element: str, required: str, columns: Sequence[str]) -> DataFrame:

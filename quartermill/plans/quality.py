@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from quartermill.functions.periods import year_label
 from quartermill.operators.joins import match, not_matched
+from quartermill.operators.setops import loose_append
 from quartermill.operators.series import kept, lagged, unpack
 
 LEVEL_1, LEVEL_2 = "Level 1", "Level 2"
@@ -156,29 +157,29 @@ def findings(
     failures are expanded.
     """
     column = {c: i for i, c in enumerate(dict.fromkeys(c for r in rules for c in r.terms.values()))}
-    labels = list(measures)
     summed = term_totals(fact, keys, list(column), list(measures.values()), missing_as_zero)
     indicator = F.col("indicator") if "indicator" in keys else F.lit(None).cast("string")
-
-    def finding(rule: Rule, period: int) -> Column:
-        return F.when(
-            F.expr(_bound(rule, column, period, len(labels))),
-            F.struct(
-                F.expr(labels[period]).cast("string").alias("period"),
-                F.lit(rule.level).alias("level"),
-                F.lit(rule.type_check).alias("type_check"),
-                (F.lit(rule.indicator).cast("string") if rule.indicator else indicator).alias("__indicator"),
-                F.lit(rule.message).alias("check"),
-            ),
-        )
-
-    hits = F.array_compact(F.array(*[finding(r, i) for i in range(len(labels)) for r in rules]))
+    hits = F.array_compact(F.array(*_failures(rules, column, list(measures), indicator)))
     out = summed.select(*keys, F.inline(hits)).drop("indicator").withColumnRenamed("__indicator", "indicator")
     if only_periods is not None:
         out = out.filter(F.col("period").isin(list(only_periods)))
     return out.withColumn("today_date", F.lit(today) if today else F.current_date())
 
 
+def _found(when: Column, period: Column, level: str, type_check: str, indicator: Column, check: str) -> Column:
+    """A finding where a condition holds, else NULL."""
+    cells = {"period": period, "level": F.lit(level), "type_check": F.lit(type_check), "__indicator": indicator, "check": F.lit(check)}
+    return F.when(when, F.struct(*[c.cast("string").alias(n) for n, c in cells.items()]))
+
+
+def _failures(rules: Sequence[Rule], column: Mapping[str, int], labels: Sequence[str], indicator: Column) -> list[Column]:
+    """The finding of every rule in every period, on a row of summed terms."""
+    return [
+        _found(F.expr(_bound(r, column, i, len(labels))), F.expr(labels[i]), r.level, r.type_check, F.lit(r.indicator) if r.indicator else indicator, r.message)
+        for i in range(len(labels)) for r in rules
+    ]
+
+
 #: Level 1 checks and their check types.
 TARGET_CHECK = ("Target without result", "Targets reported but results blank")
 PRIOR_CHECK = ("Result in previous quarter", "Value reported in previous quarter but missing in this quarter")
@@ -200,12 +201,39 @@ def target_findings(fact: DataFrame, keys: Sequence[str], period: str, today: dt
     )
 
 
+def _gaps(at, year: str, quarters: int, last: Column, checks: Sequence[tuple[str, str]], indicator: Column) -> list[Column]:
+    """Level 1 findings of one series on a yearly row; ``at(k)`` is a summed measure.
+
+    Measures are ``targets``, ``cumulative``, the quarters by number (from 0) and
+    ``next``, the first quarter of the year that follows (NULL where it has no row).
+    """
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    label = lambda y, q: F.concat(year_label(y), F.lit(f"Q{q}"))
+    found = []
+    if TARGET_CHECK in checks:
+        blank = (zero(at("targets")) > 0) & (zero(at("cumulative")) == 0)
+        found.append(_found(blank, year_label(year), LEVEL_1, TARGET_CHECK[0], indicator, TARGET_CHECK[1]))
+    if PRIOR_CHECK in checks:
+        for i in range(quarters):
+            at_end = i == quarters - 1
+            later = at("next") if at_end else at(i + 1)
+            gap = (at(i) > 0) & (zero(later) == 0) & (F.col(year) * quarters + (i + 1) <= last)
+            period = label(F.col(year) + 1, 1) if at_end else label(F.col(year), i + 2)
+            found.append(_found(gap, period, LEVEL_1, PRIOR_CHECK[0], indicator, PRIOR_CHECK[1]))
+    return found
+
+
+def _last_due(through: tuple[int, int] | Column, quarters: int) -> Column:
+    """The last due period as one number: year times quarters, plus the quarter from 0."""
+    return through if isinstance(through, Column) else F.lit(through[0] * quarters + through[1] - 1)
+
+
 def level_one(
     fact: DataFrame,
     keys: Sequence[str],
     year: str,
     quarters: Sequence[str],
-    through: tuple[int, int],
+    through: tuple[int, int] | Column,
     today: dt.date | None = None,
     checks: Sequence[tuple[str, str]] = (TARGET_CHECK, PRIOR_CHECK),
 ) -> DataFrame:
@@ -214,37 +242,63 @@ def level_one(
     ``keys`` include the indicator but not ``year``. Quarters are a continuous axis:
     the first quarter of a year follows the last one of the year before, and a key
     that has no row at all in the next year is missing there too. No gap is reported
-    after ``through`` (year, quarter), the last period that is due.
+    after ``through``, the last period that is due: (year, quarter), or a column
+    with the year times the quarters of a year, plus the quarter from 0.
     """
     measures = ["targets", "cumulative", *quarters]
     summed = fact.groupBy(*keys, year).agg(*[F.sum(m).alias(m) for m in measures])
-    # A key has one row per year, so this window never gathers more than the years.
+    summed = _with_next(summed, [k for k in keys], year, {"__next": quarters[0]}).withColumn("__last", _last_due(through, len(quarters)))
+    at = lambda k: F.col("__next" if k == "next" else k if isinstance(k, str) else quarters[k])
+    found = _gaps(at, year, len(quarters), F.col("__last"), checks, F.lit(None))
+    return summed.select(*keys, F.inline(F.array_compact(F.array(*found)))).drop("__indicator").withColumn(
+        "today_date", F.lit(today) if today else F.current_date())
+
+
+def _with_next(summed: DataFrame, keys: Sequence[str], year: str, first: Mapping[str, str]) -> DataFrame:
+    """The first quarters of the following year, by name. A key has one row per year, so the window is short."""
     following = Window.partitionBy(*keys).orderBy(year)
-    summed = summed.withColumns({"__next": F.lead(year).over(following), "__first": F.lead(quarters[0]).over(following)})
-    n, last = len(quarters), through[0] * len(quarters) + through[1] - 1
+    is_next = F.lead(year).over(following) == F.col(year) + 1
+    return summed.withColumns({name: F.when(is_next, F.lead(c).over(following)) for name, c in first.items()})
 
-    def finding(when: Column, of: Column, quarter: int | None, check: tuple[str, str]) -> Column:
-        period = F.concat(year_label(of), F.lit("" if quarter is None else f"Q{quarter}"))
-        return F.when(when, F.struct(period.alias("period"), F.lit(check[0]).alias("type_check"), F.lit(check[1]).alias("check")))
 
-    zero = lambda c: F.coalesce(c, F.lit(0.0))
-    found = []
-    if TARGET_CHECK in checks:
-        found.append(finding((zero(F.col("targets")) > 0) & (zero(F.col("cumulative")) == 0), F.col(year), None, TARGET_CHECK))
-    if PRIOR_CHECK in checks:
-        for i, q in enumerate(quarters):
-            at_end = i == n - 1
-            later = F.when(F.col("__next") == F.col(year) + 1, F.col("__first")) if at_end else F.col(quarters[i + 1])
-            of = F.col(year) + 1 if at_end else F.col(year)
-            due = F.col(year) * n + (i + 1) <= last
-            found.append(finding((F.col(q) > 0) & (zero(later) == 0) & due, of, 1 if at_end else i + 2, PRIOR_CHECK))
-    return summed.select(*keys, F.inline(F.array_compact(F.array(*found)))).withColumns(
-        {"level": F.lit(LEVEL_1), "today_date": F.lit(today) if today else F.current_date()})
-
-
-def report(level_1: DataFrame, level_2: DataFrame) -> DataFrame:
-    """Both levels in the finding layout; columns a level lacks are NULL."""
-    both = level_1.unionByName(level_2, allowMissingColumns=True)
+def both_levels(
+    rows: DataFrame,
+    keys: Sequence[str],
+    year: str,
+    indicators: Sequence[str],
+    measures: Mapping[str, str],
+    quarters: Mapping[int, str],
+    through: tuple[int, int] | Column,
+    rules: Sequence[Rule],
+    value: str,
+    period: str,
+    today: dt.date | None = None,
+) -> DataFrame:
+    """Level 1 of the listed indicators and the yearly level 2 rules, from one pass over the rows.
+
+    ``measures`` are the SQL expressions of ``targets`` and ``cumulative``, ``quarters``
+    those of the quarterly results by number (from 1); ``value`` is what the rules sum
+    and ``period`` the label of a year. One ``groupBy`` on ``keys`` and ``year`` holds a sum
+    per indicator and measure and one per rule condition; only findings are expanded.
+    """
+    cells = {**measures, **{str(q): e for q, e in quarters.items()}}
+    column = {c: i for i, c in enumerate(dict.fromkeys(c for r in rules for c in r.terms.values()))}
+    own = [F.sum(F.when(F.col("indicator") == i, F.expr(e))).alias(f"{m}__{n}") for n, i in enumerate(indicators) for m, e in cells.items()]
+    terms = [F.sum(F.when(F.expr(c), F.coalesce(F.col(value), F.lit(0.0)))).alias(f"term{k}_0") for c, k in column.items()]
+    first = min(quarters)
+    summed = _with_next(rows.groupBy(*keys, year).agg(*own, *terms), keys, year, {f"next__{n}": f"{first}__{n}" for n in range(len(indicators))})
+    summed = summed.withColumn("__last", _last_due(through, len(quarters)))
+    found = _failures(rules, column, [period], F.lit(None))
+    for n, i in enumerate(indicators):
+        at = lambda k, n=n: F.col(f"{k if isinstance(k, str) else k + first}__{n}")
+        found += _gaps(at, year, len(quarters), F.col("__last"), (TARGET_CHECK, PRIOR_CHECK), F.lit(i))
+    out = summed.select(*keys, F.inline(F.array_compact(F.array(*found)))).withColumnRenamed("__indicator", "indicator")
+    return out.withColumn("today_date", F.lit(today) if today else F.current_date())
+
+
+def report(*found: DataFrame) -> DataFrame:
+    """Findings of one or more checks in the finding layout; columns they lack are NULL."""
+    both = loose_append(*found)
     missing = {c: F.lit(None).cast("string") for c in FINDING if c not in both.columns}
     return both.withColumns(missing).select(*FINDING)
 
