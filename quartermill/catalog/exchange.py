@@ -8,12 +8,14 @@ from quartermill.catalog.quality import (
 )
 from quartermill.catalog.registry import query
 from quartermill.catalog.tables import Tables, long_sql, wide_sql, with_sql
+from quartermill.functions.periods import heading_months
 from quartermill.functions.selectors import clean_names
+from quartermill.functions.text import recode
 from quartermill.operators.joins import overlap_join
 from quartermill.operators.windows import add_count
 from quartermill.plans import products, quality
 from quartermill.session import run_folder
-from quartermill.sources.readers import latest_file, read_delimited, read_many
+from quartermill.sources.readers import latest_folder, promote_header, read_delimited, read_many
 from quartermill.sources.writers import write_delimited, write_findings
 
 SITE_SCHEMA = "orgunituid string, sitename string, psnu string, balance double"
@@ -39,11 +41,38 @@ def delimited_roundtrip(t: Tables) -> DataFrame:
 
 @query("latest_extract", with_sql("SELECT orgunituid, sitename, psnu, balance FROM sites WHERE psnu <> 'NATION_3'", "sites"))
 def latest_extract(t: Tables) -> DataFrame:
-    """The newest of two extracts, found by its time."""
+    """The newest of two extracts, found by the time of its files and read whole."""
     folder, sites = run_folder(t.spark), t.sites().select("orgunituid", "sitename", "psnu", "balance")
-    write_delimited(sites.coalesce(1), f"{folder}/1")
-    write_delimited(sites.filter("psnu <> 'NATION_3'").coalesce(1), f"{folder}/2")
-    return read_delimited(t.spark, latest_file(t.spark, f"{folder}/*", "part-*"), SITE_SCHEMA)
+    write_delimited(sites, f"{folder}/1")
+    write_delimited(sites.filter("psnu <> 'NATION_3'").repartition(3), f"{folder}/2")
+    return read_delimited(t.spark, latest_folder(t.spark, f"{folder}/*"), SITE_SCHEMA)
+
+
+@query("late_header", with_sql("SELECT orgunituid AS org_unit, sitename AS site_name, CAST(balance AS VARCHAR) AS balance_usd FROM sites", "sites"))
+def late_header(t: Tables) -> DataFrame:
+    """Sheets whose names stand on their third line, below a title, with a line of units after them."""
+    folder, sites = run_folder(t.spark), t.sites()
+    cells = F.concat_ws(",", "orgunituid", F.concat(F.lit('"'), "sitename", F.lit('"')), F.col("balance").cast("string"))
+    # A sheet per area: its lines are one value, so they stay in order.
+    title = F.array(F.lit("Site list"), F.lit(""), F.lit('"Org Unit","Site - Name","Balance (USD)"'), F.lit(",,USD"))
+    sheets = sites.groupBy("psnu").agg(F.concat_ws("\n", title, F.sort_array(F.collect_list(cells))).alias("value"))
+    sheets.repartition(4).write.partitionBy("psnu").text(folder)
+    return promote_header(t.spark, f"{folder}/*", 3, skip_after=1)
+
+
+@query(
+    "monthly_feed",
+    "SELECT CAST(user_id AS VARCHAR) AS facility, strftime(ts, '%m-%Y') AS month, count(*) AS n FROM events GROUP BY ALL",
+)
+def monthly_feed(t: Tables) -> DataFrame:
+    """A sheet with a column per month, headed by spreadsheet day numbers, back to rows named by month."""
+    first = F.trunc("ts", "month")
+    rows = t.read("events").select(
+        F.col("user_id").cast("string").alias("facility"), F.datediff(first, F.lit("1899-12-30").cast("date")).alias("serial"))
+    sheet = rows.groupBy("facility").pivot("serial").count()
+    months = heading_months(sheet.columns)
+    long = sheet.unpivot(["facility"], list(months), "heading", "n").filter("n IS NOT NULL")
+    return long.select("facility", recode("heading", months).alias("month"), "n")
 
 
 @query(

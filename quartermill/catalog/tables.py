@@ -124,7 +124,7 @@ class Tables:
         if late:
             summed = self.wide([d for d in dims if d not in late], years)
             return self.with_site(summed, late).select(*dims, "fiscal_year", *QUARTERS, "cumulative", "targets")
-        if any(d in SITE_ATTRIBUTES for d in dims) and not fits_broadcast(self.sites()):
+        if any(d in SITE_ATTRIBUTES for d in dims) and not small_enough(self.sites()):
             # By site first, then its attributes, then without the site: no area join on line rows.
             # A site table that fits a broadcast is joined on the map side instead, for one grouping.
             own = [d for d in dims if d not in SITE_ATTRIBUTES]
@@ -185,7 +185,7 @@ class Tables:
         )
 
 
-def fits_broadcast(df: DataFrame) -> bool:
+def small_enough(df: DataFrame) -> bool:
     """Whether Spark's own estimate of a table is below its broadcast threshold."""
     threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import uuid
 from pathlib import Path
 
 import pytest
@@ -60,6 +61,67 @@ def test_many_text_files_have_header_and_source(spark, rows, tmp_path):
     assert rows(df) == [("A", 1, "m_a.txt"), ("B", 2, "m_b.txt")]
 
 
+def test_entries_named_like_their_folder(spark, rows, tmp_path):
+    write(tmp_path / "x" / "x" / "part-0.csv", "k\tv\nA\t1\n")
+    write(tmp_path / "x" / "y" / "x" / "part-0.csv", "k\tv\nB\t2\n")
+    for folder in (tmp_path / "x", f"file:{tmp_path}/x", f"{tmp_path}/*"):
+        df = readers.read_many(spark, str(folder), "{x,y/x}", fmt="csv", schema="k string, v int", source="source")
+        assert rows(df) == [("A", 1, "x"), ("B", 2, "y")]
+
+
+def jobs(spark, build) -> int:
+    """How many Spark jobs a function starts."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "")
+    build()
+    found = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext._jsc.clearJobGroup()
+    return len(found)
+
+
+def test_jobs_do_not_grow_with_files(spark, rows, tmp_path):
+    for n in (100, 200):
+        for i in range(n):
+            write(tmp_path / str(n) / f"f{i:03}.tsv", ("k\tv\nA\t1\n" if i % 2 else "v\tk\n1\tA\n"))
+    built = {}
+    for n in (100, 200):
+        count = jobs(spark, lambda n=n: built.update({n: readers.read_delimited(spark, str(tmp_path / str(n)), "k string, v int")}))
+        built[n] = (count, built[n])
+    # Spark lists many paths by jobs of its own, as many for either number.
+    assert built[200][0] == built[100][0]
+    assert rows(built[200][1].groupBy("k", "v").count()) == [("A", 1, 200)]
+
+
+def test_empty_files_and_marks_of_byte_order(spark, rows, tmp_path):
+    write(tmp_path / "a.tsv", "\ufeffk\tv\nA\t1\n")
+    write(tmp_path / "b.tsv", "")
+    assert rows(readers.read_delimited(spark, str(tmp_path), "k string, v int")) == [("A", 1)]
+    with pytest.raises(FileNotFoundError):
+        readers.read_delimited(spark, str(tmp_path), "k string", pattern="b*")
+
+
+def test_quoted_line_ends_and_compressed_sheets(spark, rows, tmp_path):
+    import gzip
+
+    write(tmp_path / "q" / "s.csv", 'Title,\n"Org\nUnit",n\n"a\nb",1\n,\nc,2\n')
+    df = readers.promote_header(spark, str(tmp_path / "q"), 2, multiline=True)
+    assert rows(df) == [("a\nb", "1"), ("c", "2")] and df.columns[1] == "n"
+    (tmp_path / "z").mkdir()
+    for k in range(3):
+        with gzip.open(tmp_path / "z" / f"{k}.csv.gz", "wt") as f:
+            f.write("t\nk,v\n" + "".join(f"{k},{i}\n" for i in range(50)))
+    df = readers.promote_header(spark, str(tmp_path / "z"), 2)
+    assert rows(df.groupBy("k").count()) == [("0", 50), ("1", 50), ("2", 50)]
+
+
+def test_latest_folder_is_read_whole(spark, rows, tmp_path):
+    for i, name in enumerate(["1/part-0.csv", "2/part-0.csv", "2/part-1.csv"]):
+        p = write(tmp_path / name, f"k\n{name}\n")
+        os.utime(p, (1_700_000_000 + i * 100, 1_700_000_000 + i * 100))
+    folder = readers.latest_folder(spark, f"{tmp_path}/*")
+    assert rows(readers.read_delimited(spark, folder, "k string")) == [("2/part-0.csv",), ("2/part-1.csv",)]
+
+
 def test_latest_file_by_time(spark, tmp_path):
     for i, name in enumerate(["CTX_old.txt", "CTX_new.txt", "other.txt"]):
         p = write(tmp_path / name, "x")
