@@ -60,10 +60,38 @@ def match(left: DataFrame, right: DataFrame, on: Keys, how: str = "left", null_s
     return left.join(renamed, test, how).drop(*[f"__key{i}" for i in range(len(pairs))])
 
 
-def lookup(left: DataFrame, dim: DataFrame, on: Keys, columns: Sequence[str] | None = None, null_safe: bool = False) -> DataFrame:
-    """Left join that adds attribute ``columns`` (default: all non-key columns) of ``dim``."""
+def one_per_key(dim: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
+    """The same table, one row per key, with a check inside the plan that a key has one value only.
+
+    A key on rows that differ ends the query with an error that names it; no job runs
+    beforehand, and equal rows count as one. The table is grouped by its keys, which is
+    the shuffle that a join on them needs anyway. Without ``null_safe`` rows with a NULL
+    key go, as they match nothing.
+    """
+    rest = [c for c in dim.columns if c not in keys]
+    rows = dim if null_safe else dim.dropna(subset=list(keys))
+    if not rest:
+        return rows.distinct()
+    whole = F.struct(*rest)
+    ends = rows.groupBy(*keys).agg(F.min(whole).alias("__least"), F.max(whole).alias("__most"))
+    named = F.concat(F.lit("not unique on " + ", ".join(keys) + ": "), F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys]))
+    same = F.col("__least").eqNullSafe(F.col("__most"))
+    first = F.when(same, F.col(keys[0])).otherwise(F.raise_error(named).cast(dim.schema[keys[0]].dataType))
+    return ends.withColumn(keys[0], first).select(*[F.col(c) if c in keys else F.col(f"__least.{c}") for c in dim.columns])
+
+
+def lookup(
+    left: DataFrame, dim: DataFrame, on: Keys, columns: Sequence[str] | None = None, null_safe: bool = False, unique: bool = True
+) -> DataFrame:
+    """Left join that adds attribute ``columns`` (default: all non-key columns) of ``dim``.
+
+    A key that ``dim`` holds twice would multiply the rows of ``left``; it is an error
+    (:func:`one_per_key`), unless ``unique`` is switched off.
+    """
     keys = [r for _, r in _pairs(on)]
     wanted = dim if columns is None else dim.select(*keys, *[c for c in columns if c not in keys])
+    if unique:
+        wanted = one_per_key(wanted, keys, null_safe)
     return match(left, wanted, on, "left", null_safe)
 
 
@@ -111,7 +139,7 @@ def reconcile(left: DataFrame, right: DataFrame, on: tuple[str, str]) -> DataFra
 
 def full_lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Full outer join on shared keys with one key column each, built like :func:`reconcile`."""
-    return lookup(left, right, on, null_safe=True).unionByName(not_matched(right, left, on), allowMissingColumns=True)
+    return lookup(left, right, on, null_safe=True, unique=False).unionByName(not_matched(right, left, on), allowMissingColumns=True)
 
 
 def not_matched(left: DataFrame, right: DataFrame, on: Keys, null_safe: bool = True) -> DataFrame:
@@ -126,13 +154,13 @@ def matched(left: DataFrame, right: DataFrame, on: Keys, null_safe: bool = True)
     return match(left, right.select(*keys).distinct(), on, "left_semi", null_safe)
 
 
-def overwrite(left: DataFrame, crosswalk: DataFrame, on: Keys, replace: Mapping[str, str], when=None) -> DataFrame:
+def overwrite(left: DataFrame, crosswalk: DataFrame, on: Keys, replace: Mapping[str, str], when=None, unique: bool = True) -> DataFrame:
     """Overwrite columns from a crosswalk where it has a value: ``{column: new_column}``.
 
-    ``when`` limits the overwrite (for example to one fiscal year). The
-    crosswalk must be unique on its keys.
+    ``when`` limits the overwrite (for example to one fiscal year). A crosswalk that
+    gives a key two values is an error, as in :func:`lookup`.
     """
-    hit = match(left, crosswalk.select(*[r for _, r in _pairs(on)], *replace.values()), on)
+    hit = lookup(left, crosswalk.select(*[r for _, r in _pairs(on)], *replace.values()), on, unique=unique)
     new_values = {}
     for column, new in replace.items():
         fresh = F.coalesce(F.col(new), F.col(column))

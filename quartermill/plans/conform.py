@@ -166,7 +166,7 @@ def delete_records(
     long_fact: DataFrame, rows: Column, elements: DataFrame, mechanisms: DataFrame, on: Sequence[str], columns: Mapping[str, str], period: str
 ) -> DataFrame:
     """Records to delete: filtered long fact, mapped to uids, with the period back-dated."""
-    mapped = lookup(lookup(long_fact.filter(rows), elements.distinct(), on, null_safe=True), mechanisms, ["mech_code"])
+    mapped = lookup(map_join(long_fact.filter(rows), elements, on), mechanisms, ["mech_code"])
     return mapped.withColumn("period", F.lit(period)).select(*[F.col(columns.get(c, c)).alias(c) for c in SUBMISSION])
 
 

@@ -293,3 +293,19 @@ def test_latest_and_exclusions(frame, rows):
     assert rows(filters.exclude_where(df, F.col("s") == "a", F.col("p") == 1), "v") == [(2,), (3,)]
     assert rows(filters.current_rows(df, F.col("p") == 2, ["v"], "is_current")) == [(2, "Yes"), (3, "Yes")]
     assert rows(filters.inside_box(df, "p", "v", 1, 1, 0, 2), "v") == [(1,)]
+
+
+def test_doubled_dimension_keys_are_an_error(frame, rows):
+    fact = frame("k string, v int", [("a", 1), ("b", 2), (None, 3)])
+    dim = frame("k string, x int, y int", [("a", 1, 1), ("a", 2, 1), ("c", 3, 3), (None, 4, 4), (None, 5, 5)])
+    with pytest.raises(Exception, match="not unique on k: a"):
+        joins.lookup(fact, dim, ["k"]).collect()
+    assert rows(joins.lookup(fact, dim, ["k"], unique=False), "k", "x") == [("a", 1), ("a", 2), ("b", None), (None, None)]
+    # Equal in the wanted columns, or NULL where NULL matches nothing: no error.
+    assert rows(joins.lookup(fact, dim, ["k"], ["y"]), "k", "y") == [("a", 1), ("b", None), (None, None)]
+    with pytest.raises(Exception, match="not unique on k: NULL"):
+        joins.lookup(fact, dim, ["k"], ["y"], null_safe=True).collect()
+    moves = frame("old string, new string", [("a", "z"), ("a", "y")])
+    with pytest.raises(Exception, match="not unique on old: a"):
+        joins.overwrite(fact, moves, {"k": "old"}, {"k": "new"}).collect()
+    assert joins.overwrite(fact, moves, {"k": "old"}, {"k": "new"}, unique=False).count() == 4

@@ -12,7 +12,7 @@ from quartermill.functions.semantics import not_in
 from quartermill.operators import reshape, setops, windows
 
 FOLDER = "/root/testdata/sf0.001"
-EAGER = {"candidate_keys"}
+EAGER: set[str] = set()
 
 
 def plan(df) -> str:

@@ -106,8 +106,22 @@ def test_completeness_counts(frame, rows):
 
 
 def test_key_prefixes_stop_at_first_unique(frame):
-    df = frame("a int, b int, c int", [(1, 1, 1), (1, 2, 1), (2, 1, 1)])
-    assert quality.key_prefixes(df, ["a", "b", "c"]) == [(1, False), (2, True), (3, True)]
+    def prefixes(rows, columns=("a", "b", "c")):
+        return [(r["prefix"], r["is_key"]) for r in quality.key_prefixes(frame("a int, b int, c int", rows), list(columns)).orderBy("prefix").collect()]
+
+    assert prefixes([(1, 1, 1), (1, 2, 1), (2, 1, 1)]) == [(1, False), (2, True), (3, True)]
+    assert prefixes([(1, 1, 1), (2, 2, 1)]) == [(1, True), (2, True), (3, True)]
+    assert prefixes([(1, 1, 1)] * 2) == [(1, False), (2, False), (3, False)]
+    # NULL is a value; a prefix that only nearly is a key passes the sketch and fails the count.
+    nearly = [(k, None, 0) for k in range(300)] + [(7, None, 1), (8, 8, 2)]
+    assert prefixes(nearly) == [(1, False), (2, False), (3, True)]
+
+
+def test_key_prefixes_start_no_job(spark, frame):
+    spark.sparkContext.setJobGroup("key-prefixes", "")
+    quality.key_prefixes(frame("a int, b int", [(1, 1), (1, 2)]), ["a", "b"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("key-prefixes")
+    spark.sparkContext._jsc.clearJobGroup()
 
 
 PROGRAMME = """mech_code string, psnu string, sitename string, funding_agency string, indicator string, numeratordenom string,
