@@ -1,4 +1,4 @@
-"""A bitmap of hashes, small enough for a broadcast however many hashes there are."""
+"""A Bloom filter of hashes, small enough for a broadcast however many hashes there are."""
 
 from __future__ import annotations
 
@@ -6,21 +6,27 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of the largest bitmap (16 MB). With more hashes than that it lets more pass, never less.
+#: Bits of the largest filter (16 MB). The more hashes there are, the more others pass, but never less.
 MOST_BITS = 27
 #: Bits per hash, below that size.
 ROOM = 6
 
 
+def slot(hashes: np.ndarray, which: int, size: int) -> np.ndarray:
+    """One of the two places of each hash in a bitmap of ``2 ** size`` bits."""
+    return (hashes.view(np.uint64) << np.uint64(which * (64 - MOST_BITS))) >> np.uint64(64 - size)
+
+
 def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
-    """Flags of the top bits of all hashes in a long column.
+    """Two flags for every hash in a long column: its first bits, and later ones.
 
     Spark ORs them into cells of 64 bits; the driver gets those that aren't empty,
     2 million at most.
     """
-    slot = F.shiftrightunsigned(column, 64 - MOST_BITS)
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
-    cells = hashes.select(F.shiftright(slot, 6).alias("cell"), one.alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
+    places = [F.shiftrightunsigned(F.shiftleft(column, which * (64 - MOST_BITS)), 64 - MOST_BITS) for which in (0, 1)]
+    at = hashes.select(F.explode(F.array(*places)).alias("at"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))
+    cells = at.groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(one).alias("bits")).toArrow()
     at, bits = (cells.column(k).to_numpy() for k in ("cell", "bits"))
     n = max(1, int(np.bitwise_count(bits).sum()))
     full = np.zeros(1 << (MOST_BITS - 6), np.uint64)
@@ -33,6 +39,8 @@ def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
 
 def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes (64-bit numbers of either sign) the bitmap lets pass: all that it was made of."""
-    size = len(bits).bit_length() + 2
-    slot = hashes.view(np.uint64) >> np.uint64(64 - size)
-    return (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    size, out = len(bits).bit_length() + 2, np.ones(len(hashes), bool)
+    for which in (0, 1):
+        at = slot(hashes, which, size)
+        out &= (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return out
