@@ -7,6 +7,9 @@ positions of both, though only one position in five is hashed. Only where an anc
 also stands in another document are windows hashed at all, so the table of windows
 follows the repeats, not the corpus. An extension is then exact: a window belongs to
 the smallest document that starts it, and all others lose it.
+
+Exact copies are one text here: only the row with the smallest id takes part, and a
+text that has a window goes whole from the other rows.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quartermill.llm.common import ensure_checkpoint_dir, list_array, parts_of, quoted, ranges, runs, text_buffer
+from quartermill.llm.common import ensure_checkpoint_dir, grouped, list_array, parts_of, quoted, ranges, text_buffer
 from quartermill.llm.slots import bitmap, passes
 from quartermill.llm.wordcodes import Sequences, byte_class, word_codes, word_spans
 
@@ -71,63 +74,77 @@ class Words:
         return starts, sequences.at(starts, window), self.sequences(1).at(starts, window)
 
 
-def anchor_hashes(texts: DataFrame, window: int) -> DataFrame:
+def own(batch: pa.RecordBatch, first) -> pa.RecordBatch:
+    """Rows that stand for their text (and a few others, which only cost time)."""
+    return batch.filter(pa.array(passes(first.value, batch.column(1).to_numpy())))
+
+
+def anchor_hashes(texts: DataFrame, window: int, first) -> DataFrame:
     """Hashes of the anchors that stand in two documents or more."""
     def run(batches):
         for batch in batches:
             for part in parts_of(batch, "text"):
-                words = Words(part.column(1))
+                part = own(part, first)
+                words = Words(part.column(2))
                 at, hashes, _ = words.anchors(window)
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), part.column(0).take(pa.array(words.doc[at]))], names=["hash", "id"])
 
-    rows = texts.select("id", "text").mapInArrow(run, T.StructType([T.StructField("hash", T.LongType()), texts.schema["id"]]))
+    rows = texts.select("id", "row", "text").mapInArrow(run, T.StructType([T.StructField("hash", T.LongType()), texts.schema["id"]]))
     return rows.groupBy("hash").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("hash")
 
 
-def window_rows(texts: DataFrame, window: int, shared) -> DataFrame:
-    """(h1, h2, id, t, place) of every window that may repeat."""
+def window_rows(texts: DataFrame, window: int, first, shared) -> DataFrame:
+    """(h1, h2, id, k1, k2, place) of every window that may repeat."""
     def run(batches):
         for batch in batches:
             for part in parts_of(batch, "text"):
-                words = Words(part.column(2))
+                part = own(part, first)
+                words = Words(part.column(4))
                 at, h1, h2 = words.candidates(window, shared.value)
                 doc = pa.array(words.doc[at])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), part.column(0).take(doc), part.column(1).take(doc), pa.array(words.place[at])],
-                    names=["h1", "h2", "id", "t", "place"])
+                    [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), *[part.column(k).take(doc) for k in (0, 2, 3)], pa.array(words.place[at])],
+                    names=out.names)
 
-    long = [T.StructField(n, T.LongType()) for n in ("h1", "h2")]
-    return texts.select("id", "t", "text").mapInArrow(run, T.StructType([*long, texts.schema["id"], *(T.StructField(n, T.LongType()) for n in ("t", "place"))]))
+    out = T.StructType([LONG("h1"), LONG("h2"), texts.schema["id"], LONG("k1"), LONG("k2"), LONG("place")])
+    return texts.select("id", "row", "k1", "k2", "text").mapInArrow(run, out)
 
 
 def spans_of(rows: DataFrame, window: int) -> DataFrame:
-    """Repeated windows (id, t, place) as one row per text: merged spans of words."""
-    def run(batches):
-        for group in runs(batches, 2):
-            place = group.column(2).to_numpy()
-            new = np.concatenate([[True], place[1:] > place[:-1] + window])
-            starts, stops = place[new], place[np.append(new[1:], True)] + window
-            spans = pa.StructArray.from_arrays([pa.array(starts), pa.array(stops)], names=["start", "stop"])
-            yield pa.RecordBatch.from_arrays(
-                [group.column(0).slice(0, 1).combine_chunks(), group.column(1).slice(0, 1).combine_chunks(), list_array(spans, [len(starts)])], names=["id", "t", "spans"])
+    """Repeated windows (k1, k2, place) as one row per text: merged spans of words."""
+    def solve(table):
+        place = np.unique(table.column("place").to_numpy())
+        new = np.concatenate([[True], place[1:] > place[:-1] + window])
+        starts, stops = place[new], place[np.append(new[1:], True)] + window
+        spans = pa.StructArray.from_arrays([pa.array(starts), pa.array(stops)], names=["start", "stop"])
+        return [table.column(k).to_numpy()[:1] for k in ("k1", "k2")] + [list_array(spans, [len(starts)])]
+
+    return grouped(rows.select("k1", "k2", "place"), ["k1", "k2"], solve, "k1 long, k2 long, spans array<struct<start:long,stop:long>>")
 
-    out = T.StructType([rows.schema["id"], rows.schema["t"], T.StructField("spans", T.ArrayType(SPAN))])
-    return rows.repartition("id", "t").sortWithinPartitions("id", "t", "place").mapInArrow(run, out)
+
+def LONG(name: str) -> T.StructField:  # noqa: N802
+    return T.StructField(name, T.LongType())
 
 
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 ADDED = [
     T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
     T.StructField("removal", T.ArrayType(SPAN)), T.StructField("kept_text", T.StringType()),
 ]
 
 
-def without_spans(column: pa.Array, spans: pa.Array | None) -> list[pa.Array]:
-    """The added columns for texts and the spans of words that they lose."""
+def without_spans(column: pa.Array, spans: pa.Array | None, whole: pa.Array | None, window: int) -> list[pa.Array]:
+    """The added columns for texts and what they lose: spans of words, or all of a text with a window."""
     words = Words(column)
     kept = np.ones(len(words.doc), bool)
     if spans is None:
-        spans = pa.array([None] * len(column), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))
+        spans = pa.array([None] * len(column), SPANS)
+    if whole is not None:
+        gone = whole.to_numpy(zero_copy_only=False) & (words.counts >= window)
+        kept[gone[words.doc]] = False
+        everything = pa.StructArray.from_arrays([pa.array(np.zeros(len(column), np.int64)), pa.array(words.counts.astype(np.int64))], names=["start", "stop"])
+        spans = pa.compute.if_else(pa.array(gone), list_array(everything, np.ones(len(column), np.int64)).cast(SPANS), spans.cast(SPANS))
     flat, owner = spans.flatten(), np.repeat(np.arange(len(spans)), pa.compute.list_value_length(spans).fill_null(0).to_numpy())
     if len(flat):
         starts, stops = (words.first[owner] + flat.field(k).to_numpy() for k in (0, 1))
@@ -162,43 +179,56 @@ def drop_repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_
     named like an output. Memory follows the longest text (about 30 bytes per byte).
     """
     spark = docs.sparkSession
-    key = F.col(quoted(doc_id))
-    texts = docs.select(key.alias("id"), F.xxhash64(key, quoted(text)).alias("t"), F.col(quoted(text)).alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
-    shared = spark.sparkContext.broadcast(bitmap(anchor_hashes(texts, window), "hash"))
+    key, body = F.col(quoted(doc_id)), F.col(quoted(text))
+    # Two hashes of the text tell texts apart.
+    k1, k2 = F.xxhash64(body), F.xxhash64(F.lit(text), body)
+    texts = docs.select(key.alias("id"), F.xxhash64(key, k1, k2).alias("row"), k1.alias("k1"), k2.alias("k2"), body.alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
 
     folder = f"{ensure_checkpoint_dir(spark)}/windows-{uuid.uuid4().hex}"
-    window_rows(texts, window, shared).write.parquet(f"{folder}/all")
-    every = spark.read.parquet(f"{folder}/all")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    copies = stored(texts.groupBy("k1", "k2").agg(F.min("id").alias("least"), F.max("id").alias("most")), "copies")
+    first = spark.sparkContext.broadcast(bitmap(copies.select(F.xxhash64("least", "k1", "k2").alias("row")), "row"))
+    shared = spark.sparkContext.broadcast(bitmap(anchor_hashes(texts, window, first), "hash"))
+    every = stored(window_rows(texts, window, first, shared), "all")
     owned = every.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
-    owned.select("h1", "h2", "least").write.parquet(f"{folder}/owned")
-    repeats = every.join(spark.read.parquet(f"{folder}/owned"), ["h1", "h2"]).filter("id > least").select("id", "t", "place")
-    spans_of(repeats, window).write.parquet(f"{folder}/spans")
-    spans = spark.read.parquet(f"{folder}/spans")
-    cut_ones = spark.sparkContext.broadcast(bitmap(spans, "t"))
+    repeats = every.join(stored(owned.select("h1", "h2", "least"), "owned"), ["h1", "h2"]).filter("id > least")
+    spans = spans_of(repeats, window)
+    losing = stored(copies.filter("least < most").select("k1", "k2", "least").join(spans, ["k1", "k2"], "full"), "losing")
+    losers = spark.sparkContext.broadcast(bitmap(losing, "k1"))
 
-    # Only texts that lose words are shuffled to meet their spans.
+    # Only texts that lose words are shuffled to meet what they lose.
     names = {f.name for f in ADDED}
     kept = [f for f in docs.schema.fields if f.name.lower() not in names]
     n = len(kept)
-    plain = docs.select(*[F.col(quoted(f.name)).alias(f"c{k}") for k, f in enumerate(kept)], F.col(quoted(text)).alias("text"), F.xxhash64(key, quoted(text)).alias("t"), key.alias("id"))
+    columns = [F.col(quoted(f.name)).alias(f"c{k}") for k, f in enumerate(kept)]
+    at = next((k for k, f in enumerate(kept) if f.name == text), n)
+    if at == n:  # an output takes its name
+        columns.append(body.alias(f"c{n}"))
+    plain = docs.select(k1.alias("k1"), k2.alias("k2"), key.alias("id"), *columns)
 
-    def touched(batch):
-        return passes(cut_ones.value, batch.column(n + 1).to_numpy())
+    def halves(batches, which):
+        for batch in batches:
+            for part in parts_of(batch, f"c{at}"):
+                yield part.filter(pa.array(passes(losers.value, part.column(0).to_numpy()) == which))
 
     def untouched(batches):
-        for batch in batches:
-            for part in parts_of(batch.filter(pa.array(~touched(batch))), "text"):
-                yield pa.RecordBatch.from_arrays([*part.columns[:n], *without_spans(part.column(n), None)], names=out.names)
+        for part in halves(batches, False):
+            yield pa.RecordBatch.from_arrays([*part.columns[3 : n + 3], *without_spans(part.column(at + 3), None, None, window)], names=out.names)
 
-    def only_touched(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(touched(batch)))
+    def touched(batches):
+        yield from halves(batches, True)
 
     def cut(batches):
         for batch in batches:
-            for part in parts_of(batch, "text"):
-                yield pa.RecordBatch.from_arrays([*part.columns[:n], *without_spans(part.column(n), part.column(n + 1))], names=out.names)
+            for part in parts_of(batch, f"c{at}"):
+                yield pa.RecordBatch.from_arrays([*part.columns[2 : n + 2], *without_spans(part.column(at + 2), part.column(0), part.column(1), window)], names=out.names)
 
     out = T.StructType([*kept, *ADDED])
-    met = plain.mapInArrow(only_touched, plain.schema).join(spans, ["id", "t"], "left").select(*plain.columns[: n + 1], "spans")
+    met = plain.mapInArrow(touched, plain.schema).join(losing, ["k1", "k2"], "left")
+    later = F.coalesce(F.col("id") > F.col("least"), F.lit(False))
+    met = met.select(F.when(F.col("id").isNotNull() & ~later, F.col("spans")).alias("spans"), later.alias("whole"), *plain.columns[3:])
     return plain.mapInArrow(untouched, out).unionByName(met.mapInArrow(cut, out))
