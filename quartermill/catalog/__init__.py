@@ -6,7 +6,7 @@ from quartermill.catalog.registry import QUERIES
 def load() -> dict:
     """Import every query module and return the registry."""
     from quartermill.catalog import (  # noqa: F401
-        aggregation, context, exchange, filtering, joining, products, quality, reshaping, scanning, series, text, transforms,
+        aggregation, context, exchange, filtering, joining, products, programme, quality, reshaping, scanning, series, text, transforms,
     )
 
     return QUERIES

@@ -142,3 +142,26 @@ STAFF_CATEGORIES = (
 )
 STAFF_CATEGORY_DEFAULT = "itxIkeWqiE9"
 
+# Texts of the checks, as they stand in the reports.
+RULE_TEXTS = {
+    "ovc_exit_share": "OVC Serv exited without GRAD / OVC_SERV> 10%",
+    "ovc_hivstat": "OVC_HIVSTAT not equal to OVC_SERV <18",
+    "prep_ct_keypop": "PrEP_CT<PrEP_CT KeyPop Disagg",
+    "prep_ct_result": "PrEP_CT<PrEP_CT TestResult Disagg",
+    "index_offered": "Index_offered<Index_accepted",
+    "index_contacts": "Index_contacts <contacts_ new_pos + contacts_ new_neg + contacts_ known_pos",
+    "positives_recent": "HTS_TST_POS (>=15) < HTS_RECENT",
+    "hts_positives": "HTS_TST < HTS_TST_POS",
+    "prep_new": "PrEP_NEW > PrEP_CT",
+    "tx_new": "TX_NEW > TX_CURR",
+    "tx_rtt": "TX_RTT > TX_CURR",
+    "tx_dispensed": "TX_CURR > SC_CURR",
+    "tb_prev": "TB_PREV_D < TB_PREV_N",
+    "tb_stat": "TB_STAT_N >  TB_STAT_D",
+    "tx_pvls": "TX_PVLS_N >  TX_PVLS_D",
+    "pmtct_stat": "PMTCT_STAT_N >  PMTCT_STAT_D",
+    "hei_pos": "PMTCT_HEI_POS > PMTCT_EID",
+    "eid_positives": "PMTCT_EID 0-2months > PMTCT_STAT_POS+HTS_TST_POS_PMTCT",
+    "stat_art": "PMTCT_STAT_POS < PMTCT_ART",
+    "iit_short": "TX ML IIT <3 > IIT 3+",
+}

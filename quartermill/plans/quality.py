@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartermill.functions.periods import year_label
-from quartermill.operators.joins import match, not_matched
+from quartermill.operators.joins import compare_totals, not_matched
 from quartermill.operators.setops import loose_append
 from quartermill.operators.series import kept, lagged, unpack
 
@@ -339,9 +339,27 @@ def missing_from_submission(
     )
 
 
-def value_mismatch(submitted: DataFrame, source: DataFrame, keys: Sequence[str], names: tuple[str, str]) -> DataFrame:
-    """Submission totals that differ from the source totals (both already summed by ``keys``)."""
-    return match(submitted, source, keys, "left", null_safe=True).filter(F.col(names[0]) != F.col(names[1]))
+#: Check type and text of the comparison of a submission with its source.
+SOURCE_CHECK = ("TriangulationWithSource", "Value in import does not match source")
+
+
+def value_mismatch(
+    submitted: DataFrame, source: DataFrame, keys: Sequence[str], value: str, columns: Sequence[str], period: str, today: dt.date | None = None
+) -> DataFrame:
+    """Level 1: totals of a submission that differ from its source, in the finding layout.
+
+    Both sides may have many rows per key and are summed first (missing values count as
+    0). A key that the source lacks gives no finding; both totals stay on the row.
+    """
+    both = compare_totals(submitted, source, list(keys), value, ("submitted", "source"))
+    return both.filter(F.col("submitted") != F.col("source")).select(
+        *columns, "submitted", "source",
+        F.expr(period).cast("string").alias("period"),
+        F.lit(LEVEL_1).alias("level"),
+        F.lit(SOURCE_CHECK[0]).alias("type_check"),
+        F.lit(SOURCE_CHECK[1]).alias("check"),
+        (F.lit(today) if today else F.current_date()).alias("today_date"),
+    )
 
 
 def completeness(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
@@ -401,83 +419,3 @@ def key_prefixes(df: DataFrame, columns: Sequence[str], margin: float = 0.1) ->
     good = F.array_min(F.array_except("likely", doubled))
     rows = [F.struct(F.lit(k).alias("prefix"), F.lit(", ".join(columns[:k])).alias("columns"), F.coalesce(F.lit(k) >= good, F.lit(False)).alias("is_key")) for k in range(1, n + 1)]
     return state.select(F.inline(F.array(*rows)))
-
-
-def programme_rules(agency: str) -> list[Rule]:
-    """The level-2 checks of the quarterly report, as data, for one funding agency.
-
-    Conditions name the fact's own columns; the agency is a parameter.
-    """
-    own = "funding_agency = '" + agency.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    total = "standardizeddisaggregate = 'Total Numerator'"
-
-    def ind(name: str, *more: str) -> str:
-        return " AND ".join([f"indicator = '{name}'", *more])
-
-    exits = "(otherdisaggregate IS NULL OR otherdisaggregate = 'Exited without Graduation')"
-    positives_15 = (
-        "indicator = 'HTS_TST' AND regexp(categoryoptioncomboname, "
-        "'^(15-19|20-24|25-29|30-34|35-39|40-44|45-49|50[+]), (Male|Female), Positive$')"
-    )
-    return [
-        share_above(
-            "ovc_exit_share", "OVC Serv exited without GRAD / OVC_SERV> 10%",
-            ind("OVC_SERV", own, "standardizeddisaggregate = 'ProgramStatus'", exits), ind("OVC_SERV", own, total, exits), 0.10,
-        ),
-        differs(
-            "ovc_hivstat", "OVC_HIVSTAT not equal to OVC_SERV <18",
-            ind("OVC_HIVSTAT", own, total),
-            ind("OVC_SERV", own, "trendscoarse = '<18'", "standardizeddisaggregate = 'Age/Sex/ProgramStatus'"),
-        ),
-        less_than(
-            "prep_ct_keypop", "PrEP_CT<PrEP_CT KeyPop Disagg",
-            ind("PrEP_CT", own, total), ind("PrEP_CT", own, "standardizeddisaggregate = 'KeyPop'"),
-        ),
-        less_than(
-            "prep_ct_result", "PrEP_CT<PrEP_CT TestResult Disagg",
-            ind("PrEP_CT", own, total), ind("PrEP_CT", own, "standardizeddisaggregate = 'TestResult'"),
-        ),
-        less_than(
-            "index_offered", "Index_offered<Index_accepted",
-            ind("HTS_INDEX", own, "standardizeddisaggregate = '1:Age/Sex/IndexCasesOffered'"),
-            ind("HTS_INDEX", own, "standardizeddisaggregate = '2:Age/Sex/IndexCasesAccepted'"),
-        ),
-        less_than_sum(
-            "index_contacts", "Index_contacts <contacts_ new_pos + contacts_ new_neg + contacts_ known_pos",
-            ind("HTS_INDEX", "standardizeddisaggregate = '3:Age Aggregated/Sex/Contacts'"),
-            [
-                ind("HTS_INDEX", "standardizeddisaggregate = '4:Age/Sex/Result'", f"otherdisaggregate = '{o}'", f"statushiv = '{s}'")
-                for o, s in (("Known at Entry", "Positive"), ("Newly Identified", "Negative"), ("Newly Identified", "Positive"))
-            ],
-        ),
-        less_than("positives_recent", "HTS_TST_POS (>=15) < HTS_RECENT", positives_15, ind("HTS_RECENT")),
-        less_than(
-            "hts_positives", "HTS_TST < HTS_TST_POS", ind("HTS_TST", own, total), ind("HTS_TST_POS", own, total)
-        ),
-        greater_than("prep_new", "PrEP_NEW > PrEP_CT", ind("PrEP_NEW", total), ind("PrEP_CT", total)),
-        greater_than("tx_new", "TX_NEW > TX_CURR", ind("TX_NEW", total), ind("TX_CURR", total)),
-        greater_than("tx_rtt", "TX_RTT > TX_CURR", ind("TX_RTT", total), ind("TX_CURR", total)),
-        greater_than("tx_dispensed", "TX_CURR > SC_CURR", ind("TX_CURR", total), ind("SC_ARVDISP", total)),
-        numerator_over_denominator("tb_prev", "TB_PREV_D < TB_PREV_N", ind("TB_PREV")),
-        numerator_over_denominator("tb_stat", "TB_STAT_N >  TB_STAT_D", ind("TB_STAT")),
-        numerator_over_denominator("tx_pvls", "TX_PVLS_N >  TX_PVLS_D", ind("TX_PVLS")),
-        numerator_over_denominator("pmtct_stat", "PMTCT_STAT_N >  PMTCT_STAT_D", ind("PMTCT_STAT")),
-        greater_than("hei_pos", "PMTCT_HEI_POS > PMTCT_EID", ind("PMTCT_HEI_POS"), ind("PMTCT_EID")),
-        greater_than_sum(
-            "eid_positives", "PMTCT_EID 0-2months > PMTCT_STAT_POS+HTS_TST_POS_PMTCT",
-            ind("PMTCT_EID", "categoryoptioncomboname = '<= 2 months'"),
-            [
-                ind("PMTCT_STAT", "numeratordenom = 'N'", "contains(categoryoptioncomboname, 'Positive')"),
-                ind("HTS_TST", "standardizeddisaggregate = 'PMTCT PostANC/Age/Sex/Result'", "contains(categoryoptioncomboname, 'Positive')"),
-            ],
-        ),
-        less_than(
-            "stat_art", "PMTCT_STAT_POS < PMTCT_ART",
-            ind("PMTCT_STAT", "numeratordenom = 'N'", "contains(categoryoptioncomboname, 'Positive')"), ind("PMTCT_ART"),
-        ),
-        greater_than(
-            "iit_short", "TX ML IIT <3 > IIT 3+",
-            ind("TX_ML", "contains(categoryoptioncomboname, '<3 Months')"),
-            ind("TX_ML", "regexp(categoryoptioncomboname, '3-5 Months|6[+] Months')"),
-        ),
-    ]

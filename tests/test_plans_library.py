@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from quartermill.plans import conform, products, quality
+from quartermill.plans import conform, products, quality, rules
 
 TODAY = dt.date(2023, 4, 24)
 FACT = "mech_code string, psnu string, sitename string, indicator string, numeratordenom string, qtr1 double, qtr2 double"
@@ -161,10 +161,45 @@ def programme_row(site, indicator, value, dis="Total Numerator", nd="N", other=N
     ],
 )
 def test_programme_rule_table(frame, message, rows_):
-    found = quality.findings(frame(PROGRAMME, rows_), KEYS, quality.programme_rules("AG"), {"'FY23Q1'": "qtr1"}, TODAY)
+    found = quality.findings(frame(PROGRAMME, rows_), KEYS, rules.programme_rules("AG"), {"'FY23Q1'": "qtr1"}, TODAY)
     assert message in [r.check for r in found.collect()]
 
 
+def test_rule_tables_are_checked_before_any_job(spark, frame):
+    fact = frame(PROGRAMME, [])
+    good = {"name": "r", "message": "m", "left": "indicator = 'A'", "right": ["indicator = 'B'"], "comparison": "<"}
+    bad = [
+        good, {**good, "message": ""}, {**good, "name": "c", "comparison": "~"}, {**good, "name": "l", "comparison": "share >"},
+        {**good, "name": "e", "right": []}, {**good, "name": "s", "left": "indicator = = 'A'"}, {**good, "name": "u", "right": ["nothing = 1"]},
+        {**good, "name": "n", "left": "qtr1 + 1"},
+    ]
+    spark.sparkContext.setJobGroup("rule-checks", "")
+    with pytest.raises(ValueError) as fault:
+        rules.compile_rules(bad, fact)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("rule-checks")
+    spark.sparkContext._jsc.clearJobGroup()
+    text = str(fault.value)
+    for part in ("rule 2 (r): no message", "rule 2 (r): the name", "unknown comparison '~'", "a share needs a limit", "rule 5 (e): a condition is missing",
+                 "rule 6 (s): indicator = =", "rule 7 (u): nothing = 1", "rule 8 (n): not a condition"):
+        assert part in text, part
+    assert "rule 1 " not in text
+
+
+def test_rules_from_a_table_give_the_same_findings(spark, frame, tmp_path):
+    rows_ = [programme_row("s", "TX_NEW", 2.0), programme_row("s", "TX_CURR", 1.0), programme_row("s", "TX_ML", 5.0)]
+    fact = frame(PROGRAMME, rows_)
+    table = [
+        {"name": "b", "message": "whole", "left": "indicator = 'TX_NEW'", "right": ["indicator = 'TX_CURR'"], "comparison": "whole <"},
+        {"name": "a", "message": "more", "left": "indicator = 'TX_ML'", "right": ["indicator = 'TX_NEW'", "indicator = 'TX_CURR'"], "comparison": ">",
+         "indicator": "TX_ML", "type_check": "Own", "level": "Level 3"},
+    ]
+    rules.rule_table(spark, table).write.json(str(tmp_path / "rules"))
+    own = rules.rules_from(spark.read.schema(rules.RULE_SCHEMA).json(str(tmp_path / "rules")), fact)
+    assert [r.name for r in own] == ["a", "b"]
+    found = quality.findings(fact, KEYS, own, {"'FY23Q1'": "qtr1"}, TODAY).collect()
+    assert [(r.level, r.type_check, r.indicator, r.check) for r in found] == [("Level 3", "Own", "TX_ML", "more")]
+
+
 # --- conform ---------------------------------------------------------------
 
 def test_conform_folds_bands_and_names(frame, rows):
