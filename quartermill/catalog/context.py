@@ -151,3 +151,21 @@ def disagg_type(t: Tables) -> DataFrame:
     )
     kind = context.disaggregate_type("age", "sex").alias("standardizeddisaggregate")
     return rows.groupBy(kind).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "pattern_table",
+    with_sql(
+        """SELECT psnu, coalesce((SELECT min_by(label, priority) FROM (SELECT n_nationkey AS priority, 'N_' || n_nationkey AS pattern, 'District ' || n_nationkey AS label
+                                   FROM nation WHERE n_nationkey BETWEEN 1 AND 3) r WHERE contains(l.psnu, r.pattern)), 'elsewhere') AS district,
+                  indicator, value
+           FROM (SELECT psnu, indicator, sum(value) AS value FROM lines GROUP BY ALL) l""",
+        "lines",
+    ),
+)
+def pattern_table(t: Tables) -> DataFrame:
+    """Area names settled by ordered patterns that come from a table."""
+    nations = t.read("nation").filter("n_nationkey BETWEEN 1 AND 3")
+    rules = nations.selectExpr("n_nationkey AS priority", "concat('N_', n_nationkey) AS pattern", "concat('District ', n_nationkey) AS label")
+    totals = sum_by(t.lines(["psnu", "indicator", "value"]), ["psnu", "indicator"], ["value"])
+    return context.pattern_labels(totals, "psnu", rules, "district", F.lit("elsewhere"))

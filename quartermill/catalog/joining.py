@@ -9,6 +9,7 @@ from quartermill.functions.semantics import na_sum
 from quartermill.operators.aggregates import side_by_side, sum_by
 from quartermill.operators.joins import lookup, map_join, match, matched, not_matched, overwrite, partial_key_map, reconcile
 from quartermill.operators.setops import keys_only_in, loose_append, rows_only_in
+from quartermill.operators.snapshots import snapshot_difference
 from quartermill.operators.windows import first_per_key
 from quartermill.plans.conform import attach_mechanism
 
@@ -273,3 +274,18 @@ def except_rows(t: Tables) -> DataFrame:
 )
 def key_set_diff(t: Tables) -> DataFrame:
     return keys_only_in(t.lines(["orgunituid"]), t.roster(), ["orgunituid"])
+
+
+@query(
+    "snapshot_diff",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 'removed' AS change FROM orders WHERE o_orderkey % 1000 = 7
+       UNION ALL SELECT o_orderkey, o_custkey, 'X', o_totalprice, 'changed' FROM orders WHERE o_orderkey % 1000 = 8
+       UNION ALL SELECT -o_orderkey, o_custkey, NULL, o_totalprice, 'added' FROM orders WHERE o_orderkey % 1000 = 9""",
+)
+def snapshot_diff(t: Tables) -> DataFrame:
+    """Two snapshots of the orders that differ in a few rows of each kind."""
+    old = t.read("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    status = F.when(F.col("o_orderkey") % 1000 == 8, F.lit("X")).otherwise(F.col("o_orderstatus"))
+    kept = old.filter("o_orderkey % 1000 <> 7").withColumn("o_orderstatus", status)
+    fresh = old.filter("o_orderkey % 1000 = 9").withColumns({"o_orderkey": -F.col("o_orderkey"), "o_orderstatus": F.lit(None).cast("string")})
+    return snapshot_difference(old, kept.unionByName(fresh), ["o_orderkey"])

@@ -7,12 +7,14 @@ from quartermill.catalog.registry import query
 from quartermill.catalog.tables import Tables, long_sql, wide_sql, with_sql
 from quartermill.functions.periods import quarter_label
 from quartermill.functions.semantics import na_sum
-from quartermill.operators.aggregates import sum_by_strings
+from quartermill.operators.aggregates import sum_by, sum_by_strings
 from quartermill.operators.joins import lookup
 from quartermill.operators.reshape import reshape_long
 from quartermill.plans import lists, products
-from quartermill.plans.conform import age_bands, area_names
+from quartermill.plans.conform import age_bands, area_names, cash_age_bands
 from quartermill.plans.context import agency_short_name, area_key, coarse_age, disaggregate_type, official_names
+from quartermill.session import run_folder
+from quartermill.sources.writers import read_ranked
 
 DIMS = ["snu1", "psnu", "mech_code", "indicator", "numeratordenom", "standardizeddisaggregate"]
 _MIRROR = ", ".join(f"CASE WHEN indicator = '{i}' THEN value END AS {i}" for i in "ANR")
@@ -212,19 +214,92 @@ def product_outlay(t: Tables) -> DataFrame:
     return products.outlays_and_results(results, outlays, ["budget", "outlays"], ["A", "N", "R"], "FY21Q3", ["mech_code"])
 
 
+_QUARTERS = [f"FY{y}Q{q}" for y in (98, 99) for q in range(1, 5)]
+_BASE = _QUARTERS[-1]
+
+
 @query(
     "partner_transition",
     with_sql(
-        """SELECT psnu, mech_code, p1 AS FY99Q1, p2 AS FY99Q2, p3 AS FY99Q3, p1 - p2 AS difference_FY99Q1_FY99Q2, p1 - p3 AS difference_FY99Q1_FY99Q3
-           FROM (SELECT psnu, mech_code, sum(CASE WHEN fiscal_year = 1999 THEN qtr1 END) AS p1, sum(CASE WHEN fiscal_year = 1999 THEN qtr2 END) AS p2,
-                        sum(CASE WHEN fiscal_year = 1999 THEN qtr3 END) AS p3 FROM wide WHERE NOT contains(psnu, 'N_1') GROUP BY ALL)""",
+        f"""SELECT psnu, mech_code, {', '.join(_QUARTERS)}, {', '.join(f'{_BASE} - {q} AS difference_{_BASE}_{q}' for q in _QUARTERS[:-1])}
+           FROM (SELECT psnu, mech_code, {', '.join(f"sum(CASE WHEN fiscal_year = 19{q[2:4]} THEN qtr{q[-1]} END) AS {q}" for q in _QUARTERS)}
+                 FROM wide WHERE NOT contains(psnu, 'N_1') GROUP BY ALL)""",
         "lines",
         wide=wide_sql(["psnu", "mech_code"], "indicator = 'A' AND fiscal_year IN (1998, 1999)"),
     ),
 )
 def partner_transition(t: Tables) -> DataFrame:
+    """Every quarter of the two years around a change of partners, against the last one."""
     rows = t.wide(["psnu", "mech_code", "indicator"], [1998, 1999]).filter("indicator = 'A'")
-    return products.partner_transition(rows, ["psnu", "mech_code"], "FY99Q1", ["FY99Q2", "FY99Q3"], "N_1")
+    return products.partner_transition(rows, ["psnu", "mech_code"], _BASE, _QUARTERS[:-1], "N_1")
+
+
+_SITE_DIMS = ["orgunituid", "sitename", "psnu", "mech_code", "indicator", "numeratordenom"]
+_LAGS = ("A_LAG1", "A_LAG2")
+
+
+@query(
+    "site_dashboard",
+    with_sql(
+        f"""SELECT orgunituid, sitename, psnu, psnu AS short_name, mech_code, mech_code || psnu AS DSPID, 'NO' AS HIGHBURDEN, indicator, numeratordenom,
+                   NULL AS source_name, period, period_type, value, {_MIRROR}, {', '.join(f'CAST(NULL AS DOUBLE) AS {c}' for c in _LAGS)} FROM long
+            UNION ALL
+            SELECT orgunituid, sitename, psnu, psnu, mech_code, mech_code || psnu, 'NO', indicator, NULL, 'Derived',
+                   'FY' || substr(period, 3), 'results', value, NULL, NULL, NULL, {', '.join(f"CASE WHEN indicator = '{c}' THEN value END" for c in _LAGS)}
+            FROM (SELECT orgunituid, sitename, psnu, mech_code, period, 'A_LAG1' AS indicator, lag(value, 1) OVER w AS value FROM filled
+                    WINDOW w AS (PARTITION BY orgunituid, mech_code ORDER BY period)
+                  UNION ALL SELECT orgunituid, sitename, psnu, mech_code, period, 'A_LAG2', lag(value, 2) OVER w FROM filled
+                    WINDOW w AS (PARTITION BY orgunituid, mech_code ORDER BY period))""",
+        "lines",
+        "sites",
+        wide=wide_sql(_SITE_DIMS),
+        long=long_sql(_SITE_DIMS),
+        observed="SELECT orgunituid, mech_code, fiscal_year || 'Q' || quarter AS period, sum(value) AS value FROM lines WHERE indicator = 'A' GROUP BY ALL",
+        filled="""SELECT x.orgunituid, x.mech_code, s.sitename, s.psnu, p.period, coalesce(o.value, 0) AS value
+                  FROM (SELECT DISTINCT orgunituid, mech_code FROM observed) x CROSS JOIN (SELECT DISTINCT period FROM observed) p
+                  LEFT JOIN observed o ON o.orgunituid = x.orgunituid AND o.mech_code = x.mech_code AND o.period = p.period
+                  JOIN sites s ON s.orgunituid = x.orgunituid""",
+    ),
+)
+def site_dashboard(t: Tables) -> DataFrame:
+    """Long totals by site with mirror columns, and the lagged series of one indicator."""
+    fact = t.wide(_SITE_DIMS)
+    return products.site_fact(fact, ["A", "N", "R"], "A", ["orgunituid", "mech_code"], ["sitename", "psnu"], ["orgunituid"]).select(
+        "orgunituid", "sitename", "psnu", "short_name", "mech_code", "DSPID", "HIGHBURDEN", "indicator", "numeratordenom", "source_name", "period",
+        "period_type", "value", "A", "N", "R", *_LAGS)
+
+
+@query(
+    "ranked_mechanisms",
+    with_sql(
+        """SELECT row_number() OVER (ORDER BY total DESC, mech_code, value DESC, orgunituid) AS position, mech_code, orgunituid, value
+           FROM (SELECT *, sum(value) OVER (PARTITION BY mech_code) AS total FROM (SELECT mech_code, orgunituid, sum(value) AS value FROM lines GROUP BY ALL))""",
+        "lines",
+    ),
+)
+def ranked_mechanisms(t: Tables) -> DataFrame:
+    """Sites of every mechanism, the largest mechanism first, with their position in the whole list."""
+    folder = run_folder(t.spark)
+    sums = sum_by(t.lines(["mech_code", "orgunituid", "value"]), ["mech_code", "orgunituid"], ["value"])
+    products.write_by_total(sums, "mech_code", "value", folder, [F.desc("value"), F.asc("orgunituid")], descending=True, parts=5)
+    return read_ranked(t.spark, folder).select("position", "mech_code", "orgunituid", "value")
+
+
+@query(
+    "cash_ages",
+    """SELECT band, coarse, count(*) AS n, sum(p_retailprice > 1000)::BIGINT AS dear FROM
+         (SELECT *, CASE WHEN p_size < 5 THEN '<5' WHEN p_size < 10 THEN '05-09' WHEN p_size < 15 THEN '0-14' WHEN p_size < 25 THEN '15-24'
+                         WHEN p_size < 30 THEN '25-29' WHEN p_size < 40 THEN '25+' WHEN p_size < 45 THEN '80+' ELSE 'Unknown Age' END AS band,
+                 CASE WHEN p_size < 15 THEN '<15' WHEN p_size < 45 THEN '15+' END AS coarse FROM part) GROUP BY ALL""",
+)
+def cash_ages(t: Tables) -> DataFrame:
+    """Age bands of the cash source, in all its spellings."""
+    spelled = F.expr(
+        """CASE WHEN p_size < 5 THEN '< 5' WHEN p_size < 10 THEN ' 5 to 9' WHEN p_size < 15 THEN '0 to 14' WHEN p_size < 25 THEN '15 - 24'
+                WHEN p_size < 30 THEN '25 to 29' WHEN p_size < 40 THEN '25 and older' WHEN p_size < 45 THEN '> 80' ELSE 'Other' END"""
+    )
+    people = t.read("part").select(cash_age_bands(spelled).alias("band"), (F.col("p_retailprice") > 1000).cast("long").alias("dear"))
+    return people.groupBy("band", coarse_age("band").alias("coarse")).agg(F.count(F.lit(1)).alias("n"), F.sum("dear").alias("dear"))
 
 
 @query(
@@ -278,7 +353,7 @@ def disengagement_extract(t: Tables) -> DataFrame:
                   CASE WHEN indicator = 'Count' THEN value END AS "Count", CASE WHEN indicator = 'Spend' THEN value END AS "Spend"
            FROM (SELECT g.*, p.fiscal_year, coalesce(v.value, 0) AS value FROM
                    (SELECT DISTINCT psnu, mech_code, occ_classification, service_delivery_model, indicator FROM long) g
-                   CROSS JOIN (SELECT unnest(range(1995, 2003)) AS fiscal_year) p
+                   CROSS JOIN (SELECT unnest(range(a, b + 1)) AS fiscal_year FROM (SELECT min(fiscal_year) AS a, max(fiscal_year) AS b FROM lines)) p
                    LEFT JOIN long v ON g.psnu = v.psnu AND g.mech_code = v.mech_code AND g.indicator = v.indicator
                      AND g.occ_classification IS NOT DISTINCT FROM v.occ_classification
                      AND g.service_delivery_model = v.service_delivery_model AND p.fiscal_year = v.fiscal_year)""",
@@ -290,13 +365,14 @@ def disengagement_extract(t: Tables) -> DataFrame:
 )
 def staffing_fact(t: Tables) -> DataFrame:
     rows = t.lines(["psnu", "mech_code", "ageasentered", "indicator", "numeratordenom", "fiscal_year", "value"])
+    years = t.years()
     sheet = rows.select(
         "psnu", "mech_code", F.col("ageasentered").alias("occ_classification"), F.col("indicator").alias("service_delivery_model"),
         F.expr("if(numeratordenom = 'D', 'Count', 'Spend')").alias("indicator"),
-        *[F.when(F.col("fiscal_year") == y, F.col("value")).alias(f"FY{y}") for y in range(1995, 2003)],
+        *[F.when(F.col("fiscal_year") == y, F.col("value")).alias(f"FY{y}") for y in years],
     )
     return products.staffing_fact(
-        sheet, [f"FY{y}" for y in range(1995, 2003)], ["Count", "Spend"], {"PROMO": None, "SMALL": ("A",)}
+        sheet, [f"FY{y}" for y in years], ["Count", "Spend"], {"PROMO": None, "SMALL": ("A",)}
     )
 
 

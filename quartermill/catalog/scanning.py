@@ -9,8 +9,10 @@ from quartermill.functions.semantics import na_sum
 from quartermill.operators.aggregates import sum_by
 from quartermill.operators.filters import current_rows, keep_listed, latest_rows
 from quartermill.operators.setops import join_vintages
+from quartermill.plans import rollup
 from quartermill.session import run_folder
 from quartermill.sources.readers import flatten_grid, read_many, tagged_union
+from quartermill.sources.vintages import read_years, replace_years
 from quartermill.sources.writers import write_by_key
 
 
@@ -78,12 +80,55 @@ def latest_snapshot(t: Tables) -> DataFrame:
     ),
 )
 def vintage_union(t: Tables) -> DataFrame:
-    closed, current = range(1995, 2000), range(2000, 2003)
+    # The newest three years are open.
+    years = t.years()
+    closed, current = years[:-3], years[-3:]
     columns = ["fiscal_year", "indicator", "value"]
     both = join_vintages(t.lines(columns, closed), t.lines(columns, current), closed, current)
     return both.groupBy("fiscal_year", "indicator").agg(na_sum("value").alias("value"), F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "replaced_vintage",
+    with_sql(
+        """SELECT fiscal_year, indicator, sum(CASE WHEN fiscal_year = newest THEN 2 * value ELSE value END) AS value
+           FROM lines, (SELECT max(fiscal_year) AS newest FROM lines) GROUP BY ALL""",
+        "lines",
+    ),
+)
+def replaced_vintage(t: Tables) -> DataFrame:
+    """Years stored, the open one replaced, and a second replacement that breaks off half-way and is never seen."""
+    folder, years = run_folder(t.spark), t.years()
+    rows = t.lines(["fiscal_year", "indicator", "value"])
+    sums = rows.groupBy("fiscal_year", "indicator").agg(na_sum("value").alias("value"))
+    replace_years(sums, folder, years)
+    replace_years(sums.withColumn("value", 2 * F.col("value")), folder, years[-1:])
+    broken = F.when(F.col("indicator") == "N", F.raise_error(F.lit("the source broke off")).cast("double")).otherwise(-F.col("value"))
+    try:
+        replace_years(sums.withColumn("value", broken), folder, years[-1:])
+    except Exception as e:  # noqa: BLE001 - the one that was asked for
+        if "the source broke off" not in str(e):
+            raise
+    return read_years(t.spark, folder)
+
+
+@query(
+    "rollup_answer",
+    with_sql(
+        "SELECT mech_code, indicator, fiscal_year, sum(value) AS value, sum(target) AS target, count(*) AS n_rows FROM lines GROUP BY ALL",
+        "lines",
+    ),
+)
+def rollup_answer(t: Tables) -> DataFrame:
+    """A rollup by site, mechanism, disaggregate and quarter; its open year is rebuilt, and a coarser sum comes from it."""
+    folder, years = run_folder(t.spark), t.years()
+    dims, measures = ["orgunituid", "mech_code", "indicator", "numeratordenom"], ["value", "target"]
+    columns = [*dims, *rollup.GRAIN, *measures]
+    rollup.build(t.lines(columns), folder, dims, measures, years)
+    rollup.refresh(t.lines(columns, years[-1:]), folder, dims, measures, years[-1:])
+    return rollup.answer(t.spark, folder, ["mech_code", "indicator", "fiscal_year"], measures)
+
+
 @query(
     "current_ref_rows",
     "SELECT CAST(s_suppkey AS VARCHAR) AS orgunituid, 'Yes' AS reference_site FROM supplier WHERE s_acctbal > 0",

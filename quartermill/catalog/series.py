@@ -113,10 +113,10 @@ def first_per_key_query(t: Tables) -> DataFrame:
 @query(
     "period_diff",
     with_sql(
-        """SELECT psnu, funding_agency, p1 AS FY99Q1, p2 AS FY99Q2, p3 AS FY99Q3, p1 - p2 AS difference_FY99Q1_FY99Q2,
-                  p1 - p3 AS difference_FY99Q1_FY99Q3
-           FROM (SELECT psnu, funding_agency, sum(CASE WHEN quarter = 1 THEN value END) AS p1,
-                        sum(CASE WHEN quarter = 2 THEN value END) AS p2, sum(CASE WHEN quarter = 3 THEN value END) AS p3
+        """SELECT psnu, funding_agency, p1 AS FY99Q1, p2 AS FY99Q2, p3 AS FY99Q3, p4 AS FY99Q4, p1 - p2 AS difference_FY99Q1_FY99Q2,
+                  p1 - p3 AS difference_FY99Q1_FY99Q3, p1 - p4 AS difference_FY99Q1_FY99Q4
+           FROM (SELECT psnu, funding_agency, sum(CASE WHEN quarter = 1 THEN value END) AS p1, sum(CASE WHEN quarter = 2 THEN value END) AS p2,
+                        sum(CASE WHEN quarter = 3 THEN value END) AS p3, sum(CASE WHEN quarter = 4 THEN value END) AS p4
                  FROM lines WHERE fiscal_year = 1999 GROUP BY ALL)""",
         "lines",
     ),
@@ -124,7 +124,7 @@ def first_per_key_query(t: Tables) -> DataFrame:
 def period_diff(t: Tables) -> DataFrame:
     rows = t.lines(["psnu", "funding_agency", "quarter", "value"], [1999])
     labelled = rows.withColumn("period", F.concat(F.lit("FY99Q"), "quarter"))
-    return period_differences(labelled, ["psnu", "funding_agency"], "period", "value", "FY99Q1", ["FY99Q2", "FY99Q3"])
+    return period_differences(labelled, ["psnu", "funding_agency"], "period", "value", "FY99Q1", ["FY99Q2", "FY99Q3", "FY99Q4"])
 
 
 _CODE = """CASE WHEN indicator = 'R' THEN NULL

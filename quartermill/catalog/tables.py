@@ -53,6 +53,12 @@ class Tables:
         """One table."""
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def years(self) -> range:
+        """Fiscal years of the fact, from its first and last day."""
+        day = self.read("lineitem").agg(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b"))
+        first, last = day.select(fiscal_year("a"), fiscal_year("b")).first()
+        return range(first or 0, (last if last is not None else -1) + 1)
+
     def areas(self) -> DataFrame:
         """Area attributes: psnu, snu1 and a yes/no programme flag."""
         nation, region = self.read("nation"), self.read("region")

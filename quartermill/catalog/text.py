@@ -230,6 +230,19 @@ def name_cleanup(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "exchange_names",
+    "SELECT p_partkey, CASE WHEN p_partkey % 4 = 2 THEN p_name || ' - x' ELSE p_name END AS mech_name FROM part",
+)
+def exchange_names(t: Tables) -> DataFrame:
+    """Mechanism names of the exchange list: with code and award, placeholder, dashes of their own, award only."""
+    entry = F.expr(
+        """CASE p_partkey % 4 WHEN 0 THEN concat(p_partkey, ' - 720', p_size, 'FA - ', p_name) WHEN 1 THEN concat('0000', p_size % 2, ' ', p_name)
+                              WHEN 2 THEN concat(p_partkey, ' - ', p_name, ' - x') ELSE concat('AID-OAA - ', p_name) END"""
+    )
+    return t.read("part").select("p_partkey", text.listed_mechanism_name(entry).alias("mech_name"))
+
+
 @query(
     "nd_suffix",
     with_sql(

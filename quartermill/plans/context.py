@@ -82,6 +82,23 @@ def rule_labels(df: DataFrame, on: Sequence[str], rules: Sequence[Sequence], lab
     return out.withColumn(label, F.coalesce(F.col("__label"), F.lit(default))).drop("__label")
 
 
+def pattern_labels(df: DataFrame, column: str, rules: DataFrame, label: str, default: Column | str | None = None) -> DataFrame:
+    """Label rows by the first matching pattern of a rule table (priority, pattern, label).
+
+    The table may hold thousands of rules; it is one array, in order of priority (then
+    pattern). Only the distinct values of the column are matched, each once, and the
+    labels are joined back. NULL and values without a match get ``default`` (without it
+    the value itself). Patterns are searched anywhere in the value.
+    """
+    ordered = rules.agg(F.sort_array(F.collect_list(F.struct("priority", "pattern", "label")))).scalar()
+    names = df.select(F.col(column).alias("__name")).distinct().withColumn("__rules", ordered)
+    first = F.get(F.filter("__rules", lambda r: F.rlike(F.col("__name"), r["pattern"])), F.lit(0))["label"]
+    found = names.filter("__name IS NOT NULL").select("__name", first.alias("__label"))
+    out = match(df, found, {column: "__name"})
+    fallback = F.col(column) if default is None else as_column(default)
+    return out.withColumn(label, F.coalesce(F.col("__label"), fallback)).drop("__label")
+
+
 def pair_flag(
     df: DataFrame,
     first: str,

@@ -22,6 +22,7 @@ from quartermill.operators.reshape import MEASURES, mirror_columns, reshape_long
 from quartermill.operators.series import completed, fill_within, lagged, pack, unpack
 from quartermill.operators.setops import loose_append
 from quartermill.operators.windows import period_differences, share_of_total
+from quartermill.sources.writers import write_ranked
 from quartermill.plans.context import (
     area_flags, area_key, labels_by_code, pair_flag, programme_class, with_denominator_suffix,
 )
@@ -100,7 +101,7 @@ def site_series(
 def site_fact(
     fact: DataFrame,
     indicators: Sequence[str],
-    lagged: str,
+    lagged_indicator: str,
     series: Sequence[str],
     carried: Sequence[str],
     group: Sequence[str],
@@ -115,8 +116,14 @@ def site_fact(
     """
     totals = long_totals(fact, indicators)
     source = fact if rows is None else fact.filter(rows)
-    lags = site_series(reshape_long(source), lagged, series, carried, group, steps).filter(F.col("source_name") == "Derived")
-    names = [f"{lagged}_LAG{k}" for k in steps]
+    # Four-digit years while periods are put in order, so a series may go over the turn of a century.
+    quarters = [q for q in MEASURES if q.startswith("qtr") and q in fact.columns]
+    full = lambda q: F.concat(F.col("fiscal_year").cast("string"), F.lit("Q" + q[3:]))
+    entries = F.array(*[F.struct(full(q).alias("period"), F.lit("results").alias("period_type"), F.col(q).cast("double").alias("value")) for q in quarters])
+    long = source.select(*[c for c in strings(source)], F.inline(F.filter(entries, lambda e: e["value"].isNotNull())))
+    lags = site_series(long, lagged_indicator, series, carried, group, steps).filter(F.col("source_name") == "Derived")
+    lags = lags.withColumn("period", F.concat(F.lit("FY"), F.substring("period", 3, 4)))
+    names = [f"{lagged_indicator}_LAG{k}" for k in steps]
     lags = mirror_columns(lags.withColumn("period_type", F.lit("results")), "indicator", names)
     return area_flags(area_key(loose_append(totals, lags)), priority=None)
 
@@ -230,12 +237,25 @@ def target_share(fact: DataFrame, keys: Sequence[str], within: Sequence[str], va
     return share_of_total(sum_by(fact, [*keys, *within], [value]), value, within)
 
 
+def _with_total(df: DataFrame, category: str, value: str) -> DataFrame:
+    totals = df.groupBy(category).agg(na_sum(value).alias("__total"))
+    return match(df, totals, [category], "left", null_safe=True)
+
+
+def _by_total(category: str, descending: bool) -> list[Column]:
+    return [F.col("__total").desc() if descending else F.col("__total").asc(), F.col(category).asc_nulls_last()]
+
+
 def sort_by_total(df: DataFrame, category: str, value: str, descending: bool = False) -> DataFrame:
     """Rows sorted by the total of their category (then by the category itself)."""
-    totals = df.groupBy(category).agg(na_sum(value).alias("__total"))
-    ranked = match(df, totals, [category], "left", null_safe=True)
-    by_total = F.col("__total").desc() if descending else F.col("__total").asc()
-    return ranked.orderBy(by_total, F.col(category).asc_nulls_last()).drop("__total")
+    return _with_total(df, category, value).orderBy(*_by_total(category, descending)).drop("__total")
+
+
+def write_by_total(
+    df: DataFrame, category: str, value: str, path: str, ties: Sequence[Column | str], descending: bool = False, parts: int | None = None
+) -> None:
+    """The same order, with ``ties`` to settle it within a category, as files to be read with their position."""
+    write_ranked(_with_total(df, category, value), path, [*_by_total(category, descending), *ties], parts)
 
 
 def staffing_fact(

@@ -13,8 +13,8 @@ FORBIDDEN = {
     "toPandas": "whole frame on the driver",
     "applyInPandas": "Python group",
 }
-#: The only places that bring rows to the driver: file names, distinct header lines, rule tables (bounded).
-COLLECTS = {"readers.py": 3, "rules.py": 1}
+#: The only places that bring rows to the driver: file names, distinct header lines, rule tables (bounded), years.
+COLLECTS = {"readers.py": 3, "rules.py": 1, "vintages.py": 2}
 
 
 def sources():
