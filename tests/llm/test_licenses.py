@@ -56,7 +56,7 @@ def test_every_template_finds_itself_alone(spark):
     for r in scan_licenses(df).collect():
         best = {x.name: x.coverage for x in r.licenses}
         assert best[r.name] == 1.0
-        assert set(best) <= {r.name} | {k for k, v in TEMPLATES.items() if len(WORD.findall(v.encode())) < len(WORD.findall(r.text.encode()))}
+        assert set(best) <= {r.name} | {k for k, v in TEMPLATES.items() if len(WORD.findall(v.lower().encode())) < len(WORD.findall(r.text.lower().encode()))}
 
 
 def test_no_templates_and_empty_tables(spark):
@@ -64,3 +64,78 @@ def test_no_templates_and_empty_tables(spark):
     assert [r.licenses for r in scan_licenses(df, templates={}).collect()] == [[]]
     assert [r.licenses for r in scan_licenses(df, templates={"none": "..."}).collect()] == [[]]
     assert scan_licenses(df.limit(0)).collect() == []
+
+
+def plain_length(a, b):
+    """Length of the longest common subsequence, by the book."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j], row[j + 1])
+    return row[-1]
+
+
+def test_subsequences_of_any_size(monkeypatch):
+    from quartermill.llm import licenses
+
+    rng = random.Random(5)
+    for cells in (1 << 22, 30):
+        monkeypatch.setattr(licenses, "CELLS", cells)
+        for _ in range(60):
+            a, b = ([rng.choice("abcde") for _ in range(rng.randrange(25))] for _ in "ab")
+            got = common_subsequence(a, b)
+            assert len(got) == plain_length(a, b) and all(a[i] == b[j] for i, j in got)
+            assert all(x < u and y < v for (x, y), (u, v) in zip(got, got[1:]))
+
+
+def test_altered_copies_in_a_row_are_each_found(spark):
+    rows, want = [], []
+    for k, (name, text) in enumerate(sorted(TEMPLATES.items())):
+        words = WORD.findall(text.encode().lower())
+        if len(words) < 40:
+            continue
+        copies = []
+        for c in range(3):
+            own = [w.decode() for w in words]
+            for at in [0, -1, 5 + 3 * c][: 2 + c % 2]:
+                own[at] = f"altered{c}"
+            copies.append(own)
+        rows.append((k, name, " ".join(" ".join(c) for c in copies)))
+        want.append((k, [sum(not w.startswith("altered") for w in c) / len(c) for c in copies]))
+    got = {r.k: [x.coverage for x in r.licenses if x.name == r.name] for r in scan_licenses(spark.createDataFrame(rows, "k int, name string, text string")).collect()}
+    assert got == dict(want)
+
+
+def test_scan_against_a_plain_search(spark):
+    # Every stretch of the text is aligned by the book; the places found must be the copies that reach the coverage.
+    rng = random.Random(9)
+    template = [f"t{k % 17}" for k in range(30)]
+    rows, want = [], []
+    for n in range(60):
+        text, found = [], []
+        for _ in range(rng.randrange(4)):
+            text += [rng.choice(["x", "y", "z", "t3"]) for _ in range(rng.randrange(0, 25))]
+            copy = list(template)
+            for _ in range(rng.choice([0, 1, 3, 12])):
+                copy[rng.randrange(len(copy))] = "q"
+            found.append((len(text), copy))
+            text += copy
+        rows.append((n, " ".join(text)))
+        want.append([plain_length(c, template) for _, c in found if plain_length(c, template) >= 0.8 * len(template)])
+    df = spark.createDataFrame(rows, "n int, text string")
+    got = {r.n: [round(x.coverage * 30) for x in r.licenses] for r in scan_licenses(df, templates={"t": " ".join(template)}).collect()}
+    for n, lengths in enumerate(want):
+        assert len(got[n]) == len(lengths), (n, got[n], lengths)
+        assert all(g <= w + 1 and g >= 24 for g, w in zip(got[n], lengths)), (n, got[n], lengths)
+
+
+def test_a_long_dense_text_is_scanned_in_seconds(spark):
+    import time
+
+    rng = random.Random(4)
+    words = WORD.findall(TEMPLATES["Apache-2.0 notice"].encode().lower())
+    text = " ".join(rng.choice(words).decode() for _ in range(100_000))
+    start = time.time()
+    assert scan_licenses(spark.createDataFrame([(text,)], "text string")).count() == 1
+    assert time.time() - start < 60
