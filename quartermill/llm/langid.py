@@ -24,6 +24,8 @@ PROFILE = 400
 MOST_LANGUAGES = 1000
 BLANK = np.uint16(32)
 CHARS = 1 << 20
+#: A text's number has 16 bits among the texts that are counted together.
+TEXTS = 1 << 16
 
 
 #: Filled once in each task.
@@ -144,6 +146,11 @@ def places(owner: np.ndarray, times: np.ndarray, most: int) -> tuple[np.ndarray,
     return index[ok], place[ok]
 
 
+def text_slices(offsets: np.ndarray) -> list[tuple[int, int]]:
+    """Row ranges to count together: of about ``CHARS`` bytes, and of ``TEXTS`` rows at most."""
+    return [(k, min(k + TEXTS, b)) for a, b in slices(offsets, CHARS) for k in range(a, b, TEXTS)]
+
+
 def learn(docs: DataFrame, text: str, lang: str, profile: int = PROFILE, most: int = MOST_LANGUAGES) -> list[tuple[str, list[int]]]:
     """Profiles ``(language, n-gram codes in order)`` of all documents with a language.
 
@@ -158,7 +165,7 @@ def learn(docs: DataFrame, text: str, lang: str, profile: int = PROFILE, most: i
             codes_of = names.indices.to_numpy()
             data, offsets, _ = text_buffer(batch.column(1))
             parts = [
-                text_counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], codes_of[a:b]) for a, b in slices(offsets, CHARS)
+                text_counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], codes_of[a:b]) for a, b in text_slices(offsets)
             ]
             if not parts:
                 continue
@@ -211,7 +218,7 @@ def identify(docs: DataFrame, profiles: list[tuple[str, list[int]]], text: str =
     def run(batch):
         data, offsets, _ = text_buffer(batch.column(batch.schema.names.index(text)))
         labels, scores = [], []
-        for a, b in slices(offsets, CHARS):
+        for a, b in text_slices(offsets):
             if not names:
                 labels += ["und"] * (b - a)
                 scores += [0.0] * (b - a)

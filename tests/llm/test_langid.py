@@ -95,3 +95,24 @@ def test_counts_of_a_text_in_parts_are_those_of_the_whole(monkeypatch):
     short = {code(g) for g in plain_grams("été")} - {code("e")}
     pick = lambda x: {int(c): int(t) for _, c, t in zip(*x) if int(c) in short}
     assert pick(whole) == pick(parts)
+
+
+def test_more_texts_than_a_text_s_number_has_room_for(spark):
+    import pyarrow as pa
+
+    texts = ["the cat and the dog", "le chat et le chien", "", "zz"] * 17_500 + ["le chien"]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    assert len(texts) > 1 << 16 and max(b - a for a, b in langid.text_slices(offsets)) <= 1 << 16
+    assert [a for a, _ in langid.text_slices(offsets)][1:] == [b for _, b in langid.text_slices(offsets)][:-1]
+    known = spark.createDataFrame([("the dog and the cat sat there", "en"), ("le chat et le chien dans la maison", "fr")], "text string, lang string")
+    profiles = learn(known, "text", "lang")
+    few = {r.text: (r.lang_pred, r.score) for r in identify(spark.createDataFrame([(t,) for t in set(texts)], "text string"), profiles).collect()}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000000")
+    try:
+        many = spark.createDataFrame(pa.table({"text": texts})).coalesce(1)
+        found = identify(many, profiles).groupBy("text", "lang_pred", "score").count().collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {r.text: (r.lang_pred, r.score) for r in found} == few and len(found) == len(few)
+    assert sum(r["count"] for r in found) == len(texts)
