@@ -7,8 +7,8 @@ transform in a wavelet matrix and sampled suffix positions. All test phrases are
 searched backwards at once with rank queries, their occurrences are located by
 walking to the next sampled position, and overlapping spans merge.
 
-The benchmark reaches the tasks in slices of at most ``slice_bytes`` of text, so
-memory stays bounded however large it is.
+The benchmark's phrases are numbers in a few arrays, which every task holds: about ten
+bytes for each byte of its text. So its size is bounded, and a larger one is an error.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ from quartermill.llm.common import extend, list_array, ranges, slices, text_buff
 
 #: Words of lower-cased UTF-8: ASCII letters and digits, and all that is not ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-SHARD_BYTES = 8 << 20
-SLICE_BYTES = 16 << 20
+#: Whole texts in one index; a longer text has one of its own.
+SHARD_BYTES = 4 << 20
+#: Benchmark text in all. Its phrases go through the driver and into every task.
+MOST_BYTES = 32 << 20
 SAMPLE = 8
 
 
@@ -128,31 +130,46 @@ class FMIndex:
 
 
 class Phrases:
-    """Test phrases of one slice of the benchmark: every window of ``window`` words of
-    each item, or the whole item if it has fewer words."""
+    """Test phrases of the benchmark: every window of ``window`` words of each item, or the whole item if it has fewer words.
 
-    def __init__(self, vocabulary: dict[bytes, int], shortest: int, groups: list):
-        self.vocabulary, self.shortest, self.groups = vocabulary, shortest, groups
+    ``groups`` has, for each length, the distinct phrases (a row of word numbers each) and
+    their items: those of phrase k are ``owners[begins[k] : begins[k + 1]]``, places in
+    ``names``.
+    """
+
+    def __init__(self, vocabulary: dict[bytes, int], shortest: int, groups: list, names: list[str | None]):
+        self.vocabulary, self.shortest, self.groups, self.names = vocabulary, shortest, groups, names
 
     @staticmethod
     def plain(items: list[tuple[str | None, str | None]], window: int) -> tuple:
         """What the constructor takes, as plain values that any worker can unpickle."""
         vocabulary: dict[bytes, int] = {}
-        by_length: dict[int, dict[tuple, set]] = {}
-        for item, text in items:
+        ids, counts = [], []
+        for _, text in items:
             words = WORD.findall((text or "").encode().lower())
-            ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words]
-            length = min(window, len(ids))
-            for k in range(len(ids) - length + 1) if length else ():
-                by_length.setdefault(length, {}).setdefault(tuple(ids[k : k + length]), set()).add(item)
-        groups = [
-            (np.array(list(found), np.int64), [sorted(x for x in owners if x is not None) for owners in found.values()])
-            for _, found in sorted(by_length.items())
-        ]
-        return vocabulary, min(by_length, default=0), groups
-
-    def hits(self, ids: np.ndarray, stops: np.ndarray) -> list[tuple[np.ndarray, int, list]]:
-        """(word positions, length, items) of every phrase that occurs in the shard.
+            ids.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words], np.int32))
+            counts.append(len(words))
+        flat, counts = np.concatenate([*ids, np.zeros(0, np.int32)]), np.array(counts, np.int64)
+        first = np.cumsum(counts) - counts
+        groups = []
+        lengths = np.minimum(counts, window)
+        for length in np.unique(lengths[lengths > 0]).tolist():
+            own = np.flatnonzero(lengths == length)
+            starts = ranges(first[own], counts[own] - length + 1)
+            owner = np.repeat(own, counts[own] - length + 1)
+            rows = np.lib.stride_tricks.sliding_window_view(flat, length)[starts]
+            order = np.lexsort((owner, *rows.T[::-1]))
+            rows, owner = rows[order], owner[order]
+            new = np.ones(len(rows), bool)
+            new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+            once = new.copy()
+            once[1:] |= owner[1:] != owner[:-1]
+            begins = np.append(np.flatnonzero(new[once]), int(once.sum()))
+            groups.append((rows[new], begins, owner[once].astype(np.int32)))
+        return vocabulary, int(lengths[lengths > 0].min(initial=window)) if len(groups) else 0, groups, [item for item, _ in items]
+
+    def hits(self, ids: np.ndarray, stops: np.ndarray) -> list[tuple[np.ndarray, int, list[str]]]:
+        """(word positions, length, items that have an id) of every phrase that occurs in the shard.
 
         ``ids`` are the vocabulary ids of the shard's words, ``stops`` the positions
         at which a text begins.
@@ -177,16 +194,21 @@ class Phrases:
         text[ends] = 0
         index = FMIndex(text, len(self.vocabulary) + 1)
         out = []
-        for phrases, owners in self.groups:
-            first, last = index.search(phrases)
+        here = np.zeros(len(self.vocabulary) + 1, bool)
+        here[text] = True
+        for phrases, begins, owners in self.groups:
+            # Only phrases all of whose words the shard has can occur in it.
+            asked = np.flatnonzero(here[phrases].all(axis=1))
+            first, last = index.search(phrases[asked].astype(np.int64))
             rows = index.locate(ranges(first, last - first))
             begin = np.concatenate([[0], np.cumsum(last - first)])
             for k in np.flatnonzero(last > first):
-                out.append((origin[rows[begin[k] : begin[k + 1]]], phrases.shape[1], owners[k]))
+                items = [self.names[i] for i in owners[begins[asked[k]] : begins[asked[k] + 1]]]
+                out.append((origin[rows[begin[k] : begin[k + 1]]], phrases.shape[1], [x for x in items if x is not None]))
         return out
 
 
-def scan_shard(texts: list[bytes], slices_of_phrases: list[Phrases]) -> tuple[list[int], list[int], list[set], list[list]]:
+def scan_shard(texts: list[bytes], phrases: Phrases) -> tuple[list[int], list[int], list[set], list[list]]:
     """Per text: words, hit words, items found, and merged spans of words (first, behind the last)."""
     words = [WORD.findall(t.lower()) for t in texts]
     counts = np.array([len(w) for w in words], np.int64)
@@ -194,14 +216,13 @@ def scan_shard(texts: list[bytes], slices_of_phrases: list[Phrases]) -> tuple[li
     total = int(bounds[-1])
     cover = np.zeros(total + 1, np.int32)
     items: list[set] = [set() for _ in texts]
-    for phrases in slices_of_phrases:
-        get = phrases.vocabulary.get
-        ids = np.concatenate([np.fromiter(map(get, w, repeat(0)), np.int64, len(w)) for w in words] or [np.zeros(0, np.int64)])
-        for positions, length, owners in phrases.hits(ids, bounds[:-1]):
-            np.add.at(cover, positions, 1)
-            np.add.at(cover, positions + length, -1)
-            for d in np.unique(np.searchsorted(bounds, positions, side="right") - 1):
-                items[d].update(owners)
+    get = phrases.vocabulary.get
+    ids = np.concatenate([np.fromiter(map(get, w, repeat(0)), np.int64, len(w)) for w in words] or [np.zeros(0, np.int64)])
+    for positions, length, owners in phrases.hits(ids, bounds[:-1]):
+        np.add.at(cover, positions, 1)
+        np.add.at(cover, positions + length, -1)
+        for d in np.unique(np.searchsorted(bounds, positions, side="right") - 1):
+            items[d].update(owners)
     hit = np.cumsum(cover[:-1]) > 0
     edges = np.zeros(total + 1, bool)
     edges[bounds[:-1]] = True
@@ -232,19 +253,16 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def read_phrases(items: DataFrame, item: str, text: str, window: int, slice_bytes: int) -> list[tuple]:
-    """The benchmark in slices of about ``slice_bytes`` of text each."""
+def read_phrases(items: DataFrame, item: str, text: str, window: int, most_bytes: int) -> tuple:
+    """The benchmark's phrases; a benchmark of more than ``most_bytes`` of text is an error before any of it is read."""
     size = items.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    n = -(-size // slice_bytes) or 1
-    named = items.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
-    if n == 1:
-        return [Phrases.plain([tuple(r) for r in named.collect()], window)]
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [Phrases.plain([tuple(r) for r in named.filter(part == k).collect()], window) for k in range(n)]
+    if size > most_bytes:
+        raise ValueError(f"the benchmark has {size} bytes of text, more than {most_bytes}: give it in parts, or more memory and a larger bound")
+    return Phrases.plain([tuple(r) for r in items.select(F.col(item).cast("string"), text).collect()], window)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-                  window: int = 10, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+                  window: int = 10, most_bytes: int = MOST_BYTES) -> DataFrame:
     """Find benchmark passages in whole texts and cut them out.
 
     Adds ``n_words``, ``n_hit`` (words inside any occurrence), ``hit_items`` (ids as
@@ -254,10 +272,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item: s
     no phrases; repeated items count once; an item without an id cuts but is not
     listed. Texts of any length are searched whole, repeated rows each on their own,
     and with an empty table nothing is hit. Other columns pass through, save those
-    named like an output.
+    named like an output. The benchmark may have ``most_bytes`` of text; more is an error.
     """
     spark = docs.sparkSession
-    phrases = [spark.sparkContext.broadcast(p) for p in read_phrases(items, item, item_text, window, slice_bytes)]
+    phrases = spark.sparkContext.broadcast(read_phrases(items, item, item_text, window, most_bytes))
 
     def run(batch):
         column = batch.column(batch.schema.names.index(text))
@@ -267,7 +285,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item: s
             raw = data[offsets[a] : offsets[b]].tobytes()
             at = (offsets[a : b + 1] - offsets[a]).tolist()
             texts = [raw[x:y] for x, y in zip(at, at[1:])]
-            n, h, i, s = scan_shard(texts, [Phrases(*p.value) for p in phrases])
+            n, h, i, s = scan_shard(texts, Phrases(*phrases.value))
             words += n
             hits += h
             found += [sorted(x) for x in i]

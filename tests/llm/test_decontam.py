@@ -46,14 +46,14 @@ def brute(text, items, window=10):
     return len(words), len(hit), sorted(names)
 
 
-@pytest.mark.parametrize("slice_bytes", [1 << 20, 60])
-def test_matches_brute_force(spark, monkeypatch, slice_bytes):
-    monkeypatch.setattr(decontam, "SHARD_BYTES", 300)
+@pytest.mark.parametrize("shard", [1 << 20, 300])
+def test_matches_brute_force(spark, monkeypatch, shard):
+    monkeypatch.setattr(decontam, "SHARD_BYTES", shard)
     some = lambda n: " ".join(RNG.choice("ab cd ef été x1 Zz".split()) for _ in range(n))
     items = [(1, some(14)), (2, some(12)), (3, "ab cd ef"), (4, None), (5, "..."), (None, "ef ef ab"), (1, some(11)), (12, "ab-cd, EF!")]
     texts = [None, "", "!?", "AB; cd\nEF", some(3), *[some(60) for _ in range(20)], "x " * 50 + items[0][1].upper() + " y" * 9, some(4000)]
     docs = spark.createDataFrame([(k, t, "z", 1) for k, t in enumerate(texts)] + [(3, texts[3], "z", 2)], "doc_id long, text string, N_HIT string, clean_text int")
-    got = decontaminate(docs.repartition(3), spark.createDataFrame(items, "item_id long, text string"), slice_bytes=slice_bytes).collect()
+    got = decontaminate(docs.repartition(3), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert len(got) == len(texts) + 1
     for r in got:
         assert (r.n_words, r.n_hit, r.hit_items) == brute(texts[r.doc_id], items), r.doc_id
@@ -67,6 +67,38 @@ def test_matches_brute_force(spark, monkeypatch, slice_bytes):
             assert len(r.clean_text) == len(texts[r.doc_id]) - len(cut)
 
 
+def test_phrases_are_compact_and_know_their_items():
+    import tracemalloc
+
+    rng = random.Random(8)
+    items = [(str(k % 50), " ".join(rng.choice(["a", "b", "c"]) for _ in range(rng.randrange(16)))) for k in range(80)]
+    vocabulary, shortest, groups, names = decontam.Phrases.plain(items, 10)
+    want: dict = {}
+    for at, (_, text) in enumerate(items):
+        w = text.split()
+        for k in range(len(w) - min(10, len(w)) + 1) if w else ():
+            want.setdefault(tuple(w[k : k + min(10, len(w))]), set()).add(at)
+    spelled = {v: k.decode() for k, v in vocabulary.items()}
+    got = {tuple(spelled[i] for i in row): owners[begins[k] : begins[k + 1]].tolist() for rows, begins, owners in groups for k, row in enumerate(rows.tolist())}
+    assert got == {k: sorted(v) for k, v in want.items()} and shortest == min(map(len, want))
+    # Two megabytes of text take a bounded multiple of it.
+    words = [f"w{k}" for k in range(30_000)]
+    large = [(str(k), " ".join(rng.choices(words, k=400))) for k in range(800)]
+    size = sum(len(t) for _, t in large)
+    tracemalloc.start()
+    plain = decontam.Phrases.plain(large, 10)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 15 * size and peak < 60 * size and sum(len(g[0]) for g in plain[2]) == 800 * 391
+
+
+def test_a_benchmark_beyond_the_bound_is_an_error(spark):
+    docs, items = spark.createDataFrame([(1, "a b")], "doc_id long, text string"), spark.createDataFrame([(1, "é b")], "item_id long, text string")
+    assert decontaminate(docs, items, most_bytes=4).count() == 1
+    with pytest.raises(ValueError, match="4 bytes of text, more than 3"):
+        decontaminate(docs, items, most_bytes=3)
+
+
 def test_empty_tables(spark):
     docs, items = spark.createDataFrame([(1, "a b")], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert [r.n_hit for r in decontaminate(docs, items).collect()] == [0]
