@@ -36,7 +36,9 @@ UNKNOWN_PENALTY = 10.0
 LONGEST = 64
 SLICE = 1 << 20
 TOKENS = 1 << 18
+#: The cache of units is emptied beyond so many of them, or so many characters in them: a text without blanks is one unit.
 CACHE = 1 << 19
+CACHE_CHARS = 1 << 23
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,6 +70,7 @@ class Pieces:
     def forget(self) -> None:
         """Empty the cache: the number of each known unit, and the ids of unit k at ``pool[begins[k] : begins[k + 1]]``."""
         self.cache: dict[str, int] = {}
+        self.held = 0
         self.pool, self.begins = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     @staticmethod
@@ -277,6 +280,7 @@ class Pieces:
         if names:
             first = len(self.cache)
             self.cache.update(zip(names, range(first, first + len(names))))
+            self.held += sum(map(len, names))
             self.pool = np.concatenate([self.pool, *parts])
             self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(np.concatenate(sizes))])
 
@@ -289,7 +293,7 @@ class Pieces:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and how many each has."""
         split = [self.units(t) for t in texts]
-        if len(self.cache) > CACHE:
+        if len(self.cache) > CACHE or self.held > CACHE_CHARS:
             self.forget()
         self.learn_units(set(chain.from_iterable(split)))
         counts = np.array([len(s) for s in split], np.int64)

@@ -87,3 +87,21 @@ def test_empty_tables_and_refused_models(spark):
     model.normalizer_spec.remove_extra_whitespaces = True
     with pytest.raises(ValueError):
         Pieces.read(model.SerializeToString())
+
+
+def test_the_cache_is_bounded_by_characters(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE_CHARS", 20_000)
+    with open(PIECES, "rb") as f:
+        own = Pieces(*Pieces.read(f.read()))
+    rng = random.Random(6)
+    most = 0
+    for _ in range(60):
+        # Texts without blanks are one unit each.
+        texts = ["".join(chr(rng.randrange(0x4E00, 0x4F00)) for _ in range(400)) for _ in range(5)]
+        ids, counts = own.encode(texts)
+        most = max(most, sum(map(len, own.cache)))
+        assert own.held == sum(map(len, own.cache))
+        fresh = Pieces(own.kind, [(p, float(s), t) for p, s, t in zip(own.texts, own.scores, own.types)], own.prefix) if _ % 30 == 29 else None
+        if fresh:
+            assert fresh.encode(texts)[0].tolist() == ids.tolist() and fresh.encode(texts)[1].tolist() == counts.tolist()
+    assert most <= 20_000 + 5 * 402
