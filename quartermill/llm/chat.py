@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermill.llm.common import list_array, quoted, ranges, text_buffer
+from quartermill.llm.common import list_array, parts_of, quoted, ranges, text_buffer
 
 TURN, END = "<|turn|>", "<|end|>"
 #: Fixed strings that models take for control: this template's own and other common ones.
@@ -104,9 +104,8 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
 
     def run(batches):
         part = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        # Bounded by bytes: what is made of a part takes many times its size.
+        for batch in (p for whole in batches for p in parts_of(whole, "text")):
             ids = batch.column(0)
             null = np.asarray(ids.is_null())
             value = ids.fill_null(0).to_numpy()
@@ -174,7 +173,7 @@ def digests(chats: DataFrame) -> DataFrame:
         def row(s):
             return {"conv_id": s[0], "n_turns": s[1], "turns_sha256": s[2].hexdigest(), "loss_chars": s[3], "loss_sha256": s[4].hexdigest(), "formatted_chars": s[5]}
 
-        for batch in batches:
+        for batch in (p for whole in batches for p in parts_of(whole, "formatted")):
             out = []
             for conv, formatted, loss in zip(*(batch.column(batch.schema.names.index(c)).to_pylist() for c in ("conv_id", "formatted", "loss"))):
                 if state is None or state[0] != conv:

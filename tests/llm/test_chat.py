@@ -64,3 +64,15 @@ def test_empty_table(spark):
     none = format_chats(spark.createDataFrame([], SCHEMA))
     assert none.collect() == [] == digests(none).collect()
     assert none.agg(F.sum("n_turns")).first()[0] is None
+
+
+def test_a_large_batch_is_taken_in_parts(spark, monkeypatch):
+    from quartermill.llm import common
+
+    rows = [(k % 7, k, "assistant" if k % 2 else "user", f"{k} " * (40 if k != 11 else 4000)) for k in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    whole = {r.conv_id: tuple(r) for r in digests(format_chats(df)).collect()}
+    monkeypatch.setattr(common, "PART", 2000)
+    parts = format_chats(df).collect()
+    assert max(len(p.formatted) for p in parts if "11 11" not in p.formatted) < 5000 and len(parts) > 15
+    assert {r.conv_id: tuple(r) for r in digests(format_chats(df)).collect()} == whole
