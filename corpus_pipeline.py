@@ -27,8 +27,15 @@ def with_text(docs: DataFrame, changed: DataFrame, text: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach. Null, letterless and unlike texts go."""
-    found = identify(docs, learn(docs, "text", "lang"))
+    """Documents in a language that the labelled ones teach. Null, letterless and unlike texts go.
+
+    Without a labelled document there is nothing to tell languages by, and all would go:
+    that is an error, save for an empty table.
+    """
+    profiles = learn(docs, "text", "lang")
+    if not profiles and not docs.isEmpty():
+        raise ValueError("no document has both a text and a language, so no language can be learned")
+    found = identify(docs, profiles)
     return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
 
 
