@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 import sentencepiece
 from test_decontam import brute as hits
 from test_linededup import brute as lines
@@ -82,3 +83,13 @@ def test_run_is_all_stages(spark, tmp_path):
         frame = spark.read.parquet(f"{tmp_path}/s{k}")
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert got.exceptAll(frame).isEmpty() and frame.exceptAll(got).isEmpty() and got.count() > 20
+
+
+def test_no_language_is_an_error_and_an_empty_table_is_none(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(1, "some words", None, "s", 10), (2, None, "en", "s", None)], schema)
+    with pytest.raises(ValueError, match="no language"):
+        corpus_pipeline.language_id(spark, docs, str(tmp_path))
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "a b")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
