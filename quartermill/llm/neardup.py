@@ -304,30 +304,72 @@ def true_links(own: list[np.ndarray], similarity: tuple[int, int]) -> tuple[list
     return a, b
 
 
+def leader_links(own: list[np.ndarray], leader: int, similarity: tuple[int, int]) -> np.ndarray:
+    """Which documents of a block overlap enough with its leader."""
+    top, bottom = similarity
+    sizes = np.array([len(x) for x in own], np.int64)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    flat = np.concatenate(own)
+    nth, _ = occurrence(flat, bounds)
+    token = mix(flat + GOLDEN * nth.astype(np.uint64))
+    shared = np.concatenate([[0], np.cumsum(np.isin(token, token[bounds[leader] : bounds[leader + 1]]))])
+    common = shared[bounds[1:]] - shared[bounds[:-1]]
+    near = (common > 0) & (bottom * common >= top * (sizes + sizes[leader] - common))
+    near[leader] = False
+    return np.flatnonzero(near)
+
+
 def verify(docs: DataFrame, nodes: DataFrame, groups: DataFrame, doc: str, text: str, width: int, similarity, block: int) -> DataFrame:
-    """True links ``a``, ``b`` inside the candidate groups (``node``, ``label``)."""
+    """True links ``a``, ``b`` inside the candidate groups (``node``, ``label``).
+
+    A group of one block is solved whole. In a larger one every member meets its leader
+    first, a text going out once; only members unlike the leader then meet all others,
+    each text going out once per block of such members.
+    """
     sized = groups.join(nodes.select("node", "rep", "n"), "node")
-    blocks = sized.groupBy("label").agg(F.ceil(F.sum("n") / block).cast("long").alias("blocks"))
+    blocks = sized.groupBy("label").agg(F.ceil(F.sum("n") / block).cast("long").alias("blocks"), F.min("node").alias("leader"))
     wanted = cut(sized.join(blocks, "label").select(
-        "label", "node", "blocks", F.col("rep.doc").alias("doc"), F.col("rep.h").alias("h"), F.pmod(F.xxhash64("node"), F.col("blocks")).alias("own")))
-    # Documents are many and wanted ones few: send those to every task while they are, or else meet by id.
-    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+        "label", "node", "n", "blocks", "leader", F.col("rep.doc").alias("doc"), F.col("rep.h").alias("h"), F.pmod(F.xxhash64("node"), F.col("blocks")).alias("own")))
     texts = docs.select(F.col(quoted(doc)).cast("long").alias("__doc"), F.col(quoted(text)).alias("__text"))
-    rows = texts.join(few, F.col("__doc").eqNullSafe(F.col("doc")) & (F.xxhash64("__text") == F.col("h")))
-    # Blocks i <= j meet in one task.
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    units = rows.select("label", "node", "__text", "own", other.alias("other")).select(
-        "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "__text")
+
+    def with_texts(some: DataFrame) -> DataFrame:
+        # Documents are many and wanted ones few: send those to every task while they are, or else meet by id.
+        few = F.broadcast(some) if some.count() <= BROADCAST_ROWS else some
+        return texts.join(few, F.col("__doc").eqNullSafe(F.col("doc")) & (F.xxhash64("__text") == F.col("h")))
 
     def solve(table):
-        node = table.column("node").to_numpy()
+        node, lead = table.column("node").to_numpy(), table.column("lead").to_numpy()
         data, offsets, _ = text_buffer(table.column("__text").combine_chunks())
         raw, at = data.tobytes(), offsets.tolist()
         ids, first = np.unique(node, return_index=True)
-        a, b = true_links([shingles(raw[at[k] : at[k + 1]], width) for k in first], similarity)
+        own = [shingles(raw[at[k] : at[k + 1]], width) for k in first]
+        if lead.any():
+            leader = int(np.flatnonzero(lead[first])[0])
+            near = leader_links(own, leader, similarity)
+            return np.full(len(near), ids[leader]), ids[near]
+        a, b = true_links(own, similarity)
         return ids[a] if a else np.zeros(0, np.int64), ids[b] if b else np.zeros(0, np.int64)
 
-    return grouped(units, ["label", "i", "j"], solve, "a long, b long")
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    unit = lambda i, j: F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"))
+    is_leader = F.col("node") == F.col("leader")
+    large = F.col("blocks") > 1
+    first = F.when(large & is_leader, F.transform(upto(F.col("blocks")), lambda i: unit(i, F.lit(-1)))).when(
+        large, F.array(unit(F.col("own"), F.lit(-1)))).otherwise(F.array(unit(F.lit(0), F.lit(0))))
+    keys = ["label", "i", "j"]
+    rows = with_texts(wanted).select("label", "node", "__text", (large & is_leader).alias("lead"), F.inline(first))
+    links = cut(grouped(rows, keys, solve, "a long, b long"))
+    led = links.select(F.col("a").alias("leader"), F.col("b").alias("node"))
+    odd = cut(wanted.filter(large & ~is_leader).join(led, ["leader", "node"], "left_anti"))
+    if odd.isEmpty():
+        return links
+    few = odd.groupBy("label").agg(F.ceil(F.sum("n") / block).cast("long").alias("odd_blocks"))
+    again = cut(wanted.join(few, "label").join(odd.select("label", "node", F.lit(True).alias("odd")), ["label", "node"], "left"))
+    mine = F.pmod(F.xxhash64("node"), F.col("odd_blocks"))
+    every = F.transform(upto(F.col("odd_blocks")), lambda i: unit(i, F.col("own")))
+    own = F.when(F.col("odd"), F.transform(upto(F.col("blocks")), lambda j: unit(mine, j))).otherwise(F.array().cast("array<struct<i:bigint,j:bigint>>"))
+    rest = with_texts(again).select("label", "node", "__text", F.lit(False).alias("lead"), F.inline(F.array_distinct(F.concat(every, own))))
+    return links.union(grouped(rest, keys, solve, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 5, similarity: tuple[int, int] = (4, 5),

@@ -126,3 +126,29 @@ def test_one_document_of_each_class_stays(spark):
 
 def test_empty_table(spark):
     assert keep_one(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_texts_of_a_large_group_go_out_about_once(spark, monkeypatch):
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(500)]
+    base = [rng.choice(words) for _ in range(200)]
+    docs = []
+    for k in range(400):
+        own = list(base)
+        if k % 4:
+            own[rng.randrange(200)] = rng.choice(words)
+        docs.append((k, " ".join(own) + f" end{k}"))
+    sent = []
+    plain = neardup.grouped
+
+    def counted(df, keys, solve, schema):
+        if keys == ["label", "i", "j"]:
+            sent.append(df.count())
+        return plain(df, keys, solve, schema)
+
+    monkeypatch.setattr(neardup, "grouped", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    # Ten texts to a block: 40 blocks, to each of which every text used to go.
+    got = near_duplicates(df, block=2000).collect()
+    assert {r.class_id for r in got} == {0} and len(got) == 400
+    assert sum(sent) < 3 * 400
