@@ -24,8 +24,11 @@ from quartermill.llm.common import cut, grouped, text_buffer
 
 #: Size of the sample of pivots; all summaries are bounded by its square.
 PIVOTS = 48
-GROUP = 512
+#: Queries that data are sent out for at once, and data that they meet in one task.
+GROUP = 16384
 CHUNK = 16384
+#: Queries whose products with a chunk are held at once.
+QUERIES = 512
 EXACT = 1 << 53
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
@@ -179,6 +182,22 @@ def products(queries: list[np.ndarray], data: list[np.ndarray]) -> np.ndarray:
     return np.array([[min(max(x, LOW), HIGH) for x in row] for row in exact], np.int64).reshape(exact.shape)
 
 
+def best_of(group: np.ndarray, near: np.ndarray, ids: np.ndarray, own: list, theirs: list, k: int) -> tuple[np.ndarray, ...]:
+    """The best ``k`` of some data rows for each of some queries: query, row and score."""
+    score = products(own, theirs)
+    other = ids[group][:, None] != ids[near]
+    # Those at least as good as the k-th best other row; ties are settled by id.
+    masked = np.where(other, score, LOW)
+    least = np.partition(masked, len(near) - k, axis=1)[:, len(near) - k] if len(near) > k else np.full(len(group), LOW)
+    a, b = np.nonzero(other & (masked >= least[:, None]))
+    order = np.lexsort((ids[near][b], -score[a, b].astype(np.float64), a)) if abs(score).max() < EXACT else np.array(
+        sorted(range(len(a)), key=lambda i: (a[i], -int(score[a[i], b[i]]), ids[near[b[i]]])), np.int64)
+    a, b = a[order], b[order]
+    place = np.arange(len(a)) - np.searchsorted(a, a)
+    a, b = a[place < k], b[place < k]
+    return ids[group[a]], ids[near[b]], score[a, b]
+
+
 def solve(table: pa.Table, rings_: np.ndarray, k: int) -> list[np.ndarray]:
     """The best ``k`` of a unit's data for each of its queries."""
     side, ids, cell, dist = (table.column(c).to_numpy() for c in ("side", "id", "cell", "dist"))
@@ -197,19 +216,10 @@ def solve(table: pa.Table, rings_: np.ndarray, k: int) -> list[np.ndarray]:
         group = asked[cell[asked] == q]
         if not len(near):
             continue
-        score = products([row(i) for i in group], [row(i) for i in near])
-        other = ids[group][:, None] != ids[near]
-        # Those at least as good as the k-th best other row; ties are settled by id.
-        masked = np.where(other, score, LOW)
-        least = np.partition(masked, len(near) - k, axis=1)[:, len(near) - k] if len(near) > k else np.full(len(group), LOW)
-        a, b = np.nonzero(other & (masked >= least[:, None]))
-        order = np.lexsort((ids[near][b], -score[a, b].astype(np.float64), a)) if abs(score).max() < EXACT else np.array(
-            sorted(range(len(a)), key=lambda i: (a[i], -int(score[a[i], b[i]]), ids[near[b[i]]])), np.int64)
-        a, b = a[order], b[order]
-        place = np.arange(len(a)) - np.searchsorted(a, a)
-        a, b = a[place < k], b[place < k]
-        for out, x in zip(found, (ids[group[a]], ids[near[b]], score[a, b])):
-            out.append(x)
+        theirs = [row(i) for i in near]
+        for at_once in np.array_split(group, -(-len(group) // QUERIES)):
+            for out, x in zip(found, best_of(at_once, near, ids, [row(i) for i in at_once], theirs, k)):
+                out.append(x)
     return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in found]
 
 

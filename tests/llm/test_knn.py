@@ -64,3 +64,26 @@ def test_large_values_are_exact_and_clamped(spark):
 def test_empty_tables(spark):
     none, some = spark.createDataFrame([], SCHEMA), spark.createDataFrame([(1, [1])], SCHEMA)
     assert run(top_k(none, some)) == run(top_k(some, none)) == run(top_k(some, some)) == set()
+
+
+def test_many_queries_are_taken_a_few_at_a_time(spark, monkeypatch):
+    from quartermill.llm import knn
+
+    rng = random.Random(8)
+    data = [(i, [rng.randint(-90, 90) for _ in range(5)]) for i in range(300)]
+    monkeypatch.setattr(knn, "QUERIES", 7)
+    got = run(top_k(spark.createDataFrame(data, SCHEMA), spark.createDataFrame(data[::2], SCHEMA), k=4, pivots=3))
+    assert got == brute(data, data[::2], 4)
+
+
+def test_the_query_leaves_out_what_is_not_finite(spark, tmp_path):
+    from quartermill.llm.queries import QUERIES
+
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [0.5, 0.25]), (50, [nan, 1.0]), (100, [inf, 1.0]), (150, [-inf, 1.0]), (200, None), (250, [None, 1.0]), (1, [1.0, -0.001]), (2, [-3.0, 2.0]), (3, [nan, nan]), (300, [2.0**45, 1.0])]
+    spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = run(QUERIES["op1_top_k"](spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score"))
+    import math
+
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    assert got == brute(whole, [r for r in whole if r[0] % 50 == 0], 5) and {r[0] for r in got} == {0, 300}
