@@ -154,7 +154,7 @@ def code_repair(t: Tables) -> DataFrame:
     # Sums per site and code first: the repair joins those, not the fact rows.
     coded = rows.groupBy("sitename", F.expr(_CODE).alias("code")).agg(na_sum("value").alias("value"), F.count(F.lit(1)).alias("n"))
     listed = t.roster().select(F.col("sitename").alias("listed_name"), F.expr("concat('L', lpad(orgunituid, 7, '0'))").alias("new_code"))
-    fixed = repair_codes(coded, "code", ["sitename"], listed, ("sitename", "listed_name"), "new_code")
+    fixed = repair_codes(coded, "code", ["sitename"], listed, ("sitename", "listed_name"), "new_code", one_row_per_code=True)
     return fixed.groupBy("sitename", "code").agg(na_sum("value").alias("value"), F.sum("n").alias("n"))
 
 

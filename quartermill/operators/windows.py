@@ -113,7 +113,8 @@ def period_differences(
 
 
 def repair_codes(
-    df: DataFrame, code: str, facility: Sequence[str], listed: DataFrame, on: tuple[str, str], new_code: str, min_length: int = 6
+    df: DataFrame, code: str, facility: Sequence[str], listed: DataFrame, on: tuple[str, str], new_code: str, min_length: int = 6,
+    one_row_per_code: bool = False,
 ) -> DataFrame:
     """Replace short codes from a facility list, then carry the longest code to the gaps.
 
@@ -121,9 +122,10 @@ def repair_codes(
     the distinct (facility, code) pairs: longest code first, ties by
     the code itself; a code shorter than ``min_length`` takes the facility
     list's code, and what is still missing takes the last code before it. The
-    repaired pairs are joined back to the rows.
+    repaired pairs are joined back to the rows. Where ``df`` is already summed to one
+    row per facility and code, say so: nothing is then read or joined a second time.
     """
-    pairs = df.select(*facility, code).distinct()
+    pairs = df if one_row_per_code else df.select(*facility, code).distinct()
     by_name = listed.groupBy(on[1]).agg(F.min(new_code).alias("__listed"))
     pairs = match(pairs, by_name, {on[0]: on[1]}, "left")
     length = F.length(F.col(code))
@@ -135,5 +137,5 @@ def repair_codes(
     )
     pairs = pairs.withColumn("__fixed", fixed)
     pairs = pairs.withColumn("__fixed", F.last("__fixed", ignorenulls=True).over(w)).drop("__listed")
-    out = match(df, pairs, list(facility) + [code], "left", null_safe=True)
+    out = pairs if one_row_per_code else match(df, pairs, list(facility) + [code], "left", null_safe=True)
     return out.withColumn(code, F.col("__fixed")).drop("__fixed")

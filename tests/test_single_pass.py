@@ -13,7 +13,7 @@ ONCE = {
     "events": ["complete_grid", "lag_periods", "fill_downup", "rule_lagged"],
     "lineitem": [
         "product_treatment", "product_site_lag", "conform_map", "null_safe_map", "partial_key_map", "semi_unmapped", "denominator_variants",
-        "delete_file", "left_composite", "aggregate_compare", "value_mismatch", "number_label", "reshape_long", "reshape_semi_wide",
+        "delete_file", "left_composite", "aggregate_compare", "value_mismatch", "number_label", "code_repair", "programme_report", "reshape_long", "reshape_semi_wide",
     ],
 }
 
