@@ -80,3 +80,95 @@ def test_no_labels_one_grade_and_empty_tables(spark):
     assert [r.tail for r in grade(docs, one, 3).collect()] == [0.0]
     assert grade(docs.limit(0), one, 1).collect() == []
     assert fit(docs.limit(0), spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, g int"), "g") is None
+
+
+def small_problem(levels, seed=3):
+    """A few texts' features, their grades, and the loss of the model as its docstring has it."""
+    import numpy as np
+
+    from quartermill.llm import ordinal
+
+    rng = np.random.default_rng(seed)
+    n, features = 60, 6
+    grade = rng.integers(0, levels, n)
+    grade[:levels] = range(levels)
+    row, column = np.nonzero(rng.random((n, features)) < 0.3 + 0.12 * grade[:, None])
+    value = rng.uniform(0.2, 1.0, len(row)).astype(np.float32)
+    often = np.flatnonzero(np.bincount(column, minlength=features) >= ordinal.LEAST_TEXTS)
+    assert len(often) == features
+    each = 1.0 / (levels * np.bincount(grade, minlength=levels)[grade])
+    high = np.array([(each * grade)[row[column == c]].sum() for c in range(features)])
+    low = np.array([(each * (levels - 1 - grade))[row[column == c]].sum() for c in range(features)])
+    unit = np.abs(np.log((high + ordinal.LEAN / n) / (low + ordinal.LEAN / n)))
+
+    def loss(weights, theta):
+        total = ordinal.PENALTY / n / 2 * float((weights**2).sum())
+        for t in range(n):
+            score = sum(weights[c] * unit[c] * v for r, c, v in zip(row, column, value) if r == t)
+            at_most = [0.0, *(1 / (1 + np.exp(-(x - score))) for x in theta), 1.0]
+            total -= each[t] * np.log(at_most[grade[t] + 1] - at_most[grade[t]])
+        return total
+
+    return row, column, value, grade, unit, loss
+
+
+@pytest.mark.parametrize("levels", [2, 4])
+def test_the_fit_is_where_the_loss_is_least(levels):
+    import numpy as np
+
+    from quartermill.llm import ordinal
+
+    row, column, value, grade, unit, loss = small_problem(levels)
+    fitted, theta = ordinal.fit_arrays(row, column, value, grade, levels)
+    weights = fitted[:6] / unit
+    assert np.all(np.diff(theta) > 0)
+    best = loss(weights, theta)
+
+    def slopes(w, t):
+        """Of the loss, by differences."""
+        at = np.concatenate([w, t])
+        out = []
+        for k in range(len(at)):
+            step = np.zeros(len(at))
+            step[k] = 1e-4
+            up, down = at + step, at - step
+            out.append((loss(up[:6], up[6:]) - loss(down[:6], down[6:])) / 2e-4)
+        return np.array(out)
+
+    # Flat there, and steep where the fit began.
+    start = -np.log(levels / np.arange(1, levels) - 1)
+    assert np.abs(slopes(weights, theta)).max() < 0.02 * np.abs(slopes(np.zeros(6), start)).max()
+    rng = np.random.default_rng(1)
+    for size in (0.01, 0.1, 1.0):
+        for _ in range(20):
+            w, t = weights + size * rng.normal(size=6), np.sort(theta + size * rng.normal(size=levels - 1))
+            if np.all(np.diff(t) > 1e-6):
+                assert loss(w, t) >= best - 1e-4
+
+
+def test_grades_against_the_plain_formula(spark):
+    import numpy as np
+
+    from quartermill.llm import ordinal
+
+    words = "good fine plain bad awful".split()
+    docs = [(k, " ".join(words[k % 5 : k % 5 + 2] * 6), k % 5 // 2) for k in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, g int")
+    model = ordinal.fit(df, df.select("doc_id", "g"), "g", rounds=200)
+    weights, theta, grades, beginnings = model
+    for r in ordinal.grade(df, model, 1).collect():
+        data = np.frombuffer(r.text.encode(), np.uint8)
+        _, column, value = ordinal.features(data, np.array([0, len(data)]), beginnings)
+        score = float((weights[column] * value).sum())
+        above = [1.0, *(1 / (1 + np.exp(-(score - t))) for t in theta), 0.0]
+        chance = [a - b for a, b in zip(above, above[1:])]
+        assert r.expected == pytest.approx(sum(c * g for c, g in zip(chance, grades)), abs=1e-5)
+        assert r.tail == pytest.approx(above[1], abs=1e-5) and r.likely == grades[int(np.argmax(chance))]
+
+
+def test_texts_alike_are_graded_alike(spark):
+    from quartermill.llm import ordinal
+
+    df = spark.createDataFrame([(k, "same words here" if k % 2 else "other ones", k % 2) for k in range(40)], "doc_id long, text string, g int")
+    graded = ordinal.grade(df, ordinal.fit(df, df, "g"), 1).select("text", "expected", "tail", "likely").distinct().collect()
+    assert len(graded) == 2
