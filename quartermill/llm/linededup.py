@@ -265,7 +265,8 @@ def drop_repeated_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text"
     The text becomes the other lines, joined; ``n_lines`` and ``n_dropped`` are added.
     A null or empty text is one empty line (and becomes empty text). Rows that repeat
     a document id are one document: each keeps or loses the same lines. A row without an
-    id loses repeated lines, unless no document with an id holds them. Empty tables
+    id loses every line whose key is repeated (all such rows count as one document, and
+    with ``min_docs=1`` a line of one of them counts as repeated). Empty tables
     give no rows; other columns pass through, save those named like an output.
     """
     spark = docs.sparkSession
