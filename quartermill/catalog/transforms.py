@@ -279,18 +279,20 @@ def facility_periods(t: Tables) -> DataFrame:
     with_sql(
         """SELECT coalesce(f.orgunituid, e.orgunituid) AS orgunituid, f.fy1996q1, f.fy1996q2, e.expected,
                   CASE WHEN upper(e.expected) = 'YES' AND f.fy1996q1 = 0 THEN 'FLAG' ELSE 'OK' END AS flag FROM
-             (SELECT orgunituid, sum(CASE WHEN quarter = 1 THEN value ELSE 0 END) AS fy1996q1,
-                     sum(CASE WHEN quarter = 2 THEN value ELSE 0 END) AS fy1996q2
-              FROM lines WHERE fiscal_year = 1996 AND mech_code = 'Brand#5' GROUP BY 1) f
+             (SELECT orgunituid, sum(CASE WHEN quarter = 1 AND fiscal_year = 1996 AND mech_code = 'Brand#5' THEN value ELSE 0 END) AS fy1996q1,
+                     sum(CASE WHEN quarter = 2 AND fiscal_year = 1996 AND mech_code = 'Brand#5' THEN value ELSE 0 END) AS fy1996q2
+              FROM lines GROUP BY 1) f
              FULL JOIN (SELECT orgunituid, CASE WHEN snu1 = 'ASIA' THEN 'no' ELSE 'Yes' END AS expected FROM roster) e USING (orgunituid)""",
         "lines",
         "roster",
     ),
 )
 def expected_zero(t: Tables) -> DataFrame:
-    rows = t.lines(["orgunituid", "mech_code", "quarter", "value"], [1996]).filter("mech_code = 'Brand#5'")
+    """Every site that ever reported, with one mechanism's results of two quarters; none is zero there."""
+    rows = t.lines(["orgunituid", "mech_code", "fiscal_year", "quarter", "value"])
+    own = (F.col("fiscal_year") == 1996) & (F.col("mech_code") == "Brand#5")
     fact = rows.groupBy("orgunituid").agg(
-        *[F.sum(F.when(F.col("quarter") == q, F.col("value")).otherwise(0.0)).alias(f"fy1996q{q}") for q in (1, 2)]
+        *[F.sum(F.when(own & (F.col("quarter") == q), F.col("value")).otherwise(0.0)).alias(f"fy1996q{q}") for q in (1, 2)]
     )
     expected = t.roster().select("orgunituid", F.expr("if(snu1 = 'ASIA', 'no', 'Yes')").alias("expected"))
     return conform.expected_but_zero(fact, expected, "orgunituid", "expected", "fy1996q1")
