@@ -151,15 +151,17 @@ class Template:
         row = np.array(self.words)
         self.equal = {w: row == w for w in self.counts}
 
+    def need(self, coverage: float) -> int:
+        """How many words must be aligned."""
+        return max(1, int(np.ceil(coverage * len(self.words) - 1e-9)))
+
     def find(self, words: np.ndarray, coverage: float) -> list[tuple[float, int, int]]:
         """``(coverage, first word, behind the last word)`` of every place in the text, none of which overlap.
 
         ``words`` are numbers; those that no template has are -1.
         """
         size = len(self.words)
-        need = max(1, int(np.ceil(coverage * size - 1e-9)))
-        if not size or need > size:
-            return []
+        need = self.need(coverage)
         out = []
         for low, high in self.regions(words, need):
             behind = low
@@ -221,6 +223,28 @@ class Template:
         return sorted(taken)
 
 
+class Templates:
+    """All templates, and which of them a text has enough words for."""
+
+    def __init__(self, texts: list[tuple[str, str]], coverage: float):
+        self.vocabulary: dict[bytes, int] = {}
+        made = [Template(*t, self.vocabulary) for t in texts]
+        self.own = [t for t in made if t.words and t.need(coverage) <= len(t.words)]
+        self.words = np.array([w for t in self.own for w in t.counts], np.int64)
+        self.counts = np.array([n for t in self.own for n in t.counts.values()], np.int64)
+        self.first = np.cumsum([0, *(len(t.counts) for t in self.own)])[:-1]
+        self.needs = np.array([t.need(coverage) for t in self.own])
+
+    def likely(self, words: np.ndarray) -> list[Template]:
+        """Templates of whose words the text holds enough, each as often as the template has it."""
+        known = words[words >= 0]
+        if not self.own or len(known) < self.needs.min():
+            return []
+        there = np.bincount(known, minlength=len(self.vocabulary))
+        held = np.add.reduceat(np.minimum(there[self.words], self.counts), self.first)
+        return [self.own[k] for k in np.flatnonzero(held >= self.needs)]
+
+
 def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:
     """Add ``licenses``: what license templates cover which stretches of each text.
 
@@ -237,16 +261,16 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str]
     plain = sorted(templates.items())
 
     def run(batch):
-        vocabulary: dict[bytes, int] = {}
-        known = [Template(*t, vocabulary) for t in plain]
+        templates = Templates(plain, coverage)
+        get = templates.vocabulary.get
         data, offsets, _ = text_buffer(batch.column(batch.schema.names.index(text)))
         raw, at = data.tobytes(), offsets.tolist()
         counts, rows = [], []
         for x, y in zip(at, at[1:]):
             low = raw[x:y].lower()
             words = WORD.findall(low)
-            numbers = np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int64, len(words))
-            hits = sorted((a, t.name, share, b) for t in known for share, a, b in t.find(numbers, coverage))
+            numbers = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
+            hits = sorted((a, t.name, share, b) for t in templates.likely(numbers) for share, a, b in t.find(numbers, coverage))
             if hits:
                 spans = [(m.start(), m.end()) for m in WORD.finditer(low)]
                 point = lambda k: len(low[:k].decode())
