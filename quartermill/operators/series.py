@@ -71,25 +71,36 @@ def lagged(packed: DataFrame, value: str, steps: Sequence[int] = (1, 2)) -> Data
     return extended(packed, lambda e, at: {f"{value}_lag{k}": F.get(F.col(ENTRIES), at - F.lit(k))[value] for k in steps})
 
 
-def _carried(values: Column, kind) -> Column:
-    """Each value, or the last one before it that is not NULL."""
-    empty = F.array().cast(f"array<{kind.simpleString()}>")
-    return F.aggregate(values, empty, lambda done, v: F.concat(done, F.array(F.coalesce(v, F.get(done, F.size(done) - 1)))))
+def _carried(values: Column, size: Column) -> Column:
+    """Each of ``size`` values, or the last one before it that is not NULL.
+
+    Every known value is repeated up to the place of the next one: work in proportion
+    to the length, where an accumulated array would be copied at each step.
+    """
+    known = F.filter(F.transform(values, lambda v, at: F.struct(at.alias("at"), v.alias("v"))), lambda e: e["v"].isNotNull())
+    runs = F.zip_with(known, F.slice(known, F.lit(2), size), lambda e, after: F.array_repeat(e["v"], F.coalesce(after["at"], size) - e["at"]))
+    before = F.array_repeat(F.lit(None), F.coalesce(F.get(known, F.lit(0))["at"], size))
+    return F.concat(before, F.flatten(runs))
 
 
 def filled(packed: DataFrame, columns: Sequence[str], direction: str = "downup") -> DataFrame:
     """Fill NULLs of the entries from the nearest earlier entry, then from the nearest later one."""
     if direction not in ("down", "up", "downup"):
         raise ValueError(f"unknown direction {direction!r}")
-    types = {f.name: f.dataType for f in packed.schema[ENTRIES].dataType.elementType.fields}
-    sources = {}
+    names = names_of(packed)
+
+    def into(column: str) -> Callable[[Column, Column], Column]:
+        return lambda e, v: F.struct(*[(F.coalesce(e[n], v) if n == column else e[n]).alias(n) for n in names])
+
+    out, size = F.col(ENTRIES), F.size(ENTRIES)
     for c in columns:
         values = F.col(ENTRIES)[c]
-        steps = {"down": _carried(values, types[c]), "up": F.reverse(_carried(F.reverse(values), types[c]))}
-        sources[c] = [steps[d] for d in ("down", "up") if d in direction]
-    out = packed.withColumns({f"__{c}_{k}": s for c in columns for k, s in enumerate(sources[c])})
-    out = extended(out, lambda e, at: {c: F.coalesce(*[F.get(F.col(f"__{c}_{k}"), at) for k in range(len(sources[c]))]) for c in columns})
-    return out.drop(*[f"__{c}_{k}" for c in columns for k in range(len(sources[c]))])
+        # The carried values are an argument: inside the function they would be made again for every entry.
+        if "down" in direction:
+            out = F.zip_with(out, _carried(values, size), into(c))
+        if "up" in direction:
+            out = F.zip_with(out, F.reverse(_carried(F.reverse(values), size)), into(c))
+    return with_entries(packed, out)
 
 
 def kept(packed: DataFrame, test: Callable[[Column], Column]) -> DataFrame:
@@ -99,7 +110,9 @@ def kept(packed: DataFrame, test: Callable[[Column], Column]) -> DataFrame:
 
 def unpack(packed: DataFrame) -> DataFrame:
     """Back to one row per entry."""
-    return packed.select(*[c for c in packed.columns if c != ENTRIES], F.inline(ENTRIES))
+    # Not the bare column: Spark would then test its size first, and for that test make
+    # the whole array again, a lagged one once for each of its entries.
+    return packed.select(*[c for c in packed.columns if c != ENTRIES], F.inline(F.concat(ENTRIES)))
 
 
 def fill_within(df: DataFrame, columns: Sequence[str], group: Sequence[str], period: str, direction: str = "downup") -> DataFrame:
