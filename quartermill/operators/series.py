@@ -24,6 +24,18 @@ def pack(df: DataFrame, series: Sequence[str], period: str, columns: Sequence[st
     return df.groupBy(*series).agg(F.sort_array(F.collect_list(entry)).alias(ENTRIES))
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows dealt by ``keys`` into a set number of tasks, twice the shuffle partitions.
+
+    To be called before a series is packed and completed: its few bytes become many rows,
+    so tasks that Spark joins until their bytes are worth it would be few and long (next
+    to a larger branch of a union, one or two). Twice, as a deal that equals the one
+    before it (of a join on ``keys``) is left out of the plan.
+    """
+    parts = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys)
+
+
 def names_of(packed: DataFrame) -> list[str]:
     """Fields of an entry; the first one is the period."""
     return packed.schema[ENTRIES].dataType.elementType.names

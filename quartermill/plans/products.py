@@ -19,7 +19,7 @@ from quartermill.functions.selectors import strings
 from quartermill.operators.aggregates import roster, sum_by, sum_by_strings
 from quartermill.operators.joins import lookup, match, reconcile
 from quartermill.operators.reshape import MEASURES, mirror_columns, reshape_long, reshape_semi_wide
-from quartermill.operators.series import completed, fill_within, lagged, pack, unpack
+from quartermill.operators.series import completed, fill_within, lagged, pack, spread, unpack
 from quartermill.operators.setops import loose_append
 from quartermill.operators.windows import period_differences, share_of_total
 from quartermill.sources.writers import write_ranked
@@ -85,7 +85,8 @@ def site_series(
         .groupBy(*series, *attributes, "period")
         .agg(na_sum("value").alias("value"))
     )
-    packed = completed(pack(observed, series, "period", ["value", *attributes]), {"value": 0.0}, periods)
+    # By group, so that the completed series stay where they are for the fill.
+    packed = completed(pack(spread(observed, group), series, "period", ["value", *attributes]), {"value": 0.0}, periods)
     late = lagged(packed, "value", steps)
     rows = fill_within(unpack(late), attributes, group, "period")
     versions = [(indicator, "value", "Reported")] + [(f"{indicator}_LAG{k}", f"value_lag{k}", "Derived") for k in steps]

@@ -5,6 +5,8 @@ import itertools
 import pytest
 
 from quartermill.operators import series
+from quartermill.operators.joins import match
+from quartermill.plans import products
 
 
 def plan_of(df) -> str:
@@ -55,3 +57,17 @@ def test_smallest_value_of_a_period_fills_its_rows(frame, rows):
     got = series.fill_within(df, ["a"], ["g"], "p")
     assert got.columns == ["g", "p", "a", "b"]
     assert rows(got, "b", "a") == [(0, "x"), (1, "y"), (2, "x"), (3, "x"), (4, "x"), (5, "n"), (6, "n")]
+
+
+def test_series_keep_their_tasks_after_a_join_on_the_site(spark, frame):
+    long = frame("site string, indicator string, period string, period_type string, value double", [("s", "TX", "1", "results", 5.0), ("t", "TX", "2", "results", 1.0)])
+    sites = frame("site string, name string", [("s", "S"), ("t", "T")])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = products.site_series(match(long, sites, ["site"], "inner"), "TX", ["site"], ["name"], ["site"], steps=(1,))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The join deals by site as well; tasks joined by their bytes would be one or two.
+    assert "REPARTITION_BY_NUM" in plan and out.count() == 2 * 2 * 2
